@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 EMPTY_WORDS = ("", "-", "?", "n/a", "none", "unknown", "not recorded")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once, however often body uses it and wherever the plan moves it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def stripped(text: Column) -> Column:
     """Without white space at either end (tabs and line ends too), lower case."""
     return F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
@@ -18,22 +25,22 @@ def sha256_hex(text: Column) -> Column:
     """64 lower-case hex digits of a SHA-256 however it is written (case, blanks, `sha256:` or `SHA-256=` before it,
     colons between bytes); NULL where it is missing, cut off or no digest."""
     bare = F.regexp_replace(F.regexp_replace(F.lower(text), r"^\s*sha-?256\s*[:=]", ""), r"[\s:-]", "")
-    return F.when(bare.rlike("^[0-9a-f]{64}$"), bare)
+    return let(bare, lambda b: F.when(b.rlike("^[0-9a-f]{64}$"), b))
 
 
 def hash64(text: Column) -> Column:
     """A 64-bit hash as BIGINT from 16 hex digits (`0x` before them, a hyphen or blanks among them) or 64 binary digits;
     NULL where it is missing or cut off."""
     bare = F.regexp_replace(F.regexp_replace(F.lower(text), r"^\s*0x", ""), r"[\s:_-]", "")
-    return F.when(bare.rlike("^[0-9a-f]{16}$"), F.conv(bare, 16, -10).cast("bigint")).when(
-        bare.rlike("^[01]{64}$"), F.conv(bare, 2, -10).cast("bigint")
+    return let(
+        bare,
+        lambda b: F.when(b.rlike("^[0-9a-f]{16}$"), F.conv(b, 16, -10).cast("bigint")).when(b.rlike("^[01]{64}$"), F.conv(b, 2, -10).cast("bigint")),
     )
 
 
 def named(text: Column) -> Column:
     """An identifier without case and surrounding blanks; NULL where it names nothing."""
-    bare = stripped(text)
-    return F.when(~bare.isin(*EMPTY_WORDS), bare)
+    return let(stripped(text), lambda b: F.when(~b.isin(*EMPTY_WORDS), b))
 
 
 def wide_key(text: Column, *more: Column) -> Column:
