@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import components, history
+from lamella.llm import components, history, splits, survivors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,12 +29,38 @@ def p4_leakage_groups(spark: SparkSession, folder: str) -> DataFrame:
     return components.leakage_groups(_table(spark, folder, "images"), _table(spark, folder, "near_pairs"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = survivors.selection(survivors.surviving_fields(_table(spark, folder, "deliveries")))
+    return chosen.filter("exclusion_reason is not null").select("image_id", "canonical_image_id", "exclusion_reason")
+
+
+def p3_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors.surviving_records(_table(spark, folder, "deliveries"))
+
+
+def p3_source_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors.source_quality(_table(spark, folder, "deliveries"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.torn_groups(_table(spark, folder, "split_manifest"))
+
+
+def p5_split(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.grouped_split(_table(spark, folder, "split_manifest"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p1_latest_batch": p1_latest_batch,
+        "p3_found": p3_found,
+        "p3_survivors": p3_survivors,
+        "p3_source_quality": p3_source_quality,
         "p4_found": p4_found,
         "p4_leakage_groups": p4_leakage_groups,
+        "p5_found": p5_found,
+        "p5_split": p5_split,
     }
 
 
