@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import components, history, splits, survivors
+from lamella.llm import components, history, splits, survivors, tokenize
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def p5_split(spark: SparkSession, folder: str) -> DataFrame:
     return splits.grouped_split(_table(spark, folder, "split_manifest"))
 
 
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenize.token_ids(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_leakage_groups": p4_leakage_groups,
         "p5_found": p5_found,
         "p5_split": p5_split,
+        "p6_ids": p6_ids,
     }
 
 
