@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import components, history, splits, survivors, tokenize
+from lamella.llm import spam, components, history, splits, survivors, tokenize
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,14 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.token_ids(_table(spark, folder, "documents"))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.spam_pages(_table(spark, folder, "documents"))
+
+
+def p8_curves(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.page_curves(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -66,6 +74,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p5_split": p5_split,
         "p6_ids": p6_ids,
+        "p8_found": p8_found,
+        "p8_curves": p8_curves,
     }
 
 
