@@ -7,7 +7,8 @@ the same language and of comparable length (octaves). Extreme pages, and pages w
 good part, go on to an exact check over the whole text: a word counts as spam in a link or tag, or where the words
 around it are few function words and many bursty ones; a page is found if more than half of its letters are spam.
 
-A word is bursty on a page if it occurs three times there and, over all pages, at least twice on a page that has it.
+A word is bursty on a page if it occurs three times there and, over all pages, at least twice on a page that has it, or
+twice there and over all pages at least three times on a page that has it, or six times there and in at least two of a hundred tokens. Numbers say nothing; they go with the word before them.
 
 Defined results: NULL, empty and blank texts, and texts without words or links are not found; a page of one link is;
 lang without case, missing ones are one language of their own; repeated rows of one doc_id give one row; extra columns
@@ -34,7 +35,7 @@ _ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|\b[\w-]+(?:\.[\w-]+)*\.(?:" + ENDI
 _LINK = r"<a\b[^>]{0,2000}>[^<]{0,1000}</a>|!?\[[^\]\n]{0,500}\]\([^)\s]{0,2000}\)|" + _ADDRESS
 _HASHTAG = r"#[^\W\d_][\w-]*"
 _MARKUP = r"</?[a-zA-Z][^<>]{0,2000}>|&[a-z]{2,8};"
-_NUMBER = r"\d+(?:[.,]\d+)*"
+_NUMBER = r"(?:\b[Nn][or]\.\s?)?\d+(?:[.,]\d+)*"
 _WORD = r"[^\W\d_]+"
 TOKEN = "|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD))
 
@@ -53,7 +54,7 @@ REACH = 6
 def _kind(token: Column) -> Column:
     return (
         F.when(token.startswith("#"), TAG)
-        .when(token.startswith("<a ") | token.startswith("[") | token.startswith("![") | token.contains("/") | token.contains("."), F.when(token.rlike(r"^[\d.,]+$"), NUMBER).when(token.startswith("<") & ~token.startswith("<a "), None).otherwise(LINK))
+        .when(token.startswith("<a ") | token.startswith("[") | token.startswith("![") | token.contains("/") | token.contains("."), F.when(token.rlike(r"^(?:[Nn][or]\.\s?)?\d[\d.,]*$"), NUMBER).when(token.startswith("<") & ~token.startswith("<a "), None).otherwise(LINK))
         .when(token.startswith("<") | token.startswith("&"), None)
         .when(token.rlike(r"^\d"), NUMBER)
         .otherwise(F.lower(token))
@@ -83,10 +84,15 @@ def curves(counts: DataFrame) -> DataFrame:
         F.coalesce("pages", F.lit(1)).alias("pages"),
         F.coalesce("total", "c").alias("total"),
         "all_pages",
+        F.sum("c").over(Window.partitionBy("doc_id")).alias("page_tokens"),
         F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")).alias("rank"),
     )
-    bursty = (F.col("c") >= 3) & (F.col("total") / F.col("pages") >= 2)
     marked = F.col("token").isin(LINK, TAG)
+    bursty = (F.col("token") != NUMBER) & (
+        ((F.col("c") >= 3) & (F.col("total") / F.col("pages") >= 2))
+        | ((F.col("c") >= 2) & (F.col("total") / F.col("pages") >= 3))
+        | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
+    )
     x, y = F.log("rank"), F.log("c")
     sums = ranked.groupBy("doc_id", "lang").agg(
         F.sum("c").alias("tokens"),
@@ -134,13 +140,17 @@ def spam_share(text: str, keywords: set[str]) -> float:
         kind, token = m.lastgroup, m.group()
         if kind == "markup":
             continue
+        if kind == "number":
+            if length:
+                length[-1] += len(token)
+            continue
         word = token.lower()
         length.append(len(_BARE.sub("", token)) if kind == "link" else len(token))
         link.append(kind == "link")
         is_stop = kind == "word" and (word in FUNCTION_WORDS or bool(_PARTICLES.search(word)))
         stop.append(is_stop)
         words.append(word if is_stop else None)
-        key.append(kind == "link" or (kind == "word" and not is_stop and word in keywords) or (kind == "number" and NUMBER in keywords))
+        key.append(kind == "link" or (not is_stop and word in keywords))
     n = len(length)
     if n == 0:
         return 0.0
@@ -165,7 +175,7 @@ def spam_share(text: str, keywords: set[str]) -> float:
         k = np.clip(k, 0, n - 1)
         different += inside & np.asarray(stop)[k] & (distinct_from[k] < low)
     few = (around(stop) < 0.13) | (different <= 1) if len(stops) else np.ones(n, bool)
-    spam = np.asarray(link) | (few & (around(key) >= 0.4))
+    spam = np.asarray(link) | (few & (around(key) >= 0.35))
     size = np.asarray(length, float)
     return float(size[spam].sum() / size.sum())
 
