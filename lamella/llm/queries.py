@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import spam, components, history, splits, survivors, tokenize
+from lamella.llm import leaks, spam, components, history, splits, survivors, tokenize
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,14 @@ def p8_curves(spark: SparkSession, folder: str) -> DataFrame:
     return spam.page_curves(_table(spark, folder, "documents"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"))
+
+
+def p7_reparameterised(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.reparameterised(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -76,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_ids": p6_ids,
         "p8_found": p8_found,
         "p8_curves": p8_curves,
+        "p7_found": p7_found,
+        "p7_reparameterised": p7_reparameterised,
     }
 
 
