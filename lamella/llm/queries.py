@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import leaks, spam, components, history, splits, survivors, tokenize
+from lamella.llm import names, leaks, spam, components, history, splits, survivors, tokenize
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,6 +70,14 @@ def p7_reparameterised(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.reparameterised(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.mapped_labels(_table(spark, folder, "taxon_labels"), _table(spark, folder, "taxon_reference"))
+
+
+def p2_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    return names.unmatched_labels(_table(spark, folder, "taxon_labels"), _table(spark, folder, "taxon_reference"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -86,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_curves": p8_curves,
         "p7_found": p7_found,
         "p7_reparameterised": p7_reparameterised,
+        "p2_found": p2_found,
+        "p2_unmatched": p2_unmatched,
     }
 
 
