@@ -6,8 +6,9 @@ distance decides. Corrected tokens are then combined by soft TF-IDF: an entry's
 of each of its tokens found, times its similarity, and the complete entry of the highest score is the one meant.
 Equal rows are worked out once; tokens are worked out once however many rows have them.
 
-What is written is folded first: markup, entities, accents, look-alike letters, capitals, joined words (`GenusEpithet`)
-and what scanners confuse (0 and o, 1 and l, rn and m, cl and d), on both sides alike.
+What is written is folded first: markup, entities, accents, look-alike letters, capitals and joined words
+(`GenusEpithet`). Tokens meet in two spellings, as they are and with what scanners confuse made alike on both sides (rn
+and m, cl and d). A token that no vocabulary token is near, next to a genus, is held against that genus' own epithets.
 
 Which entry is meant: the species of an epithet that stands without a qualifier, else the genus, else none. The label
 goes before the species field, that before the genus field. An epithet after cf., aff. and the like is no epithet;
@@ -41,7 +42,7 @@ _TAGS = regex.compile(r"<[^<>]*>")
 
 
 def fold_tokens(text: str | None) -> list[dict]:
-    """The tokens of a field: t (folded, as used for keys), w (as written, lower case), short (an abbreviation)."""
+    """The tokens of a field: t (folded), short (an abbreviation)."""
     if not text:
         return []
     out = []
@@ -53,12 +54,11 @@ def fold_tokens(text: str | None) -> list[dict]:
             word = word.replace("0", "o").replace("1", "l")
         if not word or word.isdigit():
             continue
-        key = word.replace("rn", "m").replace("cl", "d")
-        out.append({"t": key, "w": word, "short": raw.endswith(".") or len(word) == 1})
+        out.append({"t": word, "short": raw.endswith(".") or len(word) == 1})
     return out
 
 
-_TOKENS = T.ArrayType(T.StructType([T.StructField("t", T.StringType()), T.StructField("w", T.StringType()), T.StructField("short", T.BooleanType())]))
+_TOKENS = T.ArrayType(T.StructType([T.StructField("t", T.StringType()), T.StructField("short", T.BooleanType())]))
 
 
 @F.pandas_udf(_TOKENS)
@@ -68,7 +68,7 @@ def tokens_of(texts: pd.Series) -> pd.Series:
 
 def allowed(length: Column) -> Column:
     """Edits that a token of this length may have."""
-    return F.when(length < 5, 0).when(length < 8, 1).otherwise(2)
+    return F.when(length < 5, 0).when(length < 7, 1).otherwise(2)
 
 
 def deletions(token: Column) -> Column:
@@ -109,12 +109,25 @@ def vocabulary(listed: DataFrame) -> DataFrame:
     return tokens.groupBy("v", "kind").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total)).select("v", "kind", F.log1p(F.col("n") / F.col("df")).alias("idf"))
 
 
+def alike(token: Column) -> Column:
+    """The token with what scanners confuse made alike."""
+    return F.replace(F.replace(token, F.lit("rn"), F.lit("m")), F.lit("cl"), F.lit("d"))
+
+
 def repaired(tokens: DataFrame, words: DataFrame) -> DataFrame:
     """t, v, kind, idf, similarity: the vocabulary tokens within the allowed distance of each token, the nearest of each kind."""
-    mine = tokens.select("t", F.explode(deletions(F.col("t"))).alias("left")).select("t", F.xxhash64("left").alias("k"))
-    theirs = words.select("v", "kind", "idf", F.explode(deletions(F.col("v"))).alias("left")).select("v", "kind", "idf", F.xxhash64("left").alias("k"))
-    length = F.least(F.length("t"), F.length("v"))
-    near = mine.join(theirs, "k").select("t", "v", "kind", "idf").distinct().withColumn("d", F.levenshtein("t", "v")).filter(F.col("d") <= allowed(length))
+
+    def keyed(table: DataFrame, token: str, *more: str) -> DataFrame:
+        spelt = table.select(token, *more, F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col(token).alias("s")), F.struct(F.lit(1).alias("way"), alike(F.col(token)).alias("s")))).alias("x"))
+        return spelt.select(token, *more, F.col("x.s").alias(f"{token}_s"), F.explode(deletions(F.col("x.s"))).alias("left"), "x.way").select(
+            token, *more, f"{token}_s", F.xxhash64("way", "left").alias("k")
+        )
+
+    length = F.greatest(F.length("t_s"), F.length("v_s"))
+    near = (
+        keyed(tokens, "t").join(keyed(words, "v", "kind", "idf"), "k").select("t", "v", "kind", "idf", "t_s", "v_s").distinct()
+        .withColumn("d", F.levenshtein("t_s", "v_s")).filter(F.col("d") <= allowed(length))
+    )
     nearest = near.groupBy("t", "kind").agg(F.min(F.struct("d", "v", "idf")).alias("x"))
     return nearest.select("t", "kind", "x.v", "x.idf", (1 - F.col("x.d") / F.greatest(F.length("t"), F.length("x.v"))).alias("similarity"))
 
@@ -124,10 +137,10 @@ def meanings(rows: DataFrame, reference: DataFrame) -> DataFrame:
     listed = materialize(entries(reference))
     fields = rows.select("key", F.posexplode(F.array(*(tokens_of(F.col(f)) for f in FIELDS))).alias("field", "tokens"))
     placed = materialize(fields.select("key", "field", F.posexplode("tokens").alias("pos", "x"), "tokens").select(
-        "key", "field", "pos", "x.t", "x.w", "x.short",
-        F.when(F.col("pos") > 0, F.try_element_at("tokens", F.col("pos")).getField("w")).alias("before"),
+        "key", "field", "pos", "x.t", "x.short",
+        F.when(F.col("pos") > 0, F.try_element_at("tokens", F.col("pos")).getField("t")).alias("before"),
     ))
-    fixes = materialize(repaired(placed.filter(~F.col("w").isin(*NOTES, *QUALIFIERS)).select("t").distinct(), vocabulary(listed)))
+    fixes = materialize(repaired(placed.filter(~F.col("t").isin(*NOTES, *QUALIFIERS)).select("t").distinct(), vocabulary(listed)))
     found = materialize(placed.join(fixes, "t").select("key", "field", "pos", "kind", "v", "idf", "similarity", F.coalesce(F.col("before").isin(*QUALIFIERS), F.lit(False)).alias("qualified")))
 
     genera = found.filter("kind = 'genus'").groupBy("key", F.col("v").alias("genus_key")).agg(
@@ -139,12 +152,25 @@ def meanings(rows: DataFrame, reference: DataFrame) -> DataFrame:
     by_joined = found.filter("kind = 'joined'").join(species.select("taxon_id", "genus_key", F.concat("genus_key", "epithet_key").alias("v")), "v")
     # A whole word before the epithet that is no listed genus and no note: the epithet is of some other genus.
     named = found.filter("kind = 'genus'").select("key", "field", "pos").distinct()
-    strange = placed.join(named, ["key", "field", "pos"], "left_anti").filter((F.col("pos") == 0) & ~F.col("short") & ~F.col("w").isin(*NOTES, *QUALIFIERS)).select("key", "field", "t")
-    epithets = by_epithet.unionByName(by_joined)
+    strange = placed.join(named, ["key", "field", "pos"], "left_anti").filter((F.col("pos") == 0) & ~F.col("short") & ~F.col("t").isin(*NOTES, *QUALIFIERS)).select("key", "field", "t")
+    # A token after a genus that nothing in the vocabulary is near: held against the epithets of that genus.
+    unread = placed.join(fixes.select("t").distinct(), "t", "left_anti").filter(
+        ~F.col("short") & (F.length("t") >= 5) & ~F.col("t").isin(*NOTES, *QUALIFIERS) & ~F.coalesce(F.col("before").isin(*QUALIFIERS), F.lit(False))
+    )
+    beside = found.filter("kind = 'genus'").select("key", F.col("v").alias("genus_key"), F.col("field").alias("g_field"), F.col("pos").alias("g_pos"), "idf")
+    by_genus = (
+        unread.join(beside, "key")
+        .filter((F.col("field") != F.col("g_field")) & (F.col("pos") == 0) | (F.col("field") == F.col("g_field")) & (F.abs(F.col("pos") - F.col("g_pos")) == 1))
+        .join(species.select("taxon_id", "genus_key", F.col("epithet_key").alias("v")), "genus_key")
+        .withColumn("similarity", 1 - F.levenshtein("t", "v") / F.greatest(F.length("t"), F.length("v")))
+        .filter("similarity >= 0.65")
+        .select("key", "field", "pos", F.lit("epithet").alias("kind"), "v", "idf", "similarity", F.lit(False).alias("qualified"), "taxon_id", "genus_key")
+    )
+    epithets = by_epithet.unionByName(by_joined).unionByName(by_genus)
     scored = (
         epithets.join(genera, ["key", "genus_key"], "left")
         .join(strange.withColumnRenamed("t", "leading"), ["key", "field"], "left")
-        .withColumn("other_genus", F.col("leading").isNotNull() & (F.col("pos") > 0) & F.col("genus_score").isNull())
+        .withColumn("other_genus", F.col("leading").isNotNull() & (F.col("pos") > 0) & F.col("genus_score").isNull() & (F.levenshtein("leading", "genus_key") > 3))
         .filter("not other_genus")
         .select("key", "field", "taxon_id", (F.col("idf") * F.col("similarity") + F.coalesce("genus_score", F.lit(0.0))).alias("score"))
     )
