@@ -34,10 +34,8 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
         steps.append(parent)
         up = lambda c: parent.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to"))
         moved = live.join(up("u"), "u").join(up("v"), "v")
-        # A parent is itself a vertex of this round, with a parent of its own: its edge keeps chains together.
-        chain = parent.join(up("node").select(F.col("node").alias("to"), F.col("node_to").alias("top")), "to").select(F.col("to").alias("u"), F.col("top").alias("v"))
         following = materialize(
-            moved.select(F.col("u_to").alias("u"), F.col("v_to").alias("v")).unionByName(chain).filter("u <> v")
+            moved.select(F.col("u_to").alias("u"), F.col("v_to").alias("v")).filter("u <> v")
             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         )
         release(live)
