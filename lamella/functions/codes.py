@@ -24,12 +24,13 @@ CODES = {
 def references(text: Column, codes: dict[str, str] = CODES) -> Column:
     """namespace, identifier, matched_text of every code in a text, by name space and place. Case does not matter in
     matching and is kept in what is found."""
-    per_space = []
-    for space, pattern in codes.items():
+
+    def of(space: str, pattern: str) -> Column:
         p = F.lit("(?iU)" + pattern)
-        pairs = F.arrays_zip(F.regexp_extract_all(text, p, F.lit(1)).alias("i"), F.regexp_extract_all(text, p, F.lit(0)).alias("m"))
-        per_space.append(F.transform(pairs, lambda x, space=space: F.struct(F.lit(space).alias("namespace"), x["i"].alias("identifier"), x["m"].alias("matched_text"))))
-    return F.concat(*per_space)
+        identifiers, whole = F.regexp_extract_all(text, p, F.lit(1)), F.regexp_extract_all(text, p, F.lit(0))
+        return F.zip_with(identifiers, whole, lambda i, m: F.struct(F.lit(space).alias("namespace"), i.alias("identifier"), m.alias("matched_text")))
+
+    return F.concat(*(of(*x) for x in codes.items()))
 
 
 def caption_references(captions: DataFrame, *keys: str) -> DataFrame:

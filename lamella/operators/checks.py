@@ -70,7 +70,7 @@ def canonical_reference_violations(records: DataFrame) -> DataFrame:
     ).filter("code is not null")
 
 
-HEX64, HEX16 = "^[0-9a-f]{64}$", "^[0-9a-f]{16}$"
+HEX64, HEX16 = r"\A[0-9a-f]{64}\z", r"\A[0-9a-f]{16}\z"
 #: Closed vocabularies of a record.
 SOURCES = ("tgfc", "idphy", "soil")
 STATUSES = ("included", "excluded_redundant")

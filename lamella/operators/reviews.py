@@ -27,7 +27,7 @@ def review_constraints() -> dict[str, Column]:
         "image_id": trimmed("image_id"),
         "annotator_id": trimmed("annotator_id"),
         "reviewer_id": trimmed("reviewer_id"),
-        "image_sha256": c("image_sha256").rlike("^[0-9a-f]{64}$"),
+        "image_sha256": c("image_sha256").rlike(r"\A[0-9a-f]{64}\z"),
         "annotation_version": c("annotation_version") > 0,
         "review_status": c("review_status") == "adjudicated",
         "disposition": c("disposition").isin(*DISPOSITIONS),

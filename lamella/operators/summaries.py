@@ -11,14 +11,13 @@ from lamella.functions import paths
 def counts_by(df: DataFrame, *dimensions: str) -> DataFrame:
     """dimension, value, n for several columns in one pass; NULL counts as `unspecified`, arrays by element."""
     kinds = dict(df.dtypes)
-    parts = []
-    for d in dimensions:
+
+    def values(d: str):
         if kinds[d].startswith("array"):
-            values = F.transform(F.coalesce(d, F.array().cast("array<string>")), lambda v, d=d: F.struct(F.lit(d).alias("dimension"), v.cast("string").alias("value")))
-        else:
-            values = F.array(F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("unspecified")).alias("value")))
-        parts.append(values)
-    return df.select(F.explode(F.concat(*parts)).alias("x")).groupBy("x.dimension", "x.value").agg(F.count("*").alias("n"))
+            return F.transform(F.coalesce(d, F.array().cast("array<string>")), lambda v: F.struct(F.lit(d).alias("dimension"), v.cast("string").alias("value")))
+        return F.array(F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d).cast("string"), F.lit("unspecified")).alias("value")))
+
+    return df.select(F.explode(F.concat(*map(values, dimensions))).alias("x")).groupBy("x.dimension", "x.value").agg(F.count("*").alias("n"))
 
 
 def rank_values(df: DataFrame) -> DataFrame:

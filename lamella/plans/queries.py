@@ -7,6 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamella.functions import codes, flags, hashing, ids, paths, scan, taxa
+from lamella.functions.digests import sha256_hex, stripped
+from lamella.operators import checks, curation, graph, labels, reviews, splitting, summaries
+from lamella.plans.records import BARE_SHA, RECORDS_SQL, SHA, records
+from lamella.sources import boxes, lines
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -27,6 +33,17 @@ def query(sql: str | None = None):
     return register
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
+
+
+# Equivalence and curation
+
+
 @query("""
     WITH d AS (SELECT doc_id, sha256(text) AS content FROM documents WHERE text IS NOT NULL),
     c AS (SELECT content, min(doc_id) AS canonical_id FROM d GROUP BY content)
@@ -41,9 +58,629 @@ def exact_dedup(spark, folder):
     )
 
 
-def queries():
-    return dict(QUERIES)
+@query("""
+    WITH d AS (SELECT doc_id, sha256(text) AS content, lang, doc_kind FROM documents WHERE text IS NOT NULL)
+    SELECT min(doc_id) AS canonical_id, count(*) AS members,
+           count(DISTINCT lang) > 1 OR count(DISTINCT doc_kind) > 1 AS conflict
+    FROM d GROUP BY content HAVING count(*) > 1""")
+def dedup_clusters(spark, folder):
+    d = table(spark, folder, "documents").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("content"), "lang", "doc_kind")
+    differ = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False))
+    return (
+        d.groupBy("content").agg(F.min("doc_id").alias("canonical_id"), F.count("*").alias("members"), (differ("lang") | differ("doc_kind")).alias("conflict"))
+        .filter("members > 1").select("canonical_id", "members", "conflict")
+    )
 
 
-def oracle_sql():
-    return dict(SQL)
+CURATED_SQL = f"""
+    WITH {RECORDS_SQL},
+    k AS (SELECT *, CASE WHEN frame_count = 1 THEN 'l:' || lossless_transform_sha256 ELSE 'b:' || sha256 END AS g FROM rec),
+    c AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY relative_path, record_no::VARCHAR) AS pos FROM k WHERE g IS NOT NULL),
+    f AS (SELECT g, record_no AS c_no, sha256 AS c_sha, pixel_sha256 AS c_pixel FROM c WHERE pos = 1),
+    cur AS (SELECT k.record_no, coalesce(f.c_no, k.record_no) AS canonical_no,
+        CASE WHEN f.c_no <> k.record_no THEN 'excluded_redundant' ELSE 'included' END AS selection_status,
+        CASE WHEN f.c_no <> k.record_no THEN CASE WHEN k.sha256 = f.c_sha THEN 'exact_file_duplicate'
+            WHEN k.pixel_sha256 = f.c_pixel THEN 'exact_pixel_duplicate' ELSE 'lossless_transform_duplicate' END END AS exclusion_reason
+        FROM k LEFT JOIN f ON k.g = f.g)"""
+
+
+@query(CURATED_SQL + " SELECT record_no, canonical_no, selection_status, exclusion_reason FROM cur")
+def curated_records(spark, folder):
+    c = curation.curate(records(table(spark, folder, "images")))
+    return c.select("record_no", F.col("canonical_image_id").cast("bigint").alias("canonical_no"), "selection_status", "exclusion_reason")
+
+
+@query(CURATED_SQL + " SELECT exclusion_reason, count(*) AS n FROM cur WHERE exclusion_reason IS NOT NULL GROUP BY 1")
+def dedup_reason_counts(spark, folder):
+    c = curation.curate(records(table(spark, folder, "images")))
+    return c.filter("exclusion_reason is not null").groupBy("exclusion_reason").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    WITH {RECORDS_SQL},
+    k AS (SELECT CASE WHEN frame_count = 1 THEN 'l:' || lossless_transform_sha256 ELSE 'b:' || sha256 END AS g, candidate_groups FROM rec)
+    SELECT g AS group_key, count(*) AS members, count(DISTINCT candidate_groups) > 1 AS conflict FROM k WHERE g IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
+def label_conflicts(spark, folder):
+    return curation.clusters(records(table(spark, folder, "images"))).filter("members > 1").select("group_key", "members", "conflict")
+
+
+@query(f"""
+    WITH {RECORDS_SQL}
+    SELECT sha256, count(*) AS n, min(record_no) AS first_member FROM rec WHERE sha256 IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
+def hash_duplicate_groups(spark, folder):
+    return curation.hash_groups(records(table(spark, folder, "images")), "sha256", "record_no")
+
+
+@query("SELECT doc_id, least(sha256(text), sha256(array_to_string(list_reverse(string_split(text, ' ')), ' ')), sha256(lower(text))) AS invariant FROM documents WHERE text IS NOT NULL")
+def invariant_hash(spark, folder):
+    t = F.col("text")
+    return table(spark, folder, "documents").filter("text is not null").select("doc_id", F.least(F.sha2(t, 256), F.sha2(F.array_join(F.reverse(F.split(t, " ")), " "), 256), F.sha2(F.lower(t), 256)).alias("invariant"))
+
+
+@query("""
+    SELECT vec_id, lower(lpad(to_hex(list_sum(list_transform(range(1, 64),
+        lambda i: CASE WHEN embedding[i] > embedding[i + 1] THEN (1::HUGEINT << (63 - i)::INT) ELSE 0::HUGEINT END))::UBIGINT), 16, '0')) AS dhash
+    FROM embeddings""")
+def dhash_bits(spark, folder):
+    e = table(spark, folder, "embeddings")
+    return e.select("vec_id", hashing.hex64(hashing.falling_bits([F.col("embedding")[i] for i in range(64)])).alias("dhash"))
+
+
+NEAR_SQL = f"""
+    WITH {RECORDS_SQL},
+    i AS MATERIALIZED (SELECT record_no, dhash FROM rec WHERE bit_count(dhash) BETWEEN 4 AND 60),
+    p AS (SELECT a.record_no AS key_a, b.record_no AS key_b, bit_count(xor(a.dhash, b.dhash))::BIGINT AS distance
+          FROM i a JOIN i b ON a.record_no < b.record_no AND bit_count(xor(a.dhash, b.dhash)) <= 2)"""
+
+
+@query(NEAR_SQL + " SELECT key_a, key_b, distance FROM p")
+def near_dup_pairs(spark, folder):
+    return curation.near_pairs(records(table(spark, folder, "images")), "record_no", "dhash")
+
+
+@query(NEAR_SQL + """, w AS (SELECT key_a AS record_no FROM p UNION SELECT key_b FROM p)
+    SELECT r.record_no, w.record_no IS NOT NULL AS near FROM rec r LEFT JOIN w USING (record_no)""")
+def near_dup_flagged(spark, folder):
+    r = records(table(spark, folder, "images"))
+    flagged = curation.flag_near(r, curation.near_pairs(r, "record_no", "dhash"), "record_no")
+    return flagged.select("record_no", F.array_contains("import_flags", "near_duplicate_candidate").alias("near"))
+
+
+# Groups of related records
+
+
+TOKENS_SQL = f"""
+    WITH RECURSIVE img AS (SELECT record_no, image_id, source_id, {BARE_SHA.format('sha256')} AS s0, {BARE_SHA.format('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count,
+        relationship_keys, lineage, selection_status FROM images),
+    t AS (
+        SELECT image_id AS node, 'file' || chr(1) || s0 AS token, selection_status FROM img WHERE regexp_full_match(s0, '[0-9a-f]{{64}}')
+        UNION SELECT image_id, 'pixels' || chr(1) || p0, selection_status FROM img WHERE frame_count = 1 AND regexp_full_match(p0, '[0-9a-f]{{64}}')
+        UNION SELECT image_id, 'lossless' || chr(1) || l, selection_status FROM img WHERE frame_count = 1 AND l <> ''
+        UNION SELECT image_id, 'relationship' || chr(1) || unnest(list_filter(relationship_keys, lambda x: x <> '')), selection_status FROM img
+        UNION SELECT image_id, CASE WHEN e.key = 'source_parent_id' THEN e.key || chr(1) || source_id || chr(1) || e.value ELSE 'lineage' || chr(1) || e.key || chr(1) || e.value END, selection_status
+            FROM (SELECT image_id, source_id, selection_status, unnest(map_entries(lineage)) AS e FROM img) WHERE e.value <> '' AND e.key <> 'parent_image_id'
+        UNION SELECT image_id, 'id' || chr(1) || image_id, selection_status FROM img
+        UNION SELECT image_id, 'id' || chr(1) || lineage['parent_image_id'], selection_status FROM img WHERE lineage['parent_image_id'] <> '')"""
+
+
+def _split_records(spark, folder):
+    i = table(spark, folder, "images")
+    return i.select(
+        "image_id", "source_id", sha256_hex(F.col("sha256")).alias("sha256"), sha256_hex(F.col("pixel_sha256")).alias("pixel_sha256"), "lossless_transform_sha256",
+        "frame_count", "relationship_keys", "lineage", "selection_status", F.lit(None).cast("string").alias("canonical_image_id"),
+    )
+
+
+def _closure(tokens: str) -> str:
+    """Labels by the smallest node reachable, propagated as sets (small inputs only)."""
+    return f"""
+    , e AS MATERIALIZED (SELECT DISTINCT h.hub AS u, t.node AS v FROM {tokens} t JOIN (SELECT token, min(node) AS hub FROM {tokens} GROUP BY 1) h USING (token) WHERE h.hub <> t.node),
+    b AS MATERIALIZED (SELECT u, v FROM e UNION SELECT v, u FROM e),
+    reach AS (SELECT node AS a, node AS z FROM (SELECT DISTINCT node FROM {tokens}) UNION SELECT reach.a, b.v FROM reach JOIN b ON reach.z = b.u),
+    lab AS (SELECT a AS node, min(z) AS root FROM reach GROUP BY 1)"""
+
+
+@query(TOKENS_SQL + _closure("t") + " SELECT node AS image_id, root FROM lab")
+def components(spark, folder):
+    return graph.observed_groups(_split_records(spark, folder))
+
+
+@query(TOKENS_SQL + ", kept AS (SELECT DISTINCT node, token FROM t WHERE selection_status = 'included')" + _closure("t")
+       + ", e2 AS MATERIALIZED (SELECT DISTINCT h.hub AS u, t.node AS v FROM kept t JOIN (SELECT token, min(node) AS hub FROM kept GROUP BY 1) h USING (token) WHERE h.hub <> t.node),"
+       + " b2 AS MATERIALIZED (SELECT u, v FROM e2 UNION SELECT v, u FROM e2),"
+       + " reach2 AS (SELECT node AS a, node AS z FROM (SELECT DISTINCT node FROM kept) UNION SELECT reach2.a, b2.v FROM reach2 JOIN b2 ON reach2.z = b2.u),"
+       + " lab2 AS (SELECT a AS node, min(z) AS root FROM reach2 GROUP BY 1)"
+       + " SELECT (SELECT count(DISTINCT root) FROM lab JOIN (SELECT DISTINCT node FROM kept) k USING (node)) AS with_bridges, (SELECT count(DISTINCT root) FROM lab2) AS without_bridges")
+def bridge_components(spark, folder):
+    r = _split_records(spark, folder)
+    kept = r.filter("selection_status = 'included'")
+    every = graph.observed_groups(r).join(kept.select("image_id").distinct(), "image_id", "left_semi").agg(F.count_distinct("root").alias("with_bridges"))
+    return every.crossJoin(graph.observed_groups(kept).agg(F.count_distinct("root").alias("without_bridges")))
+
+
+@query(f"""
+    WITH RECURSIVE img AS (SELECT image_id, source_id, {BARE_SHA.format('sha256')} AS s0, {BARE_SHA.format('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count, relationship_keys, lineage FROM images),
+    t AS (SELECT source_id AS node, 'file' || s0 AS token FROM img WHERE regexp_full_match(s0, '[0-9a-f]{{64}}')
+        UNION SELECT source_id, 'pixels' || p0 FROM img WHERE frame_count = 1 AND regexp_full_match(p0, '[0-9a-f]{{64}}')
+        UNION SELECT source_id, 'lossless' || l FROM img WHERE frame_count = 1 AND l <> ''
+        UNION SELECT source_id, 'image' || image_id FROM img UNION SELECT source_id, 'image' || lineage['parent_image_id'] FROM img WHERE lineage['parent_image_id'] <> ''
+        UNION SELECT source_id, 'key' || unnest(list_filter(relationship_keys, lambda x: x <> '')) FROM img
+        UNION SELECT source_id, e.key || e.value FROM (SELECT source_id, unnest(map_entries(lineage)) AS e FROM img)
+            WHERE e.value <> '' AND e.key IN ('tree_id', 'case_id', 'specimen_id', 'slide_id', 'video_id', 'isolate_id')
+        ){_closure('t')}
+    SELECT node AS source_id, root FROM lab""")
+def source_level_components(spark, folder):
+    r = _split_records(spark, folder)
+    tokens = graph.catalog_tokens(r).distinct()
+    return graph.components(r.select(F.col("source_id").alias("node")), graph.star_edges(tokens)).select(F.col("node").alias("source_id"), "root")
+
+
+@query("SELECT 'eg-' || substr(sha256(to_json(list_sort(list(DISTINCT image_id)))), 1, 16) AS group_id, count(DISTINCT image_id) AS images FROM split_manifest WHERE leakage_group_id IS NOT NULL GROUP BY leakage_group_id")
+def component_ids(spark, folder):
+    m = table(spark, folder, "split_manifest").filter("leakage_group_id is not null")
+    return m.groupBy("leakage_group_id").agg(ids.member_list_id("eg-", F.col("image_id")).alias("group_id"), F.count_distinct("image_id").alias("images")).drop("leakage_group_id")
+
+
+@query("""
+    WITH m AS (SELECT DISTINCT leakage_group_id, image_id FROM split_manifest WHERE leakage_group_id IS NOT NULL)
+    SELECT 'eg-' || substr(sha256(count(*)::VARCHAR || '|' || sum(('0x' || substr(sha256(image_id), 1, 12))::BIGINT)::VARCHAR || '|' || min(image_id)), 1, 16) AS group_id, count(*) AS images
+    FROM m GROUP BY leakage_group_id""")
+def component_digests(spark, folder):
+    m = table(spark, folder, "split_manifest").filter("leakage_group_id is not null").select("leakage_group_id", "image_id").distinct()
+    return m.groupBy("leakage_group_id").agg(ids.group_digest("eg-", F.col("image_id")).alias("group_id"), F.count("*").alias("images")).drop("leakage_group_id")
+
+
+@query("""
+    SELECT leakage_group_id, count(*) AS images, min(image_id) AS first_image, max(image_id) AS last_image,
+           list_sort(list(DISTINCT source_id)) AS sources, list_sort(list_distinct(flatten(list(candidate_groups)))) AS candidate_groups
+    FROM images WHERE leakage_group_id IS NOT NULL GROUP BY 1""")
+def component_inventory(spark, folder):
+    return splitting.group_inventory(table(spark, folder, "images").filter("leakage_group_id is not null"), "leakage_group_id")
+
+
+# Labels
+
+
+@query("""
+    WITH t AS (SELECT image_id, list(DISTINCT row(taxon_group, genus, species)) AS ids,
+            count(DISTINCT taxon_group) AS ng, count(*) FILTER (taxon_group IS NULL) AS zg, min(taxon_group) AS g,
+            count(DISTINCT genus) AS nn, count(*) FILTER (genus IS NULL) AS zn, min(genus) AS n,
+            count(DISTINCT species) AS ns, count(*) FILTER (species IS NULL) AS zs, min(species) AS s FROM taxon_labels GROUP BY 1),
+    c AS (SELECT *, CASE WHEN ng = 1 AND zg = 0 THEN g END AS cg FROM t),
+    d AS (SELECT *, CASE WHEN cg IS NOT NULL AND nn = 1 AND zn = 0 THEN n END AS cn FROM c)
+    SELECT image_id, cg AS taxon_group, cn AS genus, CASE WHEN cn IS NOT NULL AND ns = 1 AND zs = 0 THEN s END AS species,
+        CASE WHEN len(ids) > 1 THEN 'multiple_taxa' WHEN cg IS NULL THEN 'unresolved' WHEN cn IS NOT NULL THEN 'single_taxon' ELSE 'group_only' END AS status FROM d""")
+def taxon_consensus(spark, folder):
+    # The distinct triples of an image, not its rows: a label typed a million times is one taxon.
+    triples = table(spark, folder, "taxon_labels").groupBy("image_id").agg(F.collect_set(F.struct(*taxa.RANKS)).alias("taxa"))
+    return triples.select("image_id", taxa.consensus(F.col("taxa"), F.lit(None).cast("string")).alias("c")).select("image_id", "c.*")
+
+
+@query("""
+    SELECT label_id, CASE WHEN source_id = 'tgfc' AND source_label IN ('Colletotrichum siamense', 'Olivea tectonae', 'Neopestalotiopsis sp.', 'MixedClass') THEN 'fungi'
+        WHEN source_id = 'soil' AND source_label IN ('Fusarium', 'Trichoderma', 'Verticillium') THEN 'fungi'
+        WHEN source_id = 'soil' AND source_label IN ('Phytophtora', 'Phytophthora') THEN 'oomycetes'
+        WHEN source_id = 'idphy' AND regexp_matches(source_label, '^Phytophthora(\\s|$)') THEN 'oomycetes' ELSE taxon_group END AS taxon_group,
+        CASE WHEN source_id = 'idphy' AND regexp_matches(source_label, '^Phytophthora(\\s|$)') THEN 'genus' WHEN taxon_group IS NOT NULL THEN 'group' ELSE 'unresolved' END AS "rank"
+    FROM taxon_labels WHERE source_label IS NOT NULL""")
+def label_taxa(spark, folder):
+    t = table(spark, folder, "taxon_labels").filter("source_label is not null")
+    return t.select("label_id", taxa.taxon(F.col("source_id"), F.col("source_label"), F.col("taxon_group")).alias("t")).select("label_id", "t.taxon_group", "t.rank")
+
+
+@query("""
+    SELECT 'group' AS "rank", g AS label, i AS id, NULL AS parent FROM (VALUES ('fungi', 0), ('oomycetes', 1)) v(g, i)
+    UNION ALL SELECT 'genus', genus, row_number() OVER (ORDER BY genus) - 1, min(taxon_group) FROM taxon_reference WHERE genus IS NOT NULL GROUP BY genus
+    UNION ALL SELECT 'species', species, row_number() OVER (ORDER BY species) - 1, min(genus) FROM taxon_reference WHERE species IS NOT NULL GROUP BY species""")
+def label_map(spark, folder):
+    return labels.label_map(table(spark, folder, "taxon_reference"))
+
+
+@query("SELECT 'genus' AS \"rank\", genus AS label, count(DISTINCT taxon_group) AS parents FROM taxon_labels WHERE genus IS NOT NULL AND taxon_group IS NOT NULL GROUP BY 2 HAVING count(DISTINCT taxon_group) > 1 UNION ALL SELECT 'species', species, count(DISTINCT genus) FROM taxon_labels WHERE species IS NOT NULL AND genus IS NOT NULL GROUP BY 2 HAVING count(DISTINCT genus) > 1")
+def parent_fd_violations(spark, folder):
+    return labels.parent_conflicts(labels.rank_names(table(spark, folder, "taxon_labels")))
+
+
+MANIFEST_SQL = """
+    m AS (SELECT assignment_no, image_id, leakage_group_id AS grp, lower(trim(split)) AS split, source_id,
+        taxonomy.taxon_group AS taxon_group, taxonomy.genus AS genus, taxonomy.species AS species FROM split_manifest
+        WHERE leakage_group_id IS NOT NULL AND lower(trim(split)) IN ('train', 'validation', 'test')),
+    lm AS (SELECT 'genus' AS "rank", genus AS label, row_number() OVER (ORDER BY genus) - 1 AS id FROM taxon_reference WHERE genus IS NOT NULL GROUP BY genus
+        UNION ALL SELECT 'species', species, row_number() OVER (ORDER BY species) - 1 FROM taxon_reference WHERE species IS NOT NULL GROUP BY species)"""
+FEATURES_SQL = """
+    f AS (SELECT assignment_no, grp, split, unnest(['group', 'genus', 'species', 'source']) AS "rank", unnest([taxon_group, genus, species, source_id]) AS label FROM m),
+    fx AS (SELECT * FROM f WHERE label IS NOT NULL)"""
+SUPPORT_SQL = f"""
+    WITH {MANIFEST_SQL}, {FEATURES_SQL},
+    s0 AS (SELECT "rank", label, count(*) AS images, count(DISTINCT grp) AS observed_groups,
+        count(*) FILTER (split = 'train') AS train_images, count(*) FILTER (split = 'validation') AS validation_images, count(*) FILTER (split = 'test') AS test_images,
+        count(DISTINCT grp) FILTER (split = 'train') AS train_groups, count(DISTINCT grp) FILTER (split = 'validation') AS validation_groups, count(DISTINCT grp) FILTER (split = 'test') AS test_groups
+        FROM fx GROUP BY 1, 2),
+    s AS (SELECT *, train_images > 0 AS training_supported, "rank" NOT IN ('genus', 'species') OR (observed_groups >= 3 AND train_images > 0 AND validation_images > 0 AND test_images > 0) AS evaluation_supported FROM s0)"""
+
+
+def _manifest(spark, folder):
+    m = table(spark, folder, "split_manifest").filter("leakage_group_id is not null")
+    return m.select(
+        "assignment_no", "image_id", F.col("leakage_group_id").alias("grp"), F.lower(F.trim("split")).alias("split"), "source_id", "taxonomy.taxon_group", "taxonomy.genus", "taxonomy.species"
+    ).filter(F.col("split").isin(*labels.SPLITS))
+
+
+@query(f"""
+    WITH {MANIFEST_SQL}
+    SELECT m.assignment_no, CASE taxon_group WHEN 'fungi' THEN 0 WHEN 'oomycetes' THEN 1 ELSE -1 END::BIGINT AS group_target, coalesce(g.id, -1) AS genus_target, coalesce(s.id, -1) AS species_target,
+        coalesce(taxon_group IN ('fungi', 'oomycetes'), false) AS group_mask, g.id IS NOT NULL AS genus_mask, s.id IS NOT NULL AS species_mask
+    FROM m LEFT JOIN lm g ON g."rank" = 'genus' AND g.label = m.genus LEFT JOIN lm s ON s."rank" = 'species' AND s.label = m.species""")
+def rank_targets(spark, folder):
+    return labels.rank_targets(_manifest(spark, folder), labels.label_map(table(spark, folder, "taxon_reference")), "assignment_no")
+
+
+@query(f"WITH {MANIFEST_SQL}, {FEATURES_SQL} SELECT \"rank\", label, count(*) AS n FROM (SELECT * FROM f WHERE \"rank\" <> 'source') GROUP BY 1, 2")
+def rank_value_counts(spark, folder):
+    return summaries.rank_values(_manifest(spark, folder))
+
+
+@query(f"WITH {MANIFEST_SQL}, {FEATURES_SQL} SELECT \"rank\", label, count(*) AS images, count(DISTINCT grp) AS groups FROM fx GROUP BY 1, 2")
+def feature_support(spark, folder):
+    return labels.feature_support(_manifest(spark, folder), "grp")
+
+
+@query(SUPPORT_SQL + """ SELECT "rank", label, images, observed_groups, train_images, validation_images, test_images, train_groups, validation_groups, test_groups, training_supported, evaluation_supported FROM s""")
+def label_support(spark, folder):
+    return labels.label_support(_manifest(spark, folder), "grp", "split").drop("reasons")
+
+
+@query(SUPPORT_SQL + """, r AS (SELECT "rank", label, list_filter([CASE WHEN "rank" IN ('genus', 'species') AND observed_groups < 3 THEN 'fewer_than_three_observed_groups' END,
+        CASE WHEN "rank" IN ('genus', 'species') AND train_images = 0 THEN 'no_training_examples' END,
+        CASE WHEN "rank" IN ('genus', 'species') AND least(train_images, validation_images, test_images) = 0 THEN 'incomplete_threeway_coverage' END], lambda x: x IS NOT NULL) AS rs FROM s)
+    SELECT reason, count(*) AS n FROM (SELECT unnest(rs) AS reason FROM r) GROUP BY 1""")
+def mask_reasons(spark, folder):
+    return reviews.histogram(labels.label_support(_manifest(spark, folder), "grp", "split"), "reasons")
+
+
+@query(SUPPORT_SQL + """ SELECT "rank", count(*) AS labels, count(*) FILTER (training_supported) AS trained, count(*) FILTER (evaluation_supported) AS evaluable,
+        count(*) FILTER ("rank" IN ('genus', 'species') AND training_supported AND NOT evaluation_supported) AS train_only, count(*) FILTER (NOT training_supported) AS untrained FROM s GROUP BY 1""")
+def rank_coverage(spark, folder):
+    return labels.rank_coverage(labels.label_support(_manifest(spark, folder), "grp", "split"))
+
+
+@query(SUPPORT_SQL + """
+    SELECT m.assignment_no, CASE taxon_group WHEN 'fungi' THEN 0 WHEN 'oomycetes' THEN 1 ELSE -1 END::BIGINT AS group_target, coalesce(g.id, -1) AS genus_target, coalesce(p.id, -1) AS species_target,
+        coalesce(taxon_group IN ('fungi', 'oomycetes'), false) AS group_mask,
+        g.id IS NOT NULL AND (m.split = 'train' OR coalesce(sg.evaluation_supported, false)) AS genus_mask,
+        p.id IS NOT NULL AND (m.split = 'train' OR coalesce(sp.evaluation_supported, false)) AS species_mask
+    FROM m LEFT JOIN lm g ON g."rank" = 'genus' AND g.label = m.genus LEFT JOIN lm p ON p."rank" = 'species' AND p.label = m.species
+    LEFT JOIN s sg ON sg."rank" = 'genus' AND sg.label = m.genus LEFT JOIN s sp ON sp."rank" = 'species' AND sp.label = m.species""")
+def masked_targets(spark, folder):
+    m = _manifest(spark, folder)
+    t = labels.rank_targets(m, labels.label_map(table(spark, folder, "taxon_reference")), "assignment_no")
+    return labels.masked_targets(m, t, labels.label_support(m, "grp", "split"), "assignment_no", "split")
+
+
+# Splits
+
+
+@query(f"WITH {MANIFEST_SQL} SELECT split, count(*) AS images, count(DISTINCT grp) AS groups FROM m GROUP BY 1")
+def split_counts(spark, folder):
+    return splitting.split_counts(_manifest(spark, folder), "grp", "split")
+
+
+@query(f"WITH {MANIFEST_SQL} SELECT grp, count(DISTINCT split) AS partitions FROM m GROUP BY 1 HAVING count(DISTINCT split) > 1")
+def cross_partition_groups(spark, folder):
+    return splitting.torn_groups(_manifest(spark, folder), "grp", "split")
+
+
+@query()
+def grouped_split(spark, folder):
+    return splitting.assign_groups(_manifest(spark, folder), "grp")
+
+
+@query(f"""
+    WITH {MANIFEST_SQL}, t AS (SELECT DISTINCT 'source' || chr(1) || source_id AS token, split FROM m)
+    SELECT token, [min(split), max(split)] AS partitions FROM t GROUP BY 1 HAVING min(split) <> max(split)""")
+def crossing_relations(spark, folder):
+    m = _manifest(spark, folder)
+    tokens = m.select(F.col("assignment_no").alias("node"), F.concat_ws("\u0001", F.lit("source"), "source_id").alias("token"))
+    return graph.crossing_tokens(tokens, m.select(F.col("assignment_no").alias("node"), "split"))
+
+
+@query("""
+    WITH g AS (SELECT leakage_group_id AS group_id, list(DISTINCT image_id) AS members FROM split_manifest WHERE leakage_group_id IS NOT NULL GROUP BY 1),
+    x AS (SELECT unnest(members) AS mem, group_id FROM g)
+    SELECT min(group_id) AS group_id, 'repeated_member' AS code FROM x GROUP BY mem HAVING count(*) > 1""")
+def inventory_checks(spark, folder):
+    g = table(spark, folder, "split_manifest").filter("leakage_group_id is not null").groupBy(F.col("leakage_group_id").alias("group_id")).agg(F.collect_set("image_id").alias("members"))
+    return splitting.inventory_violations(g.select("group_id", F.lit("train").alias("split"), "members", F.col("members").alias("eligible")))
+
+
+# Versions, references and gates
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def latest_event(spark, folder):
+    return reviews.latest(table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type", "value"), "user_id", "ts", "event_id").select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT user_id, ts::DATE::VARCHAR AS day, count(*) AS n FROM events GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_versions(spark, folder):
+    return checks.repeated(table(spark, folder, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")), "user_id", "day")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def orphan_rows(spark, folder):
+    shipped = table(spark, folder, "orders").filter("o_orderstatus = 'F'")
+    return checks.orphans(table(spark, folder, "lineitem"), "l_orderkey", shipped, "o_orderkey").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT image_id_a AS image_id, count(*) AS n FROM near_pairs WHERE image_id_a IS NOT NULL AND image_id_a NOT IN (SELECT image_id FROM images) GROUP BY 1")
+def unknown_pair_ids(spark, folder):
+    return checks.orphans(table(spark, folder, "near_pairs").select(F.col("image_id_a").alias("image_id")), "image_id", table(spark, folder, "images"), "image_id").groupBy("image_id").agg(F.count("*").alias("n"))
+
+
+@query("""
+    SELECT delivery_id, list_filter([CASE WHEN coalesce(trim(relative_path), '') IN ('', '-', 'n/a') THEN 'no_path' END, CASE WHEN NOT coalesce(checksum_verified, false) THEN 'not_verified' END,
+        CASE WHEN frame_count IS NULL OR frame_count <> 1 THEN 'not_single_frame' END], lambda x: x IS NOT NULL) AS reasons FROM deliveries""")
+def exclusion_reasons(spark, folder):
+    return table(spark, folder, "deliveries").select(
+        "delivery_id",
+        flags.flags_where(
+            {
+                "no_path": F.coalesce(F.trim("relative_path"), F.lit("")).isin("", "-", "n/a"),
+                "not_verified": ~F.coalesce("checksum_verified", F.lit(False)),
+                "not_single_frame": F.coalesce(F.col("frame_count") != 1, F.lit(True)),
+            }
+        ).alias("reasons"),
+    )
+
+
+@query("SELECT reason, count(*) AS n FROM (SELECT unnest(import_flags) AS reason FROM images) GROUP BY 1")
+def reason_histogram(spark, folder):
+    return reviews.histogram(table(spark, folder, "images"), "import_flags")
+
+
+@query("""
+    SELECT s.s AS o_orderstatus, p.p AS o_orderpriority, count(o.o_orderkey) AS n FROM (SELECT DISTINCT o_orderstatus AS s FROM orders) s CROSS JOIN (SELECT DISTINCT o_orderpriority AS p FROM orders) p
+    LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON o.o_orderstatus = s.s AND o.o_orderpriority = p.p GROUP BY 1, 2""")
+def crosstab_zeros(spark, folder):
+    o = table(spark, folder, "orders")
+    return reviews.crosstab(o.filter("o_totalprice > 400000"), "o_orderstatus", "o_orderpriority", o, o)
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT image_id FROM split_manifest), b AS (SELECT DISTINCT image_id FROM taxon_labels)
+    SELECT count(*) FILTER (b.image_id IS NULL) AS only_left, count(*) FILTER (a.image_id IS NULL) AS only_right, count(*) FILTER (a.image_id IS NOT NULL AND b.image_id IS NOT NULL) AS both
+    FROM a FULL JOIN b USING (image_id)""")
+def coverage_diff(spark, folder):
+    a = table(spark, folder, "split_manifest").select("image_id").distinct().withColumn("l", F.lit(1))
+    b = table(spark, folder, "taxon_labels").select("image_id").distinct().withColumn("r", F.lit(1))
+    return a.join(b, "image_id", "full_outer").agg(F.count_if(F.expr("r is null")).alias("only_left"), F.count_if(F.expr("l is null")).alias("only_right"), F.count_if(F.expr("l is not null and r is not null")).alias("both"))
+
+
+@query("SELECT doc_id, image_id FROM documents WHERE image_id IN (SELECT image_id FROM images)")
+def eligibility_semi(spark, folder):
+    return table(spark, folder, "documents").join(table(spark, folder, "images"), "image_id", "left_semi").select("doc_id", "image_id")
+
+
+@query("SELECT d.doc_id, coalesce(d.image_id, 'not_linked') AS reason FROM documents d WHERE NOT EXISTS (SELECT 1 FROM images i WHERE i.image_id = d.image_id)")
+def eligibility_anti(spark, folder):
+    return table(spark, folder, "documents").join(table(spark, folder, "images"), "image_id", "left_anti").select("doc_id", F.coalesce("image_id", F.lit("not_linked")).alias("reason"))
+
+
+@query("""
+    WITH ids AS (SELECT DISTINCT image_id FROM images)
+    SELECT i.record_no, i.lineage['parent_image_id'] AS parent_id, ids.image_id IS NULL AS parent_image_missing
+    FROM images i LEFT JOIN ids ON ids.image_id = i.lineage['parent_image_id'] WHERE i.lineage['parent_image_id'] IS NOT NULL""")
+def fk_self_join(spark, folder):
+    i = table(spark, folder, "images")
+    known = i.select(F.col("image_id").alias("parent_id")).distinct().withColumn("found", F.lit(True))
+    return (
+        i.select("record_no", F.col("lineage")["parent_image_id"].alias("parent_id")).filter("parent_id is not null").join(known, "parent_id", "left")
+        .select("record_no", "parent_id", F.col("found").isNull().alias("parent_image_missing"))
+    )
+
+
+@query("""
+    WITH t AS (SELECT image_id, max(selection_status) AS st FROM images GROUP BY 1)
+    SELECT i.record_no, CASE WHEN t.image_id IS NULL THEN 'unknown_canonical_image_id' ELSE 'canonical_image_is_excluded' END AS code
+    FROM images i LEFT JOIN t ON t.image_id = i.canonical_image_id WHERE i.canonical_image_id IS NOT NULL AND (t.image_id IS NULL OR t.st = 'excluded_redundant' AND t.st IS NOT NULL)""")
+def canonical_references(spark, folder):
+    i = table(spark, folder, "images")
+    target = i.groupBy("image_id").agg(F.max("selection_status").alias("st")).select(F.col("image_id").alias("canonical_image_id"), "st", F.lit(True).alias("known"))
+    joined = i.filter("canonical_image_id is not null").select("record_no", "canonical_image_id").join(target, "canonical_image_id", "left")
+    return joined.select("record_no", F.when(F.col("known").isNull(), "unknown_canonical_image_id").when(F.col("st") == "excluded_redundant", "canonical_image_is_excluded").alias("code")).filter("code is not null")
+
+
+@query("""
+    SELECT d.delivery_id, i.image_id IS NULL AS unknown, coalesce(d.source_id <> i.source_id, false) AS source_differs FROM deliveries d
+    LEFT JOIN (SELECT image_id, min(source_id) AS source_id FROM split_manifest GROUP BY 1) i USING (image_id)""")
+def acquisition_join(spark, folder):
+    i = table(spark, folder, "split_manifest").groupBy("image_id").agg(F.min("source_id").alias("s"))
+    return table(spark, folder, "deliveries").join(i, "image_id", "left").select("delivery_id", F.col("s").isNull().alias("unknown"), F.coalesce(F.col("source_id") != F.col("s"), F.lit(False)).alias("source_differs"))
+
+
+@query("""
+    WITH a AS (SELECT source_id, count(*) AS actual FROM images GROUP BY 1)
+    SELECT a.source_id, p.e AS expected, actual, coalesce(p.l <> '' AND p.e = actual, false) AS complete FROM a LEFT JOIN (VALUES ('tgfc', 'CC BY 4.0', 5266), ('idphy', '', 621)) p(s, l, e) ON p.s = a.source_id""")
+def policy_counts(spark, folder):
+    p = spark.createDataFrame([("tgfc", "CC BY 4.0", "authors", 5266), ("idphy", "", "gallery", 621)], "source_id string, license string, attribution string, expected_images int")
+    return summaries.policy_counts(table(spark, folder, "images"), p)
+
+
+@query(r"""
+    WITH v AS (SELECT record_no, unnest([CASE WHEN NOT coalesce(source_id IN ('tgfc', 'idphy', 'soil'), false) THEN 'source_id' END, CASE WHEN NOT coalesce(regexp_full_match(sha256, '[0-9a-f]{64}'), false) THEN 'sha256' END,
+        CASE WHEN pixel_sha256 IS NOT NULL AND NOT regexp_full_match(pixel_sha256, '[0-9a-f]{64}') THEN 'pixel_sha256' END,
+        CASE WHEN perceptual_dhash64 IS NOT NULL AND NOT regexp_full_match(perceptual_dhash64, '[0-9a-f]{16}') THEN 'perceptual_dhash64' END,
+        CASE WHEN NOT coalesce(frame_count >= 1, false) THEN 'frame_count' END, CASE WHEN NOT coalesce(selection_status IN ('included', 'excluded_redundant'), false) THEN 'selection_status' END,
+        CASE WHEN NOT coalesce(image_role IN ('full_field', 'crop', 'unknown'), false) THEN 'image_role' END]) AS code FROM images)
+    SELECT code, count(*) AS n FROM v WHERE code IS NOT NULL GROUP BY 1""")
+def record_constraints(spark, folder):
+    wanted = ("source_id", "sha256", "pixel_sha256", "perceptual_dhash64", "frame_count", "selection_status", "image_role")
+    rules = {k: v for k, v in checks.record_constraints().items() if k in wanted}
+    return checks.violations(table(spark, folder, "images"), ["record_no"], rules).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query()
+def record_violations(spark, folder):
+    return checks.violations(table(spark, folder, "images"), ["record_no"], checks.record_constraints()).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query("""
+    WITH t AS (SELECT label_id, taxon_group AS g, genus AS n, species AS s, coalesce(taxon_rank, '') AS r FROM taxon_labels),
+    v AS (SELECT label_id, unnest([CASE WHEN n IS NOT NULL AND g IS NULL THEN 'genus_without_group' END, CASE WHEN s IS NOT NULL AND NOT coalesce(starts_with(s, n || ' '), false) THEN 'species_without_genus' END,
+        CASE WHEN r <> CASE WHEN s IS NOT NULL THEN 'species' WHEN n IS NOT NULL THEN 'genus' WHEN g IS NOT NULL THEN 'group' ELSE 'unresolved' END THEN 'rank_is_not_the_deepest' END]) AS code FROM t)
+    SELECT code, count(*) AS n FROM v WHERE code IS NOT NULL GROUP BY 1""")
+def hierarchy_constraints(spark, folder):
+    t = table(spark, folder, "taxon_labels").select("label_id", F.array(F.struct("source_label", *taxa.RANKS, F.coalesce("taxon_rank", F.lit("")).alias("rank"))).alias("taxa"))
+    return checks.taxa_violations(t, "label_id").groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query("""
+    WITH a AS (SELECT image_id, split FROM split_manifest), b AS (SELECT image_id, lower(trim(split)) AS split FROM split_manifest),
+    u AS (SELECT image_id, split, 1 AS d FROM a UNION ALL SELECT image_id, split, -1 FROM b)
+    SELECT CASE WHEN sum_d > 0 THEN '-' ELSE '+' END AS side, count(*) AS "rows", sum(abs(sum_d))::BIGINT AS n FROM (SELECT image_id, split, sum(d) AS sum_d FROM u GROUP BY 1, 2 HAVING sum(d) <> 0) GROUP BY 1""")
+def view_equality(spark, folder):
+    m = table(spark, folder, "split_manifest")
+    return checks.difference(m.select("image_id", "split"), m.select("image_id", F.lower(F.trim("split")).alias("split"))).groupBy("side").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+
+
+# Summaries
+
+
+@query("""
+    SELECT source_id, count(*) AS images, count(*) FILTER (selection_status = 'included') AS selected, count(*) FILTER (selection_status <> 'included') AS excluded,
+           count(DISTINCT sha256) AS unique_hashes, count(DISTINCT leakage_group_id) AS leakage_groups FROM images GROUP BY ROLLUP (source_id)""")
+def catalog_summary(spark, folder):
+    return summaries.catalog_summary(table(spark, folder, "images"))
+
+
+@query("""
+    SELECT 'image_role' AS dimension, coalesce(image_role, 'unspecified') AS value, count(*) AS n FROM images GROUP BY 2
+    UNION ALL SELECT 'source_split', coalesce(source_split, 'unspecified'), count(*) FROM images GROUP BY 2
+    UNION ALL SELECT 'candidate_groups', v, count(*) FROM (SELECT unnest(candidate_groups) AS v FROM images) GROUP BY 2
+    UNION ALL SELECT 'import_flags', v, count(*) FROM (SELECT unnest(import_flags) AS v FROM images) GROUP BY 2""")
+def dimension_counts(spark, folder):
+    return summaries.counts_by(table(spark, folder, "images"), "image_role", "source_split", "candidate_groups", "import_flags")
+
+
+@query("SELECT string_split(relative_path, '/')[1] AS collection, string_split(relative_path, '/')[-2] AS folder, count(*) AS images, sum(bytes)::BIGINT AS bytes FROM images GROUP BY 1, 2")
+def inventory_summary(spark, folder):
+    i = table(spark, folder, "images").select(paths.first(F.col("relative_path")).alias("collection"), F.col("relative_path").alias("path"), "bytes")
+    return summaries.inventory_summary(i)
+
+
+@query("SELECT image_id, string_agg(genus, ' | ' ORDER BY genus) AS names FROM (SELECT DISTINCT image_id, genus FROM taxon_labels WHERE genus IS NOT NULL) GROUP BY 1")
+def joined_names(spark, folder):
+    return summaries.joined_names(table(spark, folder, "taxon_labels"), "image_id", "genus")
+
+
+@query("SELECT count(*) FILTER (image_role = 'full_field') AS full_fields, count(*) FILTER (image_role = 'crop') AS crops FROM images")
+def role_counts(spark, folder):
+    return table(spark, folder, "images").agg(F.count_if(F.col("image_role") == "full_field").alias("full_fields"), F.count_if(F.col("image_role") == "crop").alias("crops"))
+
+
+# Scalar functions
+
+
+@query(r"""
+    SELECT record_no, lower(regexp_extract(source_url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+        lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@\s]*@)?([^/:?#\s]+)', 1)) AS host,
+        regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]*(/[^?#\s]*)?', 1) AS path FROM images WHERE source_url IS NOT NULL""")
+def url_parts(spark, folder):
+    u = F.col("source_url")
+    return table(spark, folder, "images").filter("source_url is not null").select("record_no", paths.scheme(u).alias("scheme"), paths.host(u).alias("host"), paths.url_path(u).alias("path"))
+
+
+@query(r"""
+    SELECT record_no, string_split(relative_path, '/')[1] AS first, string_split(relative_path, '/')[-2] AS parent, regexp_replace(string_split(relative_path, '/')[-1], '(.)\.[^.]+$', '\1') AS stem,
+        lower(regexp_extract(string_split(relative_path, '/')[-1], '^.+(\.[^.]+)$', 1)) AS suffix,
+        length(relative_path) > 0 AND NOT starts_with(relative_path, '/') AND position('\' IN relative_path) = 0 AND NOT list_contains(string_split(relative_path, '/'), '..') AS safe
+    FROM images WHERE relative_path IS NOT NULL""")
+def path_parts(spark, folder):
+    p = F.col("relative_path")
+    return table(spark, folder, "images").filter("relative_path is not null").select(
+        "record_no", paths.first(p).alias("first"), paths.parent(p).alias("parent"), paths.stem(p).alias("stem"), paths.suffix(p).alias("suffix"), paths.is_safe(p).alias("safe")
+    )
+
+
+@query("""
+    WITH k AS (SELECT record_no, replace(unnest(relationship_keys), ':', ' ') AS c FROM images),
+    r AS (SELECT record_no, 'CBS' AS namespace, unnest(regexp_extract_all(c, '(?i)\\bCBS\\s+(\\d+(?:\\.\\d+)?)\\b', 1)) AS identifier FROM k UNION ALL
+          SELECT record_no, 'SE', unnest(regexp_extract_all(c, '(?i)\\bSE\\s+(\\d+)\\b', 1)) FROM k UNION ALL SELECT record_no, 'RHS', unnest(regexp_extract_all(c, '(?i)\\bRHS\\s+(\\d+(?:\\.\\d+)?)\\b', 1)) FROM k UNION ALL
+          SELECT record_no, 'PH', unnest(regexp_extract_all(c, '(?i)\\bPH\\s?(\\d+)\\b', 1)) FROM k UNION ALL SELECT record_no, 'VI', unnest(regexp_extract_all(c, '(?i)\\bVI\\s+(\\d+-[A-Z0-9]+)\\b', 1)) FROM k)
+    SELECT record_no, namespace, identifier, 'idphy:culture:' || namespace || ':' || identifier AS relationship_key FROM r""".replace("\\\\", "\\"))
+def code_references(spark, folder):
+    k = table(spark, folder, "images").select("record_no", F.lit("relationship_keys").alias("source_field"), F.explode("relationship_keys").alias("caption"))
+    k = k.withColumn("caption", F.translate("caption", ":", " "))
+    return codes.caption_references(k, "record_no").select("record_no", "namespace", "identifier", "relationship_key")
+
+
+@query(r"""
+    SELECT doc_id, rule FROM (SELECT doc_id, unnest([CASE WHEN regexp_matches(text, '(?i)/(?:Users|home)/[A-Za-z0-9._-]+(?:/|\b)|/(?:Volumes)/[A-Za-z0-9][^\r\n"''`<>]*|[A-Za-z]:[\\/](?:Users|Documents and Settings)[\\/][^\s\\/"'']+') THEN 'personal-machine-path' END,
+        CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 'email-address' END, CASE WHEN regexp_matches(text, '(?i)https?://[^/\s@]+@') THEN 'authenticated-url' END]) AS rule FROM documents) WHERE rule IS NOT NULL""")
+def text_scan_findings(spark, folder):
+    return table(spark, folder, "documents").filter("text is not null").select("doc_id", F.explode(scan.text_findings(F.col("text"))).alias("rule"))
+
+
+@query(r"""
+    WITH t AS (SELECT l_orderkey, l_linenumber, [(l_linenumber % 4)::VARCHAR, l_discount::VARCHAR, l_tax::VARCHAR, (l_quantity / 50)::VARCHAR, (l_discount * 2)::VARCHAR] AS x FROM lineitem)
+    SELECT l_orderkey, l_linenumber, x[1]::INT AS class_id, CASE WHEN x[4]::DOUBLE NOT BETWEEN 0 AND 1 THEN 'outside' WHEN x[4]::DOUBLE <= 0 OR x[5]::DOUBLE <= 0 THEN 'empty_box' END AS error FROM t""")
+def box_parse(spark, folder):
+    c = F.col
+    lines_ = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws(" ", (c("l_linenumber") % 4).cast("string"), c("l_discount"), c("l_tax"), c("l_quantity") / 50, c("l_discount") * 2).alias("text")
+    )
+    return boxes.boxes(lines_, "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber", "class_id", "error")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, sha256('{\"event_type\":' || to_json(event_type) || ',\"user_id\":' || user_id || '}') AS object_hash FROM events")
+def json_props(spark, folder):
+    e = table(spark, folder, "events")
+    return e.select(
+        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), ids.object_hash({"user_id": F.col("user_id"), "event_type": F.col("event_type")}).alias("object_hash")
+    )
+
+
+@query("SELECT event_id, CASE WHEN NOT json_valid(props) THEN 'invalid_json' WHEN len(list_filter(json_keys(props), lambda x: x <> 'k')) > 0 THEN 'unknown_field' END AS error FROM events")
+def strict_lines(spark, folder):
+    return table(spark, folder, "events").select("event_id", lines.line_error(F.col("props"), ["k"]).alias("error"))
+
+
+@query(r"""
+    WITH h AS (SELECT record_no, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('lamella:' || source_id || ':' || relative_path)) AS d FROM images WHERE relative_path IS NOT NULL AND source_id IS NOT NULL)
+    SELECT record_no, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || ['8', '9', 'a', 'b'][(('0x' || substr(d, 17, 1))::INT % 4) + 1] || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS id FROM h""")
+def uuid5_ids(spark, folder):
+    i = table(spark, folder, "images").filter("relative_path is not null and source_id is not null")
+    return i.select("record_no", ids.row_id(F.col("source_id"), F.col("relative_path")).alias("id"))
+
+
+@query("""
+    SELECT record_no, list_sort(list_distinct(list_concat(list_filter(coalesce(import_flags, []), lambda x: x NOT IN ('multi_frame_asset', 'native_dimension_below_224')),
+        list_filter([CASE WHEN frame_count > 1 THEN 'multi_frame_asset' END, CASE WHEN least(width_px, height_px) < 500 THEN 'native_dimension_below_224' END], lambda x: x IS NOT NULL)))) AS flags FROM images""")
+def derived_flags(spark, folder):
+    bare = flags.drop_flags(F.col("import_flags"), "multi_frame_asset", "native_dimension_below_224")
+    derived = {"multi_frame_asset": F.col("frame_count") > 1, "native_dimension_below_224": F.least("width_px", "height_px") < 500}
+    return table(spark, folder, "images").select("record_no", flags.add_flags(flags.sorted_set(bare), derived).alias("flags"))
+
+
+@query("SELECT source_id, relative_path, bytes FROM images ORDER BY relative_path")
+def source_union(spark, folder):
+    i = table(spark, folder, "images").select("source_id", "relative_path", "bytes")
+    feeds = [i.filter(F.col("source_id") == s) for s in checks.SOURCES]
+    return feeds[0].unionByName(feeds[1], allowMissingColumns=True).unionByName(feeds[2], allowMissingColumns=True).orderBy("relative_path")
+
+
+@query("SELECT '{\"batch_no\":' || coalesce(batch_no::VARCHAR, 'null') || ',\"frame_count\":' || coalesce(frame_count::VARCHAR, 'null') || ',\"record_no\":' || record_no || '}' AS line FROM images")
+def canonical_lines(spark, folder):
+    return table(spark, folder, "images").select(ids.canonical_json({c: F.col(c) for c in ("record_no", "batch_no", "frame_count")}).alias("line"))
+
+
+@query(f"SELECT record_no, {SHA.format('s')} AS sha256 FROM (SELECT record_no, {BARE_SHA.format('sha256')} AS s FROM images)")
+def digest_forms(spark, folder):
+    return table(spark, folder, "images").select("record_no", sha256_hex(F.col("sha256")).alias("sha256"))
+
+
+@query("SELECT doc_id, coalesce(nullif(lower(trim(lang)), ''), 'und') AS lang, coalesce(nullif(source, ''), doc_kind, 'unknown') AS origin FROM documents")
+def provenance_chain(spark, folder):
+    return table(spark, folder, "documents").select(
+        "doc_id", F.coalesce(F.nullif(stripped(F.col("lang")), F.lit("")), F.lit("und")).alias("lang"), F.coalesce(F.nullif("source", F.lit("")), "doc_kind", F.lit("unknown")).alias("origin")
+    )
