@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_lenient(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_lenient(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
@@ -25,10 +25,11 @@ def line_error(line: Column, allowed: list[str] | None = None) -> Column:
     )
 
 
-def read_strict(spark: SparkSession, path: str, schema: T.StructType, shown: int = 5) -> DataFrame:
+def read_strict(spark: SparkSession, path: str, schema: T.StructType | str, shown: int = 5) -> DataFrame:
     """The rows of a JSON-lines file; a bad line raises with its file and error. Values of the wrong type raise when read."""
     from lamella.operators.checks import require
 
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
     errors = lines.select("file", F.substring("value", 1, 80).alias("line"), line_error(F.col("value"), schema.fieldNames()).alias("error")).filter("error is not null")
     require(errors, f"bad lines in {path}", shown)
