@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lamella.functions.digests import let
+
 RANKS = ("taxon_group", "genus", "species")
 #: The two groups and their ids.
 GROUPS = {"fungi": 0, "oomycetes": 1}
@@ -36,33 +38,42 @@ def _table(table: dict[str, tuple], label: Column) -> Column:
 
 def taxon(source: Column, label: Column, fallback_group: Column) -> Column:
     """The taxon a publisher's label gives, as a struct; a label no rule knows keeps the record's single candidate group."""
-    boxed = F.when(source == "tgfc", _table(BOXED, label))
-    soil = F.when(source == "soil", _table(SOIL, label))
-    gallery = (source == "idphy") & label.rlike(r"^Phytophthora((?U:\s)|$)")
-    epithet = F.regexp_extract(label, _BINOMIAL, 2)
-    plain = gallery & label.rlike(_BINOMIAL) & ~epithet.isin(*NO_EPITHET)
-    suffix = F.regexp_extract(label, _BINOMIAL, 3)
-    ranks = {r: F.coalesce(boxed[r], soil[r]) for r in RANKS}
-    known = boxed.isNotNull() | soil.isNotNull()
-    group = F.when(known, ranks["taxon_group"]).when(gallery, "oomycetes").otherwise(fallback_group)
-    genus = F.when(known, ranks["genus"]).when(gallery, "Phytophthora")
-    species = F.when(known, ranks["species"]).when(plain, F.regexp_extract(label, _BINOMIAL, 1))
-    note = (
-        F.when(boxed.isNotNull() & (label == "MixedClass"), "individual taxa are not given")
-        .when(soil.isNotNull() & (label == "Phytophtora"), "publisher's spelling of Phytophthora")
-        .when(plain & (suffix != ""), "editorial suffix left out")
-        .when(gallery & ~plain, "no unqualified binomial")
-        .when(~known & ~gallery, "no rule for this label")
-    )
-    return F.struct(
-        label.alias("source_label"),
-        group.alias("taxon_group"),
-        genus.alias("genus"),
-        species.alias("species"),
-        F.when(species.isNotNull(), "species").when(genus.isNotNull(), "genus").when(group.isNotNull(), "group").otherwise("unresolved").alias("rank"),
-        note.alias("mapping_note"),
+    # Everything that is looked up or matched is bound once; the rules below then only compare.
+    seen = F.struct(
+        label.alias("label"),
+        fallback_group.alias("fallback"),
+        F.when(source == "tgfc", _table(BOXED, label)).when(source == "soil", _table(SOIL, label)).alias("known"),
+        ((source == "idphy") & label.rlike(r"^Phytophthora((?U:\s)|$)")).alias("gallery"),
+        F.regexp_extract(label, _BINOMIAL, 1).alias("binomial"),
+        F.regexp_extract(label, _BINOMIAL, 2).alias("epithet"),
+        F.regexp_extract(label, _BINOMIAL, 3).alias("suffix"),
+        source.alias("source"),
     )
 
+    def rules(x: Column) -> Column:
+        known, gallery = x["known"].isNotNull(), x["gallery"]
+        plain = gallery & (x["binomial"] != "") & ~x["epithet"].isin(*NO_EPITHET)
+        note = (
+            F.when(known & (x["source"] == "tgfc") & (x["label"] == "MixedClass"), "individual taxa are not given")
+            .when(known & (x["source"] == "soil") & (x["label"] == "Phytophtora"), "publisher's spelling of Phytophthora")
+            .when(plain & (x["suffix"] != ""), "editorial suffix left out")
+            .when(gallery & ~plain, "no unqualified binomial")
+            .when(~known & ~gallery, "no rule for this label")
+        )
+        return F.struct(
+            x["label"].alias("source_label"),
+            F.when(known, x["known"]["taxon_group"]).when(gallery, "oomycetes").otherwise(x["fallback"]).alias("taxon_group"),
+            F.when(known, x["known"]["genus"]).when(gallery, "Phytophthora").alias("genus"),
+            F.when(known, x["known"]["species"]).when(plain, x["binomial"]).alias("species"),
+            note.alias("mapping_note"),
+        )
+
+    def ranked(t: Column) -> Column:
+        rank = F.when(t["species"].isNotNull(), "species").when(t["genus"].isNotNull(), "genus").when(t["taxon_group"].isNotNull(), "group").otherwise("unresolved")
+        return F.struct(*(t[c].alias(c) for c in ("source_label", *RANKS)), rank.alias("rank"), t["mapping_note"].alias("mapping_note"))
+
+    return let(let(seen, rules), ranked)
+
 
 def consensus(taxa: Column, empty_group: Column) -> Column:
     """taxon_group, genus, species, status over an array of taxa: a rank counts only where all agree on a value, and below
@@ -70,22 +81,29 @@ def consensus(taxa: Column, empty_group: Column) -> Column:
 
     def agreed(rank: str) -> Column:
         values = F.array_distinct(F.transform(taxa, lambda t: t[rank]))
-        return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+        return let(values, lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0))))
 
-    group = F.when(F.size(taxa) == 0, empty_group).otherwise(agreed("taxon_group"))
-    genus = F.when(group.isNotNull(), agreed("genus"))
-    species = F.when(genus.isNotNull(), agreed("species"))
     several = F.size(F.array_distinct(F.transform(taxa, lambda t: F.struct(*(t[r].alias(r) for r in RANKS))))) > 1
-    status = F.when(several, "multiple_taxa").when(group.isNull(), "unresolved").when(genus.isNotNull(), "single_taxon").otherwise("group_only")
-    return F.struct(group.alias("taxon_group"), genus.alias("genus"), species.alias("species"), status.alias("status"))
+    seen = F.struct(F.when(F.size(taxa) == 0, empty_group).otherwise(agreed("taxon_group")).alias("g"), agreed("genus").alias("n"), agreed("species").alias("s"), several.alias("several"))
+
+    def below(x: Column) -> Column:
+        genus = F.when(x["g"].isNotNull(), x["n"])
+        status = F.when(x["several"], "multiple_taxa").when(x["g"].isNull(), "unresolved").when(genus.isNotNull(), "single_taxon").otherwise("group_only")
+        return F.struct(x["g"].alias("taxon_group"), genus.alias("genus"), F.when(genus.isNotNull(), x["s"]).alias("species"), status.alias("status"))
+
+    return let(seen, below)
 
 
 def taxonomy(source: Column, labels: Column, candidate_groups: Column) -> Column:
     """taxa (in order of their labels) and their consensus of a record."""
     single = F.when(F.size(candidate_groups) == 1, F.get(candidate_groups, F.lit(0)))
     taxa = F.transform(F.array_sort(labels), lambda label: taxon(source, label, single))
-    found = consensus(taxa, single)
-    return F.struct(*(found[r].alias(r) for r in RANKS), found["status"].alias("status"), taxa.alias("taxa"))
+
+    def both(x: Column) -> Column:
+        found = consensus(x, single)
+        return let(found, lambda c: F.struct(*(c[r].alias(r) for r in RANKS), c["status"].alias("status"), x.alias("taxa")))
+
+    return let(taxa, both)
 
 
 def hierarchy_violations(t: Column) -> Column:

@@ -69,12 +69,12 @@ def build_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame,
     require(checked.filter("code is not null"), "images")
     found, _ = _annotations(spark, root)
     annotated = rows.select("path", F.regexp_replace("path", r"\.[^./]+$", "").alias("stem_path")).join(found, "stem_path").select("path", "annotations")
-    adapted = adapters.adapt(rows, acquired, annotated).join(
+    adapted = materialize(adapters.adapt(rows, acquired, annotated)).join(
         facts.select(F.col("path").alias("relative_path"), "frame_count", "pixel_sha256", "lossless_transform_sha256", "perceptual_dhash64"), "relative_path"
     )
     small = {"native_dimension_below_224": F.least("width_px", "height_px") < 224, "multi_frame_asset": F.col("frame_count") > 1}
     adapted = adapted.withColumn("import_flags", flags.add_flags(F.col("import_flags"), small))
-    curated = curate_records(adapters.connect_parents(adapted))
+    curated = curate_records(materialize(adapters.connect_parents(adapted)))
     records = materialize(curated[0])
     return records, curated[1], registry
 
