@@ -10,7 +10,7 @@ The items are a stated, bounded set: their windows go to the workers in blocks o
 against all documents, so more items cost more passes, not more memory. Documents are read once a block and not
 shuffled.
 
-Defined results: NULL and empty texts contain nothing; items of fewer than 13 words cannot be found; a pair comes out
+Defined results: NULL and empty texts contain nothing, documents without doc_id are left out; items of fewer than 13 words cannot be found; a pair comes out
 once, however often its passage stands there; repeated rows make no difference; copies of items all come out; extra
 columns are ignored.
 """
@@ -45,7 +45,7 @@ UNITS = frozenset("second seconds minute minutes hour hours day days week weeks
 
 _INLINE = regex.compile(r"</?(?:b|i|u|s|em|strong|span|font|mark|small|big|sub|sup|a|code|tt|wbr)(?:\s[^<>]{0,2000})?/?>", regex.I)
 _BLOCK = regex.compile(r"<[!/?a-zA-Z][^<>]{0,2000}>")
-_HYPHEN = regex.compile(r"(?<=\p{L})[-‐‑]\s*\r?\n[\s>|*#]*(?=\p{L})")
+_HYPHEN = regex.compile(r"(?<=\p{L})[-‐‑][^\S\n]*+\n[\s>|*#]*+(?=\p{L})")
 _ESCAPE = regex.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\([nrt])")
 _PERCENT = regex.compile(r"(?:%[0-9a-fA-F]{2})+")
 _WORDS = regex.compile(r"[\p{L}\p{N}]+")
@@ -162,7 +162,7 @@ def _blocks(eval_items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def passages(documents: DataFrame, eval_items: DataFrame) -> DataFrame:
     """doc_id, item_id, verbatim, windows: documents with passages of items, word for word or with other slots."""
     spark = documents.sparkSession
-    texts = spread(documents.select("doc_id", "text").filter("text is not null"))
+    texts = spread(documents.select("doc_id", "text").filter("doc_id is not null and text is not null"))
     schema = "doc_id bigint, item_id bigint, verbatim boolean, windows int"
     parts = []
     for block in _blocks(eval_items):

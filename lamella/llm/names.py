@@ -140,7 +140,11 @@ def meanings(rows: DataFrame, reference: DataFrame) -> DataFrame:
         "key", "field", "pos", "x.t", "x.short",
         F.when(F.col("pos") > 0, F.try_element_at("tokens", F.col("pos")).getField("t")).alias("before"),
     ))
-    fixes = materialize(repaired(placed.filter(~F.col("t").isin(*NOTES, *QUALIFIERS)).select("t").distinct(), vocabulary(listed)))
+    words = materialize(vocabulary(listed))
+    # A token longer than every vocabulary token by more than the edits allowed is near none, and its deletions are not listed.
+    longest = (words.agg(F.max(F.length("v"))).first()[0] or 0) + 2
+    short = placed.filter(~F.col("t").isin(*NOTES, *QUALIFIERS) & (F.length("t") <= longest)).select("t").distinct()
+    fixes = materialize(repaired(short, words))
     found = materialize(placed.join(fixes, "t").select("key", "field", "pos", "kind", "v", "idf", "similarity", F.coalesce(F.col("before").isin(*QUALIFIERS), F.lit(False)).alias("qualified")))
 
     genera = found.filter("kind = 'genus'").groupBy("key", F.col("v").alias("genus_key")).agg(

@@ -11,7 +11,7 @@ A word is bursty on a page if it occurs three times there and, over all pages, a
 twice there and over all pages at least three times on a page that has it, or six times there and in at least two of a hundred tokens. Numbers say nothing; they go with the word before them.
 
 Defined results: NULL, empty and blank texts, and texts without words or links are not found; a page of one link is;
-lang without case, missing ones are one language of their own; repeated rows of one doc_id give one row; extra columns
+lang without case, missing ones are one language of their own; rows without doc_id are left out; repeated rows of one doc_id give one row; extra columns
 are ignored.
 """
 
@@ -31,7 +31,7 @@ from lamella.session import materialize
 
 #: Endings by which an address without scheme is known.
 ENDINGS = "test|invalid|example|com|org|net|info|io|eu|de|fr|es|jp|co|shop|biz"
-_ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|\b[\w-]+(?:\.[\w-]+)*\.(?:" + ENDINGS + r")\b(?:/[^\s<>()\"']*)?"
+_ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|\b[\w-]{1,63}(?:\.[\w-]{1,63}){0,8}\.(?:" + ENDINGS + r")\b(?:/[^\s<>()\"']*)?"
 _LINK = r"<a\b[^>]{0,2000}>[^<]{0,1000}</a>|!?\[[^\]\n]{0,500}\]\([^)\s]{0,2000}\)|" + _ADDRESS
 _HASHTAG = r"#[^\W\d_][\w-]*"
 _MARKUP = r"</?[a-zA-Z][^<>]{0,2000}>|&[a-z]{2,8};"
@@ -66,7 +66,7 @@ def page_tokens(documents: DataFrame) -> DataFrame:
     lang = F.coalesce(F.nullif(stripped(F.col("lang")), F.lit("")), F.lit("und"))
     found = F.regexp_extract_all("text", F.lit("(?U)" + TOKEN), F.lit(0))
     return (
-        spread(documents.select("doc_id", "text", "lang")).filter("text is not null")
+        spread(documents.select("doc_id", "text", "lang")).filter("doc_id is not null and text is not null")
         .select("doc_id", lang.alias("lang"), F.explode(found).alias("found"))
         .select("doc_id", "lang", _kind(F.col("found")).alias("token"))
         .filter("token is not null")

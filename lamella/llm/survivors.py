@@ -92,8 +92,11 @@ def facts(deliveries: DataFrame) -> DataFrame:
 
 def _posterior(weights: dict, prior: dict) -> Column:
     """The probability of a fact with columns field and observed."""
-    table = F.create_map(*(F.lit(x) for k, v in weights.items() for x in (k, float(v)))) if weights else F.create_map().cast("map<string,double>")
-    start = F.create_map(*(F.lit(x) for k, v in prior.items() for x in (k, float(v))))
+
+    def numbers(d: dict) -> Column:
+        return F.create_map(*(F.lit(x) for k, v in d.items() for x in (k, float(v)))) if d else F.create_map().cast("map<string,double>")
+
+    table, start = numbers(weights), numbers(prior)
     odds = F.aggregate(
         "observed",
         F.coalesce(F.try_element_at(start, F.col("field")), F.lit(0.0)),
