@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import names, leaks, spam, components, history, splits, survivors, tokenize
+from lamella.llm import components, history, leaks, names, oracles, spam, splits, survivors, tokenize
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -100,4 +100,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
