@@ -102,8 +102,9 @@ class Templates:
         names = {w for text in self.texts.values() for w, named in text if named and not w[0].isdigit()}
         self.known = {w: self._type(w, w in names) for text in self.texts.values() for w, _ in text}
         self.windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.templates = {item: self.template(text) for item, text in self.texts.items()}
         for item, text in self.texts.items():
-            template = self.template(text)
+            template = self.templates[item]
             for at in range(len(text) - WINDOW + 1):
                 self.windows[hash(tuple(template[at : at + WINDOW]))].append((item, at))
 
@@ -128,7 +129,7 @@ class Templates:
             hits = self.windows.get(hash(tuple(template[at : at + WINDOW])))
             for item, start in hits or ():
                 own = self.texts[item]
-                if any(template[at + k] != t for k, t in enumerate(self.template(own[start : start + WINDOW]))):
+                if template[at : at + WINDOW] != self.templates[item][start : start + WINDOW]:
                     continue  # equal hashes of different windows
                 if all(doc[at + k][0] == own[start + k][0] for k in range(WINDOW)):
                     quoted.add(item)
