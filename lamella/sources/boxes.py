@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamella.functions.digests import let
+
 BOX = "yolo_cxcywh_normalized"
 
 
@@ -14,16 +16,24 @@ def parsed_boxes(text: Column) -> Column:
 
     def one(x: Column) -> Column:
         t = x["t"]
-        numbers = F.transform(F.slice(t, 2, 4), lambda v: v.try_cast("double"))
-        klass = F.get(t, F.lit(0)).try_cast("int")
-        inside = F.forall(numbers, lambda v: F.coalesce(v.between(0, 1) & ~F.isnan(v), F.lit(False)))
-        error = (
-            F.when(F.size(t) != 5, "token_count")
-            .when(klass.isNull() | F.exists(numbers, lambda v: v.isNull()), "not_a_number")
-            .when(~inside, "outside")
-            .when((F.get(numbers, F.lit(2)) <= 0) | (F.get(numbers, F.lit(3)) <= 0), "empty_box")
+        seen = F.struct(
+            x["line"].alias("line"),
+            F.get(t, F.lit(0)).try_cast("int").alias("class_id"),
+            F.transform(F.slice(t, 2, 4), lambda v: v.try_cast("double")).alias("coordinates"),
+            F.size(t).alias("n"),
         )
-        return F.struct(x["line"].alias("line"), klass.alias("class_id"), numbers.alias("coordinates"), error.alias("error"))
+
+        def checked(s: Column) -> Column:
+            c = s["coordinates"]
+            error = (
+                F.when(s["n"] != 5, "token_count")
+                .when(s["class_id"].isNull() | F.exists(c, lambda v: v.isNull()), "not_a_number")
+                .when(~F.forall(c, lambda v: v.between(0, 1) & ~F.isnan(v)), "outside")
+                .when((F.get(c, F.lit(2)) <= 0) | (F.get(c, F.lit(3)) <= 0), "empty_box")
+            )
+            return F.struct(s["line"].alias("line"), s["class_id"].alias("class_id"), c.alias("coordinates"), error.alias("error"))
+
+        return let(seen, checked)
 
     return F.transform(F.filter(lines, lambda x: x["t"] != F.array(F.lit(""))), one)
 
