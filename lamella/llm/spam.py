@@ -17,10 +17,12 @@ are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,6 @@ _HASHTAG = r"#[^\W\d_][\w-]*"
 _MARKUP = r"</?[a-zA-Z][^<>]{0,2000}>|&[a-z]{2,8};"
 _NUMBER = r"(?:\b[Nn][or]\.\s?)?\d+(?:[.,]\d+)*"
 _WORD = r"[^\W\d_]+"
-TOKEN = "|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD))
 
 #: Function words of English, Spanish, French and German.
 FUNCTION_WORDS = frozenset(
@@ -47,65 +48,99 @@ FUNCTION_WORDS = frozenset(
     "als am an auch auf aus bei bis das dass dem den der des die durch ein eine einem einen einer es für hat im ist kein keine man mit nach nicht noch nur ob oder sich sie sind über um und unter vom von vor war werden wie wir wird wurde zu zum zur".split()
 )
 LINK, TAG, NUMBER = "<link>", "<tag>", "<num>"
+#: The part of a language's pages a token must stand on to have statistics of its own.
+LEAST_FREQUENT = 1e-4
+#: Tokens of a vocabulary that is sent to all workers (some 50 bytes each).
+BROADCAST_TOKENS = 1_000_000
 #: Words on either side that a word is judged by.
 REACH = 6
 
 
-def _kind(token: Column) -> Column:
-    return (
-        F.when(token.startswith("#"), TAG)
-        .when(token.startswith("<a ") | token.startswith("[") | token.startswith("![") | token.contains("/") | token.contains("."), F.when(token.rlike(r"^(?:[Nn][or]\.\s?)?\d[\d.,]*$"), NUMBER).when(token.startswith("<") & ~token.startswith("<a "), None).otherwise(LINK))
-        .when(token.startswith("<") | token.startswith("&"), None)
-        .when(token.rlike(r"^\d"), NUMBER)
-        .otherwise(F.lower(token))
-    )
+_CUT = regex.compile(rf"(?P<link>{_LINK})|(?P<tag>{_HASHTAG})|(?P<markup>{_MARKUP})|(?P<number>{_NUMBER})|(?P<word>{_WORD})")
+_MARKS = {"link": LINK, "tag": TAG, "number": NUMBER}
+
+
+_TOKENS = regex.compile("|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD)))
+
+
+def token_counts(text: str) -> dict[str, int]:
+    """How often each token stands in a text. Only different spellings are looked at one by one."""
+    counts: dict[str, int] = {}
+    for found, n in Counter(_TOKENS.findall(text)).items():
+        if not found.isalpha():
+            kind = _CUT.match(found).lastgroup
+            if kind == "markup":
+                continue
+            found = _MARKS.get(kind, found)
+        token = found.lower()
+        counts[token] = counts.get(token, 0) + n
+    return counts
+
+
+def page_counts(documents: DataFrame) -> DataFrame:
+    """doc_id, lang, tokens, counts, page_tokens: one row for each page with words or links, the counts beside the tokens."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [token_counts(t) for t in batch.column("text").to_pylist()]
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in found])]), pa.int32())
+            tokens = pa.ListArray.from_arrays(offsets, pa.array([t for c in found for t in c], pa.string()))
+            counts = pa.ListArray.from_arrays(offsets, pa.array([n for c in found for n in c.values()], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), tokens, counts], ["doc_id", "lang", "tokens", "counts"])
 
-def page_tokens(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, token, c: how often each token stands on each page."""
     lang = F.coalesce(F.nullif(stripped(F.col("lang")), F.lit("")), F.lit("und"))
-    found = F.regexp_extract_all("text", F.lit("(?U)" + TOKEN), F.lit(0))
+    pages = spread(documents.select("doc_id", "text", "lang")).filter("doc_id is not null and text is not null")
     return (
-        spread(documents.select("doc_id", "text", "lang")).filter("doc_id is not null and text is not null")
-        .select("doc_id", lang.alias("lang"), F.explode(found).alias("found"))
-        .select("doc_id", "lang", _kind(F.col("found")).alias("token"))
-        .filter("token is not null")
-        .groupBy("doc_id", "lang", "token")
-        .agg(F.count("*").cast("double").alias("c"))
+        pages.select("doc_id", lang.alias("lang"), "text").mapInArrow(count, "doc_id bigint, lang string, tokens array<string>, counts array<int>").filter(F.size("tokens") > 0)
+        .withColumn("page_tokens", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c))
     )
 
 
-def curves(counts: DataFrame) -> DataFrame:
-    """doc_id, lang, tokens, types, slope, residual, divergence, bursty_share, keywords: the curve of every page."""
-    vocabulary = counts.groupBy("lang", "token").agg(F.count("*").alias("pages"), F.sum("c").alias("total")).filter("pages > 1")
+def _rows(counts: DataFrame) -> DataFrame:
+    return counts.select("doc_id", "lang", "page_tokens", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("counts").alias("c"))))
+
+
+def vocabulary(counts: DataFrame, least: float = LEAST_FREQUENT) -> DataFrame:
+    """lang, token, pages, total, all_pages: tokens on `least` of their language's pages and on two at least. There are at most
+    as many as a page's mean number of different tokens divided by `least`, however large the corpus."""
     sizes = counts.groupBy("lang").agg(F.count("*").alias("all_pages"))
-    ranked = counts.join(vocabulary, ["lang", "token"], "left").join(sizes, "lang").select(
-        "doc_id", "lang", "token", "c",
-        F.coalesce("pages", F.lit(1)).alias("pages"),
-        F.coalesce("total", "c").alias("total"),
-        "all_pages",
-        F.sum("c").over(Window.partitionBy("doc_id")).alias("page_tokens"),
-        F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")).alias("rank"),
-    )
+    seen = _rows(counts).groupBy("lang", "token").agg(F.count("*").alias("pages"), F.sum("c").alias("total")).filter("pages > 1")
+    return seen.join(sizes, "lang").filter(F.col("pages") >= least * F.col("all_pages"))
+
+
+def curves(counts: DataFrame) -> DataFrame:
+    """doc_id, lang, tokens, types, slope, residual, divergence, bursty_share, keywords: the curve of every page. A token that is
+    not in the vocabulary counts as standing on a page or a `least` of them, whichever is more, and as bursty by itself."""
+    known = materialize(vocabulary(counts))
+    # The vocabulary goes to all workers while it is small, which saves moving every token; else the join moves both.
+    known = F.broadcast(known) if known.count() <= BROADCAST_TOKENS else known
+    sizes = counts.groupBy("lang").agg(F.count("*").alias("lang_pages"))
+    once = counts.dropDuplicates(["doc_id"])
+    ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")))
+    c = F.col("c").cast("double")
+    joined = ranked.join(known, ["lang", "token"], "left").join(F.broadcast(sizes), "lang")
+    burst = F.coalesce(F.col("total") / F.col("pages"), c)
     marked = F.col("token").isin(LINK, TAG)
-    bursty = (F.col("token") != NUMBER) & (
-        ((F.col("c") >= 3) & (F.col("total") / F.col("pages") >= 2))
-        | ((F.col("c") >= 2) & (F.col("total") / F.col("pages") >= 3))
-        | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
+    bursty = ~F.col("token").isin(NUMBER, LINK, TAG, *sorted(FUNCTION_WORDS)) & (
+        ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
     )
-    x, y = F.log("rank"), F.log("c")
-    sums = ranked.groupBy("doc_id", "lang").agg(
-        F.sum("c").alias("tokens"),
+    x, y = F.log("rank"), F.log(c)
+    usual = F.coalesce("pages", F.greatest(F.lit(1.0), LEAST_FREQUENT * F.col("lang_pages"))) / F.col("lang_pages")
+    sums = joined.groupBy("doc_id", "lang").agg(
+        F.sum(c).alias("tokens"),
         F.count("*").alias("types"),
-        F.regr_slope(y, x).alias("slope"),
-        (F.regr_syy(y, x) - F.regr_sxy(y, x) * F.regr_sxy(y, x) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))).alias("unexplained"),
-        F.sum(F.col("c") * F.log(F.col("c") * F.col("all_pages") / F.col("pages"))).alias("weighted"),
-        F.sum(F.when(bursty | marked, F.col("c")).otherwise(0.0)).alias("bursty"),
-        F.collect_list(F.when(bursty & ~marked, F.col("token"))).alias("keywords"),
+        *(F.sum(v).alias(n) for n, v in (("sx", x), ("sy", y), ("sxx", x * x), ("sxy", x * y), ("syy", y * y))),
+        F.sum(c * (y - F.log(usual))).alias("weighted"),
+        F.sum(F.when(bursty | marked, c).otherwise(0.0)).alias("bursty"),
+        F.collect_list(F.when(bursty, F.col("token"))).alias("keywords"),
     )
+    # Least squares of log frequency on log rank.
+    n = F.col("types")
+    sxx, sxy, syy = (F.col(ab) - F.col(f"s{ab[1]}") * F.col(f"s{ab[2]}") / n for ab in ("sxx", "sxy", "syy"))
+    slope = F.when(n > 1, sxy / F.nullif(sxx, F.lit(0.0)))
     return sums.select(
-        "doc_id", "lang", "tokens", "types", "slope",
-        F.sqrt(F.greatest(F.col("unexplained"), F.lit(0.0)) / F.col("types")).alias("residual"),
+        "doc_id", "lang", "tokens", "types", slope.alias("slope"),
+        F.sqrt(F.greatest(syy - slope * sxy, F.lit(0.0)) / n).alias("residual"),
         (F.col("weighted") / F.col("tokens") - F.log("tokens")).alias("divergence"),
         (F.col("bursty") / F.col("tokens")).alias("bursty_share"),
         "keywords",
@@ -128,7 +163,6 @@ def extreme(pages: DataFrame, spread_of: float = 1.5, least_bursty: float = 0.2)
     return binned.join(usual, ["lang", "octave"]).filter(outside | (F.col("bursty_share") >= least_bursty) | (F.col("types") < 3)).select(*pages.columns)
 
 
-_CUT = regex.compile(rf"(?P<link>{_LINK}|{_HASHTAG})|(?P<markup>{_MARKUP})|(?P<number>{_NUMBER})|(?P<word>{_WORD})")
 _BARE = regex.compile(r"<[^<>]*>|\s")
 _PARTICLES = regex.compile(r"[\p{Hiragana}\p{Hangul}]")
 
@@ -140,6 +174,7 @@ def spam_share(text: str, keywords: set[str]) -> float:
         kind, token = m.lastgroup, m.group()
         if kind == "markup":
             continue
+        kind = "link" if kind == "tag" else kind
         if kind == "number":
             if length:
                 length[-1] += len(token)
@@ -182,8 +217,7 @@ def spam_share(text: str, keywords: set[str]) -> float:
 
 def spam_pages(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id of every page of which more than threshold is spam."""
-    counts = materialize(page_tokens(documents))
-    suspects = extreme(curves(counts)).select("doc_id", "keywords")
+    suspects = extreme(materialize(curves(materialize(page_counts(documents))))).select("doc_id", "keywords")
 
     @F.pandas_udf("double")
     def share(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -196,4 +230,4 @@ def spam_pages(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def page_curves(documents: DataFrame) -> DataFrame:
     """doc_id, tokens, types, slope, residual, divergence, bursty_share of every page with words or links."""
-    return curves(materialize(page_tokens(documents))).drop("lang", "keywords")
+    return curves(materialize(page_counts(documents))).drop("lang", "keywords")
