@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,17 +18,44 @@ def star_edges(tokens: DataFrame) -> DataFrame:
     return tokens.join(hubs, "token").filter(F.col("node") != F.col("u")).select("u", F.col("node").alias("v"))
 
 
+#: Edges that are joined in one task once contraction has left no more.
+LAST_EDGES = 100_000
+
+
+def _join_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The few edges that are left -> (node, to), `to` the smallest node of each component."""
+    up: dict = {}
+
+    def top(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for b in batches:
+        for u, v in zip(b["u"], b["v"]):
+            up.setdefault(u, u)
+            up.setdefault(v, v)
+            u, v = top(u), top(v)
+            if u != v:
+                up[max(u, v)] = min(u, v)
+    yield pd.DataFrame({"node": list(up), "to": [top(x) for x in up]})
+
+
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, root for every row of nodes (node); root is the smallest node of the component. edges: u, v.
 
     Every round a vertex joins the neighbour with the smallest hash (salted anew each round, so no order of ids is the
-    worst case), and edges between different ones go on; their number falls by a constant factor. Tables of the rounds
-    are written once and composed from the last to the first.
+    worst case), and edges between different ones go on; their number falls by a constant factor. When LAST_EDGES or fewer
+    are left, one task joins them. Tables of the rounds are written once and composed from the last to the first.
     """
     live = materialize(edges.select("u", "v").filter("u <> v").distinct())
     steps: list[DataFrame] = []
     for salt in range(max_rounds):
-        if live.isEmpty():
+        left = live.count()
+        if left <= LAST_EDGES:
+            if left:
+                kind = dict(live.dtypes)["u"]
+                steps.append(materialize(live.coalesce(1).mapInPandas(_join_all, f"node {kind}, to {kind}")))
             break
         both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         order = lambda c: F.struct(F.xxhash64(F.lit(salt), c).alias("o"), F.col(c).alias("n"))
