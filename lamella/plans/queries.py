@@ -684,3 +684,146 @@ def provenance_chain(spark, folder):
     return table(spark, folder, "documents").select(
         "doc_id", F.coalesce(F.nullif(stripped(F.col("lang")), F.lit("")), F.lit("und")).alias("lang"), F.coalesce(F.nullif("source", F.lit("")), "doc_kind", F.lit("unknown")).alias("origin")
     )
+
+
+# Further joins, filters, sets and projections
+
+
+@query(r"""
+    WITH t AS (SELECT l_orderkey, l_linenumber, l_linenumber % 4 AS class_id FROM lineitem), c AS (SELECT * FROM (VALUES (0, 'a'), (1, 'b'), (2, 'c')) v(class_id, label))
+    SELECT l_orderkey, l_linenumber, label, CASE WHEN label IS NULL THEN 'unknown_class' END AS error FROM t LEFT JOIN c USING (class_id)""")
+def box_labels(spark, folder):
+    classes = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "class_id int, label string")
+    found = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws(" ", (F.col("l_linenumber") % 4).cast("string"), F.lit("0.5 0.5 0.25 0.25")).alias("text"))
+    return boxes.labelled_boxes(boxes.boxes(found, "l_orderkey", "l_linenumber"), F.broadcast(classes)).select("l_orderkey", "l_linenumber", "label", "error")
+
+
+@query("""
+    WITH g AS (SELECT leakage_group_id, min(lower(trim(split))) AS split FROM split_manifest WHERE leakage_group_id IS NOT NULL GROUP BY 1),
+    m AS (SELECT DISTINCT image_id, leakage_group_id FROM split_manifest)
+    SELECT d.doc_id, m.leakage_group_id, g.split FROM documents d JOIN m USING (image_id) LEFT JOIN g USING (leakage_group_id)""")
+def group_split_join(spark, folder):
+    m = table(spark, folder, "split_manifest")
+    g = m.filter("leakage_group_id is not null").groupBy("leakage_group_id").agg(F.min(F.lower(F.trim("split"))).alias("split"))
+    placed = m.select("image_id", "leakage_group_id").distinct()
+    return table(spark, folder, "documents").select("doc_id", "image_id").join(placed, "image_id").join(g, "leakage_group_id", "left").select("doc_id", "leakage_group_id", "split")
+
+
+@query("SELECT DISTINCT leakage_group_id FROM split_manifest WHERE leakage_group_id IS NOT NULL AND leakage_group_id NOT IN (SELECT leakage_group_id FROM split_manifest WHERE leakage_group_id IS NOT NULL AND split = 'train')")
+def unassigned_groups(spark, folder):
+    m = table(spark, folder, "split_manifest").filter("leakage_group_id is not null")
+    return checks.orphans(m, "leakage_group_id", m.filter("split = 'train'"), "leakage_group_id").select("leakage_group_id").distinct()
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT image_id FROM split_manifest), b AS (SELECT DISTINCT image_id FROM images)
+    SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS missing, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS extra""")
+def set_equality(spark, folder):
+    a, b = (table(spark, folder, t).select("image_id").distinct() for t in ("split_manifest", "images"))
+    d = checks.difference(a, b)
+    return d.agg(F.coalesce(F.sum(F.when(F.col("side") == "-", 1)), F.lit(0)).alias("missing"), F.coalesce(F.sum(F.when(F.col("side") == "+", 1)), F.lit(0)).alias("extra"))
+
+
+@query("SELECT record_no FROM images WHERE frame_count = 1 AND selection_status = 'included' AND source_split = 'valid'")
+def partition_filter(spark, folder):
+    return table(spark, folder, "images").filter("frame_count = 1 and selection_status = 'included' and source_split = 'valid'").select("record_no")
+
+
+@query(f"WITH {RECORDS_SQL} SELECT record_no, lower(lpad(to_hex(dhash), 16, '0')) AS dhash, bit_count(dhash)::INT AS bits FROM rec WHERE bit_count(dhash) BETWEEN 4 AND 60")
+def informative_hashes(spark, folder):
+    r = records(table(spark, folder, "images")).filter(hashing.is_informative(F.col("dhash")))
+    return r.select("record_no", hashing.hex64(F.col("dhash")).alias("dhash"), F.bit_count("dhash").alias("bits"))
+
+
+@query("""
+    SELECT record_no, coalesce(len(list_filter(import_flags, lambda x: x NOT IN ('multi_frame_asset', 'source_label_unreviewed'))) = 0, true) AS subset,
+        len(import_flags) = len(list_distinct(import_flags)) AS is_unique FROM images WHERE import_flags IS NOT NULL""")
+def flag_sets(spark, folder):
+    allowed = F.array(F.lit("multi_frame_asset"), F.lit("source_label_unreviewed"))
+    return table(spark, folder, "images").filter("import_flags is not null").select("record_no", flags.is_subset(F.col("import_flags"), allowed).alias("subset"), flags.is_unique(F.col("import_flags")).alias("is_unique"))
+
+
+@query("""
+    SELECT DISTINCT doc_id, rule FROM (SELECT doc_id, 'long_text' AS rule FROM documents WHERE n_chars > 2000 UNION ALL SELECT doc_id, 'no_language' FROM documents WHERE lang IS NULL OR lang = 'und'
+        UNION ALL SELECT doc_id, 'no_language' FROM documents WHERE lang IS NULL)""")
+def findings_union(spark, folder):
+    d = table(spark, folder, "documents")
+    first = d.select("doc_id", F.explode(flags.flags_where({"long_text": F.col("n_chars") > 2000, "no_language": F.col("lang").isNull() | (F.col("lang") == "und")})).alias("rule"))
+    return first.union(d.filter("lang is null").select("doc_id", F.lit("no_language").alias("rule"))).distinct()
+
+
+@query("""
+    SELECT record_no, candidate_groups[1] AS candidate_group, CASE candidate_groups[1] WHEN 'fungi' THEN 0 WHEN 'oomycetes' THEN 1 END AS class_id
+    FROM images WHERE selection_status = 'included' AND len(candidate_groups) = 1""")
+def working_examples(spark, folder):
+    ids_of = F.create_map(*(F.lit(x) for p in taxa.GROUPS.items() for x in p))
+    i = table(spark, folder, "images").filter((F.col("selection_status") == "included") & (F.size("candidate_groups") == 1))
+    return i.select("record_no", F.col("candidate_groups")[0].alias("candidate_group")).withColumn("class_id", F.try_element_at(ids_of, F.col("candidate_group")))
+
+
+@query("SELECT record_no, to_json(candidate_groups)::VARCHAR AS candidate_groups, to_json(import_flags)::VARCHAR AS import_flags FROM images WHERE candidate_groups IS NOT NULL AND import_flags IS NOT NULL")
+def csv_projection(spark, folder):
+    from lamella.sources.sinks import csv_ready
+
+    return csv_ready(table(spark, folder, "images").filter("candidate_groups is not null and import_flags is not null").select("record_no", "candidate_groups", "import_flags"))
+
+
+@query(r"""
+    WITH n AS (SELECT record_no, regexp_replace(string_split(relative_path, '/')[-1], '(.)\.[^.]+$', '\1') AS stem FROM images WHERE relative_path IS NOT NULL)
+    SELECT record_no, string_split(stem, '_')[1] AS label, array_to_string(string_split(stem, '_')[1:2], '_') AS parent_id, CASE WHEN len(string_split(stem, '_')) > 2 THEN 'crop' ELSE 'full_field' END AS role FROM n""")
+def sample_names(spark, folder):
+    i = table(spark, folder, "images").filter("relative_path is not null")
+    return i.select("record_no", paths.sample_name(paths.name(F.col("relative_path"))).alias("s")).select("record_no", "s.*")
+
+
+@query("SELECT delivery_id, lower(split_part(sha256, ':', 1)) AS algorithm, lower(split_part(sha256, ':', 2)) AS value FROM deliveries WHERE starts_with(sha256, 'sha256:')")
+def named_digests(spark, folder):
+    d = table(spark, folder, "deliveries").filter(F.col("sha256").startswith("sha256:"))
+    return d.select("delivery_id", paths.named_digest(F.col("sha256")).alias("d")).select("delivery_id", "d.*")
+
+
+@query("""
+    SELECT p.o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_custkey, sha256('[42,"' || o_orderkey || '"]')) AS place FROM orders p""")
+def priority_order(spark, folder):
+    from pyspark.sql import Window
+
+    tie = F.sha2(F.concat(F.lit('[42,"'), F.col("o_orderkey").cast("string"), F.lit('"]')), 256)
+    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_custkey", tie)
+    return table(spark, folder, "orders").select("o_orderkey", F.row_number().over(w).alias("place"))
+
+
+@query("""
+    WITH t AS (SELECT DISTINCT record_no AS node, unnest(relationship_keys) AS token FROM images), h AS (SELECT token, min(node) AS u FROM t WHERE token IS NOT NULL GROUP BY 1)
+    SELECT u, node AS v FROM t JOIN h USING (token) WHERE node <> u""")
+def star_edges(spark, folder):
+    tokens = table(spark, folder, "images").select(F.col("record_no").alias("node"), F.explode("relationship_keys").alias("token")).filter("token is not null").distinct()
+    return graph.star_edges(tokens)
+
+
+def _raster_rows(spark, folder):
+    """The embeddings as 8 x 8 grey images."""
+    v = F.transform("embedding", lambda x: F.least(F.greatest(F.round((x + 1) * 127.5), F.lit(0)), F.lit(255)).cast("int"))
+    data = F.unhex(F.array_join(F.transform(v, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    return table(spark, folder, "embeddings").filter("embedding is not null").select("vec_id", F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+
+
+@query()
+def raster_fingerprints(spark, folder):
+    from lamella.sources import rasters
+
+    def work(batches):
+        import pandas as pd
+
+        for b in batches:
+            yield pd.DataFrame([(i, *rasters.fingerprints(rasters.rgb_array(d, 8, 8, 1))) for i, d in zip(b["vec_id"], b["data"])], columns=["vec_id", "pixel_sha256", "lossless_transform_sha256", "perceptual_dhash64"])
+
+    return _raster_rows(spark, folder).mapInPandas(work, "vec_id bigint, pixel_sha256 string, lossless_transform_sha256 string, perceptual_dhash64 string")
+
+
+@query()
+def image_tensors(spark, folder):
+    from lamella.sources import rasters
+
+    t = rasters.tensors(_raster_rows(spark, folder), ["vec_id"], "vec_id bigint", rasters.TensorConfig(16))
+    total = F.aggregate("value", F.lit(0.0), lambda a, x: a + x)
+    return t.select("vec_id", F.size("value").alias("values"), F.round(total, 3).alias("total"))
