@@ -7,12 +7,13 @@ the same language and of comparable length (octaves). Extreme pages, and pages w
 good part, go on to an exact check over the whole text: a word counts as spam in a link or tag, or where the words
 around it are few function words and many bursty ones; a page is found if more than half of its letters are spam.
 
-A word is bursty on a page if it occurs three times there and, over all pages, at least twice on a page that has it, or
-twice there and over all pages at least three times on a page that has it, or six times there and in at least two of a hundred tokens. Numbers say nothing; they go with the word before them.
+A word is bursty on a page if it occurs three times there and, over all pages, twice on a page that has it; or twice
+there and three times over all pages; or four times over all pages; or six times there and in two of a hundred tokens.
+Numbers say nothing; they go with the word before them.
 
 Defined results: NULL, empty and blank texts, and texts without words or links are not found; a page of one link is;
-lang without case, missing ones are one language of their own; rows without doc_id are left out; repeated rows of one doc_id give one row; extra columns
-are ignored.
+lang without case, missing ones are one language of their own; rows without doc_id are left out; repeated rows of one
+doc_id give one row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def curves(counts: DataFrame) -> DataFrame:
     burst = F.coalesce(F.col("total") / F.col("pages"), c)
     marked = F.col("token").isin(LINK, TAG)
     bursty = ~F.col("token").isin(NUMBER, LINK, TAG, *sorted(FUNCTION_WORDS)) & (
-        ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
+        ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | (burst >= 4) | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
     )
     x, y = F.log("rank"), F.log(c)
     usual = F.coalesce("pages", F.greatest(F.lit(1.0), LEAST_FREQUENT * F.col("lang_pages"))) / F.col("lang_pages")
