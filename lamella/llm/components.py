@@ -144,6 +144,7 @@ def links(images: DataFrame, near_pairs: DataFrame, known: DataFrame, salt: int)
         .select("v", F.concat_ws("\u0001", "t.field", F.when(F.col("t.field") == "source_parent_id", F.coalesce(stripped(F.col("source_id")), F.lit("")))  .otherwise(F.lit("")), "t.value").alias("token"))
         .select("v", F.xxhash64("token").alias("k1"), F.xxhash64(F.lit("check"), "token").alias("k2"))
     )
+    shared = materialize(shared)
     hubs = shared.groupBy("k1", "k2").agg(F.min("v").alias("u"), F.max("v").alias("far")).filter("far > u").select("k1", "k2", "u")
     stars = shared.join(hubs, ["k1", "k2"]).filter("u <> v").select("u", "v")
 
