@@ -19,12 +19,14 @@ empty table gives no pairs; further columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.functions.digests import hash64, let, sha256_hex
+from lamella.session import shared_dir
 
 #: The base pivot; every other pivot is it with the two bits of one block flipped.
 BASE_PIVOT = 0x5A3C96E10F78D2B4
@@ -58,12 +60,12 @@ def informative(h: Column) -> Column:
 
 
 def signatures(images: DataFrame) -> DataFrame:
-    """record_no, batch_no, sha, pixel, hash: what a record is matched by, written alike."""
+    """record_no, batch_no, sha, pixel (bytes), hash: what a record is matched by, written alike."""
     return images.select(
         "record_no",
         "batch_no",
-        sha256_hex(F.col("sha256")).alias("sha"),
-        F.when(F.col("frame_count") == 1, sha256_hex(F.col("pixel_sha256"))).alias("pixel"),
+        F.unhex(sha256_hex(F.col("sha256"))).alias("sha"),
+        F.when(F.col("frame_count") == 1, F.unhex(sha256_hex(F.col("pixel_sha256")))).alias("pixel"),
         informative(hash64(F.col("perceptual_dhash64"))).alias("hash"),
     ).filter("record_no is not null and batch_no is not null")
 
@@ -71,8 +73,8 @@ def signatures(images: DataFrame) -> DataFrame:
 def values(signed: DataFrame) -> DataFrame:
     """One row for each value of a record: kind (s, p, h), value, record_no, batch_no."""
     kinds = F.array(
-        F.struct(F.lit("s").alias("kind"), F.unhex("sha").alias("value")),
-        F.struct(F.lit("p").alias("kind"), F.unhex("pixel").alias("value")),
+        F.struct(F.lit("s").alias("kind"), F.col("sha").alias("value")),
+        F.struct(F.lit("p").alias("kind"), F.col("pixel").alias("value")),
         F.struct(F.lit("h").alias("kind"), F.unhex(F.lpad(F.hex("hash"), 16, "0")).alias("value")),
     )
     return (
@@ -189,9 +191,6 @@ class History:
 def latest_batch(images: DataFrame) -> DataFrame:
     """record_no, earlier_records, first_record: the newest batch checked against the stored signatures of all earlier
     ones; one row for each of its records that has a duplicate."""
-    from lamella.session import shared_dir
-    import uuid
-
     spark = images.sparkSession
     newest = images.agg(F.max("batch_no")).first()[0]
     history = History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
