@@ -78,18 +78,23 @@ def plain(text: str) -> str:
     return text
 
 
+def _fold_word(token: str) -> str:
+    word = token.lower()
+    return word if word.isascii() else unicodedata.normalize("NFKC", word).translate(_FOLD)
+
+
 def words(text: str) -> list[tuple[str, bool]]:
-    """(folded word, whether it is written like a name: a capital not at the start of a sentence)."""
-    text = plain(text)
+    """(folded word, whether it is written like a name: a capital not at the start of a sentence) of a text."""
+    return _plain_words(plain(text))
+
+
+def _plain_words(text: str) -> list[tuple[str, bool]]:
     out, end = [], 0
     for m in _WORDS.finditer(text):
         token = m.group()
         between = text[end : m.start()]
         named = token[0].isupper() and not token.isupper() and bool(out) and not any(c in between for c in _SENTENCE_END)
-        folded = token.lower()
-        if not folded.isascii():
-            folded = unicodedata.normalize("NFKC", folded).translate(_FOLD)
-        out.append((folded, named))
+        out.append((_fold_word(token), named))
         end = m.end()
     return out
 
@@ -117,11 +122,26 @@ class Templates:
         known = self.known
         return [known.get(w) or self._type(w, named) for w, named in text]
 
+    def may_hold(self, text: str) -> bool:
+        """Whether a plain text has a window's length of words that can stand in some template: words of the items, numbers,
+        units and what is written with a capital. Most texts end here, and none that holds a window does."""
+        known, run = self.known, 0
+        for token in _WORDS.findall(text):
+            word = token.lower()
+            if word in known or not token[0].islower() or word in UNITS or (not word.isascii() and _fold_word(token) in known):
+                run += 1
+                if run == WINDOW:
+                    return True
+            else:
+                run = 0
+        return False
+
     def found(self, text: str) -> list[tuple[int, bool, int]]:
         """(item, quoted word for word, windows) for every item with windows in the text that hold the slot check."""
-        doc = words(text)
-        if len(doc) < WINDOW:
+        text = plain(text)
+        if not self.may_hold(text):
             return []
+        doc = _plain_words(text)
         template = self.template(doc)
         quoted: set[int] = set()
         runs: dict[tuple[int, int], list[int]] = defaultdict(list)
