@@ -53,7 +53,8 @@ def surviving_fields(deliveries: DataFrame) -> DataFrame:
 def selection(fields: DataFrame) -> DataFrame:
     """fields with canonical_image_id, selection_status and exclusion_reason."""
     key = F.when(F.col("frame_count") == 1, F.concat(F.lit("l"), "lossless_transform_sha256")).otherwise(F.concat(F.lit("s"), "sha256"))
-    keyed = fields.withColumn("group_key", key)
+    # Written once: the groups are formed from it, and it is joined back to them.
+    keyed = materialize(fields.withColumn("group_key", key))
     first = keyed.filter("group_key is not null").groupBy("group_key").agg(
         F.min(F.struct(F.col("relative_path").isNull().alias("no_path"), "relative_path", "image_id", "sha256", "pixel_sha256")).alias("c"), F.count("*").alias("members")
     ).filter("members > 1").select("group_key", F.col("c.image_id").alias("c_id"), F.col("c.sha256").alias("c_sha"), F.col("c.pixel_sha256").alias("c_pixel"))
