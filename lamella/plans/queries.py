@@ -232,10 +232,11 @@ def component_digests(spark, folder):
 
 @query("""
     SELECT leakage_group_id, count(*) AS images, min(image_id) AS first_image, max(image_id) AS last_image,
-           list_sort(list(DISTINCT source_id)) AS sources, list_sort(list_distinct(flatten(list(candidate_groups)))) AS candidate_groups
+           array_to_string(list_sort(list(DISTINCT source_id)), '|') AS sources, array_to_string(list_sort(list_distinct(flatten(list(candidate_groups)))), '|') AS candidate_groups
     FROM images WHERE leakage_group_id IS NOT NULL GROUP BY 1""")
 def component_inventory(spark, folder):
-    return splitting.group_inventory(table(spark, folder, "images").filter("leakage_group_id is not null"), "leakage_group_id")
+    g = splitting.group_inventory(table(spark, folder, "images").filter("leakage_group_id is not null"), "leakage_group_id")
+    return g.withColumn("sources", F.array_join("sources", "|")).withColumn("candidate_groups", F.array_join("candidate_groups", "|"))
 
 
 # Labels
@@ -377,11 +378,11 @@ def grouped_split(spark, folder):
 
 @query(f"""
     WITH {MANIFEST_SQL}, t AS (SELECT DISTINCT 'source' || chr(1) || source_id AS token, split FROM m)
-    SELECT token, [min(split), max(split)] AS partitions FROM t GROUP BY 1 HAVING min(split) <> max(split)""")
+    SELECT token, min(split) || '|' || max(split) AS partitions FROM t GROUP BY 1 HAVING min(split) <> max(split)""")
 def crossing_relations(spark, folder):
     m = _manifest(spark, folder)
     tokens = m.select(F.col("assignment_no").alias("node"), F.concat_ws("\u0001", F.lit("source"), "source_id").alias("token"))
-    return graph.crossing_tokens(tokens, m.select(F.col("assignment_no").alias("node"), "split"))
+    return graph.crossing_tokens(tokens, m.select(F.col("assignment_no").alias("node"), "split")).withColumn("partitions", F.array_join("partitions", "|"))
 
 
 @query("""
@@ -418,17 +419,20 @@ def unknown_pair_ids(spark, folder):
 
 
 @query("""
-    SELECT delivery_id, list_filter([CASE WHEN coalesce(trim(relative_path), '') IN ('', '-', 'n/a') THEN 'no_path' END, CASE WHEN NOT coalesce(checksum_verified, false) THEN 'not_verified' END,
-        CASE WHEN frame_count IS NULL OR frame_count <> 1 THEN 'not_single_frame' END], lambda x: x IS NOT NULL) AS reasons FROM deliveries""")
+    SELECT delivery_id, array_to_string(list_filter([CASE WHEN coalesce(trim(relative_path), '') IN ('', '-', 'n/a') THEN 'no_path' END, CASE WHEN NOT coalesce(checksum_verified, false) THEN 'not_verified' END,
+        CASE WHEN frame_count IS NULL OR frame_count <> 1 THEN 'not_single_frame' END], lambda x: x IS NOT NULL), '|') AS reasons FROM deliveries""")
 def exclusion_reasons(spark, folder):
     return table(spark, folder, "deliveries").select(
         "delivery_id",
-        flags.flags_where(
-            {
-                "no_path": F.coalesce(F.trim("relative_path"), F.lit("")).isin("", "-", "n/a"),
-                "not_verified": ~F.coalesce("checksum_verified", F.lit(False)),
-                "not_single_frame": F.coalesce(F.col("frame_count") != 1, F.lit(True)),
-            }
+        F.array_join(
+            flags.flags_where(
+                {
+                    "no_path": F.coalesce(F.trim("relative_path"), F.lit("")).isin("", "-", "n/a"),
+                    "not_verified": ~F.coalesce("checksum_verified", F.lit(False)),
+                    "not_single_frame": F.coalesce(F.col("frame_count") != 1, F.lit(True)),
+                }
+            ),
+            "|",
         ).alias("reasons"),
     )
 
@@ -654,12 +658,12 @@ def uuid5_ids(spark, folder):
 
 
 @query("""
-    SELECT record_no, list_sort(list_distinct(list_concat(list_filter(coalesce(import_flags, []), lambda x: x NOT IN ('multi_frame_asset', 'native_dimension_below_224')),
-        list_filter([CASE WHEN frame_count > 1 THEN 'multi_frame_asset' END, CASE WHEN least(width_px, height_px) < 500 THEN 'native_dimension_below_224' END], lambda x: x IS NOT NULL)))) AS flags FROM images""")
+    SELECT record_no, array_to_string(list_sort(list_distinct(list_concat(list_filter(coalesce(import_flags, []), lambda x: x NOT IN ('multi_frame_asset', 'native_dimension_below_224')),
+        list_filter([CASE WHEN frame_count > 1 THEN 'multi_frame_asset' END, CASE WHEN least(width_px, height_px) < 500 THEN 'native_dimension_below_224' END], lambda x: x IS NOT NULL)))), '|') AS flags FROM images""")
 def derived_flags(spark, folder):
     bare = flags.drop_flags(F.col("import_flags"), "multi_frame_asset", "native_dimension_below_224")
     derived = {"multi_frame_asset": F.col("frame_count") > 1, "native_dimension_below_224": F.least("width_px", "height_px") < 500}
-    return table(spark, folder, "images").select("record_no", flags.add_flags(flags.sorted_set(bare), derived).alias("flags"))
+    return table(spark, folder, "images").select("record_no", F.array_join(flags.add_flags(flags.sorted_set(bare), derived), "|").alias("flags"))
 
 
 @query("SELECT source_id, relative_path, bytes FROM images ORDER BY relative_path")
