@@ -38,6 +38,17 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().get()
 
 
+def shared_path(spark: SparkSession, prefix: str = "lamella") -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete what has been written to path when the driver ends."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+
+
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write df once as Parquet into the shared folder and return the table read back.
 
@@ -45,11 +56,10 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     or earlier by release().
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lamella-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    remove_at_end(spark, path)
     table = spark.read.schema(df.schema).parquet(path)
     table._lamella_path = path
     return table
