@@ -19,14 +19,13 @@ empty table gives no pairs; further columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella.functions.digests import hash64, let, sha256_hex
-from lamella.session import shared_dir
+from lamella.session import remove_at_end, shared_path
 
 #: The base pivot; every other pivot is it with the two bits of one block flipped.
 BASE_PIVOT = 0x5A3C96E10F78D2B4
@@ -193,8 +192,9 @@ def latest_batch(images: DataFrame) -> DataFrame:
     ones; one row for each of its records that has a duplicate."""
     spark = images.sparkSession
     newest = images.agg(F.max("batch_no")).first()[0]
-    history = History(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
+    history = History(spark, shared_path(spark, "history"))
     history.append(images.filter(F.col("batch_no") < F.lit(newest)))
+    remove_at_end(spark, history.path)
     return (
         history.match(images.filter(F.col("batch_no") == F.lit(newest)))
         .groupBy(F.col("record_new").alias("record_no"))
