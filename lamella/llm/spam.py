@@ -49,9 +49,10 @@ FUNCTION_WORDS = frozenset(
     "als am an auch auf aus bei bis das dass dem den der des die durch ein eine einem einen einer es für hat im ist kein keine man mit nach nicht noch nur ob oder sich sie sind über um und unter vom von vor war werden wie wir wird wurde zu zum zur".split()
 )
 LINK, TAG, NUMBER = "<link>", "<tag>", "<num>"
-#: The part of a language's pages a token must stand on to have statistics of its own.
-LEAST_FREQUENT = 1e-4
-#: Tokens of a vocabulary that is sent to all workers (some 50 bytes each).
+#: The part of a language's pages from which a token is frequent. At most a page's mean number of different tokens, divided by
+#: this, are, however large the corpus. It decides how statistics travel, not which there are.
+FREQUENT = 1e-3
+#: Tokens that are sent to all workers (some 50 bytes each).
 BROADCAST_TOKENS = 1_000_000
 #: Words on either side that a word is judged by.
 REACH = 6
@@ -101,32 +102,42 @@ def _rows(counts: DataFrame) -> DataFrame:
     return counts.select("doc_id", "lang", "page_tokens", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("counts").alias("c"))))
 
 
-def vocabulary(counts: DataFrame, least: float = LEAST_FREQUENT) -> DataFrame:
-    """lang, token, pages, total, all_pages: tokens on `least` of their language's pages and on two at least. There are at most
-    as many as a page's mean number of different tokens divided by `least`, however large the corpus."""
+def vocabulary(counts: DataFrame) -> DataFrame:
+    """lang, token, pages, total, all_pages: every token on two pages of its language or more."""
     sizes = counts.groupBy("lang").agg(F.count("*").alias("all_pages"))
     seen = _rows(counts).groupBy("lang", "token").agg(F.count("*").alias("pages"), F.sum("c").alias("total")).filter("pages > 1")
-    return seen.join(sizes, "lang").filter(F.col("pages") >= least * F.col("all_pages"))
+    return seen.join(F.broadcast(sizes), "lang")
+
+
+def with_statistics(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows with pages and total of their lang and token, NULL where the vocabulary lacks it."""
+    keys = ["lang", "token"]
+    if known.count() <= BROADCAST_TOKENS:
+        return rows.join(F.broadcast(known.drop("all_pages")), keys, "left")
+    # The frequent tokens, most of all rows, meet theirs where they are; only rows of the others move to their statistics.
+    often = F.col("pages") >= FREQUENT * F.col("all_pages")
+    frequent, rare = (known.filter(f).drop("all_pages") for f in (often, ~often))
+    if frequent.count() > BROADCAST_TOKENS:
+        return rows.join(known.drop("all_pages"), keys, "left")
+    return rows.join(F.broadcast(frequent), keys).unionByName(rows.join(F.broadcast(frequent), keys, "left_anti").join(rare, keys, "left"))
 
 
 def curves(counts: DataFrame) -> DataFrame:
     """doc_id, lang, tokens, types, slope, residual, divergence, bursty_share, keywords: the curve of every page. A token that is
-    not in the vocabulary counts as standing on a page or a `least` of them, whichever is more, and as bursty by itself."""
+    not in the vocabulary stands on this page only."""
     known = materialize(vocabulary(counts))
-    # The vocabulary goes to all workers while it is small, which saves moving every token; else the join moves both.
-    known = F.broadcast(known) if known.count() <= BROADCAST_TOKENS else known
     sizes = counts.groupBy("lang").agg(F.count("*").alias("lang_pages"))
     once = counts.dropDuplicates(["doc_id"])
     ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")))
     c = F.col("c").cast("double")
-    joined = ranked.join(known, ["lang", "token"], "left").join(F.broadcast(sizes), "lang")
+    joined = with_statistics(ranked, known).join(F.broadcast(sizes), "lang")
     burst = F.coalesce(F.col("total") / F.col("pages"), c)
     marked = F.col("token").isin(LINK, TAG)
     bursty = ~F.col("token").isin(NUMBER, LINK, TAG, *sorted(FUNCTION_WORDS)) & (
         ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | (burst >= 4) | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
     )
     x, y = F.log("rank"), F.log(c)
-    usual = F.coalesce("pages", F.greatest(F.lit(1.0), LEAST_FREQUENT * F.col("lang_pages"))) / F.col("lang_pages")
+    usual = F.coalesce("pages", F.lit(1)) / F.col("lang_pages")
     sums = joined.groupBy("doc_id", "lang").agg(
         F.sum(c).alias("tokens"),
         F.count("*").alias("types"),

@@ -121,3 +121,17 @@ def test_curve(spark):
     x, y = np.log([1, 2, 3, 4]), np.log([4, 2, 1, 1])
     slope, intercept = np.polyfit(x, y, 1)
     assert r["slope"] == pytest.approx(slope) and r["residual"] == pytest.approx(np.sqrt(np.mean((y - slope * x - intercept) ** 2))) and (r["tokens"], r["types"]) == (8, 4)
+
+
+@pytest.mark.parametrize("broadcast, frequent", [(1_000_000, 1e-3), (1, 1e-3), (0, 1e-3), (2, 1e-4)])
+def test_statistics_of_rare_tokens(spark, monkeypatch, broadcast, frequent):
+    monkeypatch.setattr(spam, "BROADCAST_TOKENS", broadcast)
+    monkeypatch.setattr(spam, "FREQUENT", frequent, raising=False)
+    shape = "doc_id bigint, lang string, tokens array<string>, counts array<int>, page_tokens bigint"
+    campaign = {1: 1, 2: 8, 3: 8}  # 17 on 3 pages: bursty wherever it stands
+    once = {1: 3, 2: 1, 3: 1}  # 5 on 3 pages: bursty nowhere
+    pages = [(d, "en", ["fill", "campaign", "once"], [1, campaign[d], once[d]], 1 + campaign[d] + once[d]) for d in campaign]
+    fill = spark.range(10, 40_010).selectExpr("id as doc_id", "'en' as lang", "array('fill') as tokens", "array(1) as counts", "1L as page_tokens")
+    got = spam.curves(spark.createDataFrame(pages, shape).unionByName(fill))
+    assert {r["doc_id"]: r["keywords"] for r in got.filter("doc_id < 10").collect()} == {1: ["campaign"], 2: ["campaign"], 3: ["campaign"]}
+    assert got.count() == 40_003
