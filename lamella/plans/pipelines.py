@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.functions import flags, ids, paths
+from lamella.functions import flags, ids, paths, taxa
 from lamella.functions.digests import hash64
 from lamella.operators import adapters, checks, curation, graph, labels, reviews, splitting, summaries
 from lamella.operators.checks import ViolationError, require
@@ -198,8 +198,8 @@ def build_split(spark: SparkSession, catalog: str, eligible: DataFrame, output:
     support = materialize(labels.label_support(placed, "experiment_group_id", "split"))
     targets = labels.masked_targets(placed, labels.rank_targets(placed, mapped, "image_id"), support, "image_id", "split")
     manifest = placed.join(targets, "image_id").select(
-        "image_id", "source_id", "relative_path", "sha256", "source_labels", "taxonomy", "annotations", "lineage", "relationship_keys", F.col("leakage_group_id").alias("source_leakage_group_id"),
-        "experiment_group_id", "split", F.col("candidate_groups")[0].alias("candidate_group"), *targets.columns[1:],
+        "image_id", "source_id", "relative_path", "sha256", "pixel_sha256", "lossless_transform_sha256", "canonical_image_id", "source_labels", "taxonomy", "annotations", "lineage", "relationship_keys",
+        F.col("leakage_group_id").alias("source_leakage_group_id"), "experiment_group_id", "split", F.col("candidate_groups")[0].alias("candidate_group"), *targets.columns[1:],
         F.concat_ws("/", F.lit("images"), "split", F.col("candidate_groups")[0], F.concat("image_id", paths.suffix(F.col("relative_path")))).alias("partition_image_path"),
     )
     inventory_ = splitting.group_inventory(grouped, "experiment_group_id").join(assigned, "experiment_group_id", "left")
@@ -224,19 +224,102 @@ def build_split(spark: SparkSession, catalog: str, eligible: DataFrame, output:
     return sinks.publish(output, "split.json", "split", fill)
 
 
+def _wrong_types(spark: SparkSession, path: str, key: str, kinds: dict[str, str]) -> DataFrame:
+    """key, code of JSON lines whose fields are not exactly of their types: true is no 1, and "1" is none."""
+    named = spark.read.text(path).withColumn(key, F.get_json_object("value", f"$.{key}"))
+    return checks.violations(named, [key], {f: lines.typed_field(F.col("value"), f, kind) for f, kind in kinds.items()})
+
+
+def _check_relations(rows: DataFrame, left_out: DataFrame) -> None:
+    """No hash, id, key or lineage value links images of different partitions; ids of images that are not eligible stand for
+    the partition of their group."""
+    node = F.col("image_id").alias("node")
+    named = left_out.filter("related_partition is not null")
+    absent = named.select(node, F.explode(F.array(*(F.concat_ws("\u0001", F.lit(k), "image_id") for k in ("canonical", "parent_image_id")))).alias("token"))
+    tokens = graph.release_tokens(rows.withColumn("leakage_group_id", F.col("image_id")).withColumn("frame_count", F.lit(1)), with_source=False)
+    placed = rows.select(node, "split").unionByName(named.select(node, F.col("related_partition").alias("split")))
+    require(graph.crossing_tokens(tokens.unionByName(absent), placed), "known relations cross partitions")
+    ids_ = rows.select("image_id").unionByName(left_out.select("image_id"))
+    for c in (F.col("canonical_image_id"), F.col("lineage")["parent_image_id"]):
+        require(checks.orphans(rows.select(c.alias("related")), "related", ids_, "image_id"), "relations to unknown images")
+
+
+def _check_inventory(spark: SparkSession, folder: str, rows: DataFrame, left_out: DataFrame) -> None:
+    """The group inventory, the manifest and what is left out say the same of groups, their partitions and sizes."""
+    shape = "experiment_group_id string, images bigint, split string"
+    stored = lines.read_lenient(spark, f"{folder}/groups.jsonl", shape)
+    held = rows.select("experiment_group_id", "split", F.lit(True).alias("eligible")).unionByName(
+        left_out.select("experiment_group_id", F.col("related_partition").alias("split"), F.lit(False).alias("eligible"))
+    )
+    require(checks.difference(stored, held.groupBy("experiment_group_id", "split").agg(F.count("*").alias("images")).select(*stored.columns)), "group inventory and manifest differ")
+    require(held.groupBy("experiment_group_id", "split").agg(F.max("eligible").alias("eligible")).filter("eligible <> (split is not null)"), "partitions of groups without eligible images")
+    require(checks.repeated(rows.select("image_id").unionByName(left_out.select("image_id")), "image_id"), "images both eligible and left out")
+
+
+def _check_labels(spark: SparkSession, folder: str, rows: DataFrame) -> None:
+    """Taxonomy, label map, support, targets and masks are what they are derived to be. A taxonomy without its taxa has
+    nothing to be derived from and counts as it stands."""
+    # Only eligible records are here, so each has one candidate group.
+    derived = taxa.taxonomy(F.col("source_id"), F.col("source_labels"), F.array("candidate_group"))
+    require(rows.filter(F.col("taxonomy")["taxa"].isNotNull() & ~F.to_json("taxonomy").eqNullSafe(F.to_json(derived))).select("image_id"), "taxonomy differs from source labels")
+    require(_wrong_types(spark, f"{folder}/taxonomy_map.jsonl", "label", {"id": "BIGINT"}), "label map ids")
+    kinds = {f"{r}_{what}": kind for r in ("group", "genus", "species") for what, kind in (("target", "BIGINT"), ("mask", "BOOLEAN"))}
+    require(_wrong_types(spark, f"{folder}/manifest.jsonl", "image_id", kinds), "targets and masks")
+    known = flat(rows)
+    mapped = materialize(labels.label_map(known.select("taxon_group", "genus", "species")))
+    require(checks.difference(lines.read_lenient(spark, f"{folder}/taxonomy_map.jsonl", mapped.schema), mapped), "label maps differ")
+    support = materialize(labels.label_support(known, "experiment_group_id", "split"))
+    require(checks.difference(lines.read_lenient(spark, f"{folder}/label_support.jsonl", support.schema), support), "label supports differ")
+    targets = labels.masked_targets(known, labels.rank_targets(known, mapped, "image_id"), support, "image_id", "split")
+    require(checks.difference(rows.select(*targets.columns), targets), "targets or masks differ")
+
+
 def read_manifest(spark: SparkSession, folder: str, schema, split: str | None = None) -> DataFrame:
-    """The manifest of a frozen split whose files are as bound and whose groups do not cross partitions."""
+    """The manifest of a frozen split whose files are as bound, whose counts are as stated, whose related images do not cross
+    partitions, and whose labels are derived anew. What is checked is read by the manifest's own schema, not the caller's."""
     metadata = sinks.verify_bound(folder, "split.json", "split")
-    if metadata.get("kind") != "split":
+    if metadata.get("kind") != "split" or metadata.get("schema_version") != schemas.SCHEMA_VERSION:
         raise ViolationError("no split")
     if split is not None and split not in SPLITS:
         raise ViolationError(f"no partition {split}")
-    rows = lines.read_lenient(spark, f"{folder}/manifest.jsonl", schema)
+    rows = lines.read_lenient(spark, f"{folder}/manifest.jsonl", schemas.MANIFEST)
+    left_out = lines.read_lenient(spark, f"{folder}/exclusions.jsonl", "image_id string, experiment_group_id string, related_partition string")
+    require(checks.violations(rows, ["image_id"], {"image_id": F.length("image_id") > 0, "experiment_group_id": F.length("experiment_group_id") > 0, "split": F.col("split").isin(*SPLITS), "relative_path": paths.is_normal(F.col("relative_path"))}), "manifest")
     require(checks.repeated(rows, "image_id"), "repeated ids")
+    counts = {r["split"]: {"images": r["images"], "groups": r["groups"]} for r in splitting.split_counts(rows, "experiment_group_id", "split").collect()}
+    if not counts or counts != metadata.get("counts"):
+        raise ViolationError(f"images and groups are {counts}, not as stated")
     require(splitting.torn_groups(rows, "experiment_group_id", "split"), "related images cross partitions")
-    tokens = rows.select(F.col("image_id").alias("node"), F.explode("relationship_keys").alias("token"))
-    require(graph.crossing_tokens(tokens, rows.select(F.col("image_id").alias("node"), "split")), "known relations cross partitions")
-    return rows if split is None else rows.filter(F.col("split") == split)
+    _check_relations(rows, left_out)
+    _check_inventory(spark, folder, rows, left_out)
+    _check_labels(spark, folder, rows)
+    out = lines.read_lenient(spark, f"{folder}/manifest.jsonl", schema)
+    return out if split is None else out.filter(F.col("split") == split)
+
+
+def read_release(spark: SparkSession, folder: str, schema, split: str | None = None) -> DataFrame:
+    """The manifest of a release whose files are as bound, whose class map is the fixed one, whose ids of classes are exact
+    integers of it, and whose counts are as stated."""
+    metadata = sinks.verify_bound(folder, "release.json", "release")
+    if metadata.get("kind") != "release" or metadata.get("schema_version") != "2.0":
+        raise ViolationError("no release")
+    if split is not None and split not in SPLITS:
+        raise ViolationError(f"no partition {split}")
+    classes = metadata.get("class_map")
+    if classes != taxa.GROUPS or any(type(v) is not int for v in classes.values()):
+        raise ViolationError("not the class map")
+    path = f"{folder}/manifest.jsonl"
+    rows = lines.read_lenient(spark, path, "image_id string, relative_path string, group_label string, class_id bigint, split string")
+    require(_wrong_types(spark, path, "image_id", {"class_id": "BIGINT"}), "ids of classes")
+    fits = F.col("class_id") == F.try_element_at(F.create_map(*(F.lit(x) for p in classes.items() for x in p)), F.col("group_label"))
+    require(checks.violations(rows, ["image_id"], {"image_id": F.length("image_id") > 0, "class_id": fits, "split": F.col("split").isin(*SPLITS), "relative_path": paths.is_normal(F.col("relative_path"))}), "manifest")
+    require(checks.repeated(rows, "image_id"), "repeated ids")
+    found = {(r["group_label"], r["split"]): r["count"] for r in rows.groupBy("group_label", "split").count().collect()}
+    stated = {(g, s): n for g, by in metadata.get("class_split_counts", {}).items() for s, n in by.items() if n}
+    if not found or found != stated:
+        raise ViolationError("the counts of classes and partitions are not as stated")
+    out = lines.read_lenient(spark, path, schema)
+    return out if split is None else out.filter(F.col("split") == split)
 
 
 def build_release(spark: SparkSession, catalog: str, review_lines: str, assignments_csv: str, output: str, version: str) -> dict:
@@ -264,7 +347,8 @@ def build_release(spark: SparkSession, catalog: str, review_lines: str, assignme
     if ready.isEmpty():
         counts = {r["reason"]: r["n"] for r in reviews.histogram(gated, "reasons").collect()}
         raise ViolationError(f"nothing is eligible: {counts}")
-    manifest = ready.select("image_id", "source_id", "relative_path", "sha256", "width_px", "height_px", "group_label", "leakage_group_id", "split", "annotation_version", "source_labels", "taxonomy", "annotations")
+    class_id = F.try_element_at(F.create_map(*(F.lit(x) for p in taxa.GROUPS.items() for x in p)), F.col("group_label")).alias("class_id")
+    manifest = ready.select("image_id", "source_id", "relative_path", "sha256", "width_px", "height_px", "group_label", class_id, "leakage_group_id", "split", "annotation_version", "source_labels", "taxonomy", "annotations")
 
     def fill(staging: str) -> dict:
         sinks.write_lines(manifest, f"{staging}/manifest.jsonl", "image_id")
@@ -275,6 +359,6 @@ def build_release(spark: SparkSession, catalog: str, review_lines: str, assignme
         for r in reviews.crosstab(manifest, "group_label", "split", *dims).collect():
             table.setdefault(r["group_label"], {})[r["split"]] = r["n"]
         excluded = {r["reason"]: r["n"] for r in reviews.histogram(gated, "reasons").collect()}
-        return {"schema_version": "2.0", "kind": "release", "release_version": version, "catalog_id": metadata["id"], "class_split_counts": table, "exclusion_reason_counts": excluded}
+        return {"schema_version": "2.0", "kind": "release", "release_version": version, "catalog_id": metadata["id"], "class_map": dict(taxa.GROUPS), "class_split_counts": table, "exclusion_reason_counts": excluded}
 
     return sinks.publish(output, "release.json", "release", fill)

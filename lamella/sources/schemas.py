@@ -18,6 +18,13 @@ IMAGE = (
     " annotations ARRAY<STRUCT<label: STRING, class_id: INT, format: STRING, coordinates: ARRAY<DOUBLE>>>, lineage MAP<STRING, STRING>, relationship_keys ARRAY<STRING>, leakage_group_id STRING,"
     " import_flags ARRAY<STRING>, usage_permission_ref STRING, review_status STRING, group_label STRING"
 )
+#: What the reader of a frozen split checks.
+MANIFEST = (
+    "image_id STRING, source_id STRING, relative_path STRING, sha256 STRING, pixel_sha256 STRING, lossless_transform_sha256 STRING, canonical_image_id STRING, source_labels ARRAY<STRING>,"
+    " taxonomy STRUCT<taxon_group: STRING, genus: STRING, species: STRING, status: STRING, taxa: ARRAY<STRUCT<source_label: STRING, taxon_group: STRING, genus: STRING, species: STRING, rank: STRING, mapping_note: STRING>>>,"
+    " lineage MAP<STRING, STRING>, relationship_keys ARRAY<STRING>, experiment_group_id STRING, split STRING, candidate_group STRING,"
+    " group_target BIGINT, genus_target BIGINT, species_target BIGINT, group_mask BOOLEAN, genus_mask BOOLEAN, species_mask BOOLEAN"
+)
 NEAR_PAIR = "image_id_a STRING, image_id_b STRING, relative_path_a STRING, relative_path_b STRING, dhash_hamming_distance INT, status STRING"
 REVIEW = (
     "image_id STRING, image_sha256 STRING, annotation_version BIGINT, review_status STRING, disposition STRING, group_label STRING, visible_evidence STRING, annotator_id STRING, reviewer_id STRING,"

@@ -170,3 +170,75 @@ def test_release(spark, tmp_path):
     (tmp_path / "reviews.jsonl").write_text('{"image_id": "i00", "image_id": "i01"}\n')
     with pytest.raises(ViolationError, match="invalid_json"):
         go("r6")
+
+
+def _forged(source, target, metadata_name, prefix, **changes):
+    """A copy of an artifact with changed files (lines -> lines) that is bound anew."""
+    metadata = json.loads((source / metadata_name).read_text())
+
+    def fill(staging):
+        for p in source.iterdir():
+            if p.is_file() and p.name != metadata_name:
+                text = p.read_text()
+                change = changes.get(p.stem) if p.suffix == ".jsonl" else None
+                open(f"{staging}/{p.name}", "w").write("".join(json.dumps(r) + "\n" for r in change([json.loads(x) for x in text.splitlines()])) if change else text)
+        return {k: v for k, v in metadata.items() if k not in ("id", "file_sha256")} | changes.get("metadata", {})
+
+    sinks.publish(str(target), metadata_name, prefix, fill)
+    return str(target)
+
+
+def test_readers_check_everything(spark, tmp_path):
+    catalog, rows = _big_catalog(spark, tmp_path)
+    pipelines.build_split(spark, str(catalog), rows.select("image_id").filter("image_id <> 'i00'"), str(tmp_path / "split"))
+    schema = "image_id string, split string"
+    read = lambda i, **c: pipelines.read_manifest(spark, _forged(tmp_path / "split", tmp_path / f"s{i}", "split.json", "split", **c), schema)
+    assert read(0).count() == 23
+    manifest = _rows(tmp_path / "split/manifest.jsonl")
+    a = next(r for r in manifest if r["split"] == "train")["image_id"]
+    b = next(r for r in manifest if r["split"] == "test")["image_id"]
+
+    def alike(**values):
+        return lambda rs: [{**r, **values} if r["image_id"] in (a, b) else r for r in rs]
+
+    def one(**values):
+        return lambda rs: [{**r, **values} if r["image_id"] == a else r for r in rs]
+
+    for i, values in enumerate([{"sha256": "0" * 64}, {"pixel_sha256": "0" * 64}, {"lineage": {"slide_id": "s"}}, {"lineage": {"parent_image_id": b}}], 1):
+        with pytest.raises(ViolationError, match="known relations cross"):
+            read(i, manifest=alike(**values))
+    assert read(10, manifest=alike(lineage={"source_parent_id": None})).count() == 23
+    other = next(r["split"] for r in manifest if r["relationship_keys"] != ["k0"] and r["split"] != next(x["split"] for x in manifest if x["image_id"] == "i01"))
+    child = next(r["image_id"] for r in manifest if r["split"] == other)
+    with pytest.raises(ViolationError, match="known relations cross"):  # a parent that is not eligible
+        read(11, manifest=lambda rs: [{**r, "lineage": {"parent_image_id": "i00"}} if r["image_id"] == child else r for r in rs])
+    with pytest.raises(ViolationError, match="unknown images"):
+        read(12, manifest=one(canonical_image_id="none"))
+    for i, (match, changes) in enumerate(
+        [
+            ("not as stated", {"manifest": lambda rs: rs[1:]}),
+            ("targets or masks differ", {"manifest": one(genus_target=7)}),
+            ("targets and masks", {"manifest": one(group_target=True)}),
+            ("label map ids", {"taxonomy_map": lambda rs: [{**r, "id": bool(r["id"])} for r in rs]}),
+            ("label maps differ", {"taxonomy_map": lambda rs: rs[1:]}),
+            ("label supports differ", {"label_support": lambda rs: [{**r, "images": r["images"] + 1} for r in rs]}),
+            ("group inventory", {"groups": lambda rs: rs[1:]}),
+            ("taxonomy differs", {"manifest": one(taxonomy={"taxon_group": "fungi", "genus": "Fusarium", "species": None, "status": "single_taxon", "taxa": []})}),
+        ],
+        20,
+    ):
+        with pytest.raises(ViolationError, match=match):
+            read(i, **changes)
+
+
+def test_release_reader(spark, tmp_path):
+    catalog, rows = _big_catalog(spark, tmp_path)
+    sha = {r["image_id"]: r["sha256"] for r in rows.collect()}
+    (tmp_path / "reviews.jsonl").write_text("".join(json.dumps(_review(i, sha[i])) + "\n" for i in ("i00", "i02")))
+    (tmp_path / "assign.csv").write_text("leakage_group_id,split\nlg-k0,train\nlg-k1,train\n")
+    pipelines.build_release(spark, str(catalog), str(tmp_path / "reviews.jsonl"), str(tmp_path / "assign.csv"), str(tmp_path / "release"), "1")
+    read = lambda i, split=None, **c: pipelines.read_release(spark, _forged(tmp_path / "release", tmp_path / f"r{i}", "release.json", "release", **c), "image_id string, class_id bigint, split string", split)
+    assert sorted(tuple(r) for r in read(0, "train").collect()) == [("i00", 0, "train"), ("i02", 0, "train")] and read(1, "test").count() == 0
+    for i, (match, changes) in enumerate([("class map", {"metadata": {"class_map": {"fungi": False, "oomycetes": True}}}), ("ids of classes", {"manifest": lambda rs: [{**r, "class_id": "0"} for r in rs]}), ("class_id", {"manifest": lambda rs: [{**r, "class_id": 1} for r in rs]}), ("not as stated", {"manifest": lambda rs: rs[1:]})], 2):
+        with pytest.raises(ViolationError, match=match):
+            read(i, **changes)
