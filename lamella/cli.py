@@ -66,10 +66,14 @@ def run(args: argparse.Namespace) -> dict | list:
     if args.verb == "release":
         return pipelines.build_release(spark, args.catalog, args.reviews, args.assignments, args.output, args.release_version)
     if args.verb == "scan":
-        from lamella.functions.scan import file_findings
-        from lamella.sources.inventory import files
-
-        return [r.asDict() for r in file_findings(files(spark, args.root, content=True)).limit(1000).collect()]
+        from lamella.sources.publication import findings
+
+        # Findings go out as they come, one JSON line each; their total follows.
+        total = 0
+        for r in findings(spark, args.root).toLocalIterator():
+            print(json.dumps(r.asDict(), ensure_ascii=False))
+            total += 1
+        return {"findings": total}
     import hashlib
 
     from lamella.sources import rasters, sinks

@@ -49,3 +49,32 @@ def test_verbs(tmp_path, capsys):
     for verb in ("train", "predict", "benchmark"):
         with pytest.raises(SystemExit):
             cli.main([verb])
+
+
+def test_scan_gives_every_finding(spark, tmp_path, capsys):
+    import subprocess
+
+    for i in range(1200):
+        (tmp_path / f"f{i:04}.txt").write_text("a@b.example")
+    (tmp_path / ".env").write_text("password = 'abcdefgh'")
+    args = cli.parser().parse_args(["scan", "--root", str(tmp_path)])
+    assert cli.run(args) == {"findings": 1201}
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 1201 and json.loads(out[0]) == {"path": ".env", "rule": "credential-assignment"} and json.loads(out[-1])["path"] == "f1199.txt"
+    for p in tmp_path.glob("f*.txt"):
+        p.unlink()
+    git = lambda *a: subprocess.run(["git", "-C", str(tmp_path), *a], check=True, capture_output=True)
+    git("init", "-q")
+    (tmp_path / "gone.txt").write_text("a@b.example")
+    (tmp_path / "ignored.txt").write_text("plain")
+    (tmp_path / "link.csv").symlink_to("ignored.txt")
+    git("add", "gone.txt", "ignored.txt", "link.csv")
+    (tmp_path / "gone.txt").unlink()
+    (tmp_path / ".gitignore").write_text("ignored.txt\nprivate.txt\n")
+    (tmp_path / "private.txt").write_text("a@b.example")
+    (tmp_path / "clean.txt").write_text("plain")
+    assert cli.run(args)["findings"] == 6
+    assert [tuple(json.loads(x).values()) for x in capsys.readouterr().out.splitlines()] == [
+        (".env", "credential-assignment"), ("gone.txt", "staged-email-address"), ("ignored.txt", "ignored-tracked-file"),
+        ("link.csv", "staged-dataset-or-model-artifact"), ("link.csv", "staged-symlink"), ("link.csv", "symlink"),
+    ]
