@@ -43,8 +43,11 @@ _FOLD = str.maketrans({x: latin for latin, xs in LOOKALIKES.items() for x in xs}
 #: Words for units, any of which fills a unit slot.
 UNITS = frozenset("second seconds minute minutes hour hours day days week weeks month months year years degree degrees fold micrometre micrometres micrometer micrometers millimetre millimetres millimeter millimeters centimetre centimetres gram grams milligram milligrams litre litres millilitre millilitres percent times um mm cm ml mg".split())
 
-_INLINE = regex.compile(r"</?(?:b|i|u|s|em|strong|span|font|mark|small|big|sub|sup|a|code|tt|wbr)(?:\s[^<>]{0,2000})?/?>", regex.I)
-_BLOCK = regex.compile(r"<[!/?a-zA-Z][^<>]{0,2000}>")
+# Up to 2,000 characters whatever they are may stand in a tag; beyond that only attributes with values (or a comment), so that
+# a `<` in prose does not take the prose up to some far `>` with it. All stop at the next `<`, so they stay linear.
+_ATTRIBUTES = r"""(?:\s++[\w:.@-]++(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s<>"'=]++[^\s<>"']*+)))++\s*+"""
+_INLINE = regex.compile(rf"</?(?:b|i|u|s|em|strong|span|font|mark|small|big|sub|sup|a|code|tt|wbr)(?:(?:\s[^<>]{{0,2000}})?/?>|{_ATTRIBUTES}/?>)", regex.I)
+_BLOCK = regex.compile(rf"<[!/?a-zA-Z][^<>]{{0,2000}}>|<[a-zA-Z][\w:-]*+{_ATTRIBUTES}/?>|<!--[^<>]*+(?<=--)>")
 _HYPHEN = regex.compile(r"(?<=\p{L})[-‐‑][^\S\n]*+\n[\s>|*#]*+(?=\p{L})")
 _ESCAPE = regex.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\([nrt])")
 _PERCENT = regex.compile(r"(?:%[0-9a-fA-F]{2})+")

@@ -135,3 +135,17 @@ def test_statistics_of_rare_tokens(spark, monkeypatch, broadcast, frequent):
     got = spam.curves(spark.createDataFrame(pages, shape).unionByName(fill))
     assert {r["doc_id"]: r["keywords"] for r in got.filter("doc_id < 10").collect()} == {1: ["campaign"], 2: ["campaign"], 3: ["campaign"]}
     assert got.count() == 40_003
+
+
+@pytest.mark.parametrize("tag", ['<img alt="x y" src="data:image/png;base64,' + "Qk0 a/" * 2000 + '=="/>', "<p style='" + "color: red; " * 400 + "'>", "<!-- " + "word " * 900 + "-->", '<b class="' + "x " * 3000 + '">'])
+def test_quotations_around_long_tags(tag):
+    t = leaks.Templates([(1, ITEM)])
+    first, last = QUOTE[: len(QUOTE) // 2], QUOTE[len(QUOTE) // 2 :]
+    cut = first.rfind(" ")
+    assert (1, True, 0) in t.found("Before. " + first[:cut] + " " + tag + first[cut:] + last + " after")
+
+
+def test_prose_after_a_less_than_sign():
+    t = leaks.Templates([(1, ITEM)])
+    assert (1, True, 0) in t.found("where n <b and then " + "some words " * 300 + QUOTE + " so that x > 1")
+    assert t.found("<a href=" * 50_000) == [] and t.found('<a x="' + "y " * 300_000) == [] and t.found("<a " + "x=1 " * 200_000) == []
