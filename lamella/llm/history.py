@@ -1,12 +1,13 @@
 """Problem 1: duplicates of a new batch among everything accepted before.
 
-Method: a pivot-distance table. Every hash is stored once with its distances from fixed pivots: a base pivot, and
+Method: a pivot-distance table, formed anew for each match. Every distinct hash gets its distances from fixed pivots: a base pivot, and
 32 pivots that differ from it in one block of two bits. The difference of the distances to the base and to such a
 pivot is the distance within that block, a metric of its own, so the triangle inequality holds block by block: two
 hashes at distance r differ in all their block distances together by r at most. The blocks fall into four segments; as
 r is at most 2, at least two segments of any such pair have equal pivot distances (their range has width zero), which
 makes the range join an equi-join on one of six segment pairs. What remains is cut by the base pivot's range and
-verified by the true distance. One row goes into the table for each hash; rows are only ever appended.
+verified by the true distance. What is stored are the records' signatures (History), not the distances; rows are only ever
+appended.
 
 Equal digests and equal hashes are matched by an equi-join on the value; near matches are searched among distinct
 hashes, so a hash held by a third of all records is compared once, and joined back to its records afterwards
@@ -172,8 +173,9 @@ def duplicate_pairs(images: DataFrame) -> DataFrame:
 class History:
     """Everything accepted so far, as an append-only folder of signature rows.
 
-    Rows are kept sorted by hash within range partitions, so statistics of the Parquet files prune what a batch cannot
-    reach. match() reads the stored signatures, never the records they came from.
+    match() reads the stored signatures, never the records they came from: all of them, whatever the batch holds, and forms
+    the pivot distances of their distinct hashes anew, six rows each. Rows are sorted by hash within range partitions, which
+    no filter of match() makes use of.
     """
 
     def __init__(self, spark: SparkSession, path: str):
