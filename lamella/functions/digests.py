@@ -22,10 +22,20 @@ def stripped(text: Column) -> Column:
 
 
 def sha256_hex(text: Column) -> Column:
-    """64 lower-case hex digits of a SHA-256 however it is written (case, blanks, `sha256:` or `SHA-256=` before it,
-    colons between bytes); NULL where it is missing, cut off or no digest."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(text), r"^\s*sha-?256\s*[:=]", ""), r"[\s:-]", "")
-    return let(bare, lambda b: F.when(b.rlike("^[0-9a-f]{64}$"), b))
+    """64 lower-case hex digits of a SHA-256 however it is written: hex (case, blanks, `sha256:` or `SHA-256=` before it,
+    colons between bytes) or base64 of the 32 bytes (both alphabets, padded or not); NULL where it is missing, cut off or
+    no digest."""
+    value = F.regexp_replace(text, r"(?i)^\s*sha-?256\s*[:=-]|\s", "")
+
+    def read(v: Column) -> Column:
+        bare = F.lower(F.regexp_replace(v, "[:-]", ""))
+        # The last of 43 digits carries four bits, so its two low ones are zero.
+        coded = F.concat(F.rtrim(F.translate(v, "-_", "+/"), F.lit("=")), F.lit("="))
+        return F.when(F.length(v) >= 64, F.when(bare.rlike("^[0-9a-f]{64}$"), bare)).when(
+            v.rlike("^[A-Za-z0-9+/_-]{42}[AEIMQUYcgkosw048]=?$"), F.lower(F.hex(F.unbase64(coded)))
+        )
+
+    return let(value, read)
 
 
 def hash64(text: Column) -> Column:

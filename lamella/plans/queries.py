@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lamella.functions import codes, flags, hashing, ids, paths, scan, taxa
 from lamella.functions.digests import sha256_hex, stripped
 from lamella.operators import checks, curation, graph, labels, reviews, splitting, summaries
-from lamella.plans.records import BARE_SHA, RECORDS_SQL, SHA, records
+from lamella.plans.records import RECORDS_SQL, records, sha_sql
 from lamella.sources import boxes, lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,11 +150,11 @@ def near_dup_flagged(spark, folder):
 
 
 TOKENS_SQL = f"""
-    WITH RECURSIVE img AS (SELECT record_no, image_id, source_id, {BARE_SHA.format('sha256')} AS s0, {BARE_SHA.format('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count,
+    WITH RECURSIVE img AS (SELECT record_no, image_id, source_id, {sha_sql('sha256')} AS s0, {sha_sql('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count,
         relationship_keys, lineage, selection_status FROM images),
     t AS (
-        SELECT image_id AS node, 'file' || chr(1) || s0 AS token, selection_status FROM img WHERE regexp_full_match(s0, '[0-9a-f]{{64}}')
-        UNION SELECT image_id, 'pixels' || chr(1) || p0, selection_status FROM img WHERE frame_count = 1 AND regexp_full_match(p0, '[0-9a-f]{{64}}')
+        SELECT image_id AS node, 'file' || chr(1) || s0 AS token, selection_status FROM img WHERE s0 IS NOT NULL
+        UNION SELECT image_id, 'pixels' || chr(1) || p0, selection_status FROM img WHERE frame_count = 1 AND p0 IS NOT NULL
         UNION SELECT image_id, 'lossless' || chr(1) || l, selection_status FROM img WHERE frame_count = 1 AND l <> ''
         UNION SELECT image_id, 'relationship' || chr(1) || unnest(list_filter(relationship_keys, lambda x: x <> '')), selection_status FROM img
         UNION SELECT image_id, CASE WHEN e.key = 'source_parent_id' THEN e.key || chr(1) || source_id || chr(1) || e.value ELSE 'lineage' || chr(1) || e.key || chr(1) || e.value END, selection_status
@@ -199,9 +199,9 @@ def bridge_components(spark, folder):
 
 
 @query(f"""
-    WITH RECURSIVE img AS (SELECT image_id, source_id, {BARE_SHA.format('sha256')} AS s0, {BARE_SHA.format('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count, relationship_keys, lineage FROM images),
-    t AS (SELECT source_id AS node, 'file' || s0 AS token FROM img WHERE regexp_full_match(s0, '[0-9a-f]{{64}}')
-        UNION SELECT source_id, 'pixels' || p0 FROM img WHERE frame_count = 1 AND regexp_full_match(p0, '[0-9a-f]{{64}}')
+    WITH RECURSIVE img AS (SELECT image_id, source_id, {sha_sql('sha256')} AS s0, {sha_sql('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count, relationship_keys, lineage FROM images),
+    t AS (SELECT source_id AS node, 'file' || s0 AS token FROM img WHERE s0 IS NOT NULL
+        UNION SELECT source_id, 'pixels' || p0 FROM img WHERE frame_count = 1 AND p0 IS NOT NULL
         UNION SELECT source_id, 'lossless' || l FROM img WHERE frame_count = 1 AND l <> ''
         UNION SELECT source_id, 'image' || image_id FROM img UNION SELECT source_id, 'image' || lineage['parent_image_id'] FROM img WHERE lineage['parent_image_id'] <> ''
         UNION SELECT source_id, 'key' || unnest(list_filter(relationship_keys, lambda x: x <> '')) FROM img
@@ -678,7 +678,7 @@ def canonical_lines(spark, folder):
     return table(spark, folder, "images").select(ids.canonical_json({c: F.col(c) for c in ("record_no", "batch_no", "frame_count")}).alias("line"))
 
 
-@query(f"SELECT record_no, {SHA.format('s')} AS sha256 FROM (SELECT record_no, {BARE_SHA.format('sha256')} AS s FROM images)")
+@query(f"SELECT record_no, {sha_sql('sha256')} AS sha256 FROM images")
 def digest_forms(spark, folder):
     return table(spark, folder, "images").select("record_no", sha256_hex(F.col("sha256")).alias("sha256"))
 

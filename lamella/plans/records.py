@@ -23,13 +23,22 @@ def records(images: DataFrame) -> DataFrame:
     )
 
 
-#: The same digests in SQL.
-SHA = "CASE WHEN regexp_full_match({0}, '[0-9a-f]{{64}}') THEN {0} END"
-BARE_SHA = r"regexp_replace(regexp_replace(lower({0}), '^\s*sha-?256\s*[:=]', ''), '[\s:-]', '', 'g')"
+def sha_sql(column: str) -> str:
+    """The same digests in SQL: hex digits in any dress, or the 44 characters of base64 (either alphabet)."""
+    value = rf"regexp_replace(regexp_replace({column}, '^\s*sha-?256\s*[:=-]', '', 'i'), '\s', '', 'g')"
+    digits = f"replace(replace(lower({value}), ':', ''), '-', '')"
+    return (
+        f"CASE WHEN regexp_full_match({digits}, '[0-9a-f]{{64}}') THEN {digits} "
+        f"WHEN regexp_full_match({value}, '[A-Za-z0-9+/_-]{{42}}[AEIMQUYcgkosw048]=?') "
+        f"THEN lower(hex(from_base64(rpad(replace(replace({value}, '-', '+'), '_', '/'), 44, '=')))) END"
+    )
+
+
+#: The hash without what is written around its digits.
 BARE_HASH = r"regexp_replace(regexp_replace(lower(perceptual_dhash64), '^\s*0x', ''), '[\s:_-]', '', 'g')"
 RECORDS_SQL = f"""
-    rec0 AS (SELECT record_no, image_id, source_id, relative_path, {BARE_SHA.format('sha256')} AS s, {BARE_SHA.format('pixel_sha256')} AS p,
+    rec0 AS (SELECT record_no, image_id, source_id, relative_path, {sha_sql('sha256')} AS sha256, {sha_sql('pixel_sha256')} AS pixel_sha256,
         lossless_transform_sha256, {BARE_HASH} AS h, frame_count, candidate_groups FROM images),
-    rec AS (SELECT record_no, source_id, relative_path, {SHA.format('s')} AS sha256, {SHA.format('p')} AS pixel_sha256, lossless_transform_sha256, frame_count, candidate_groups,
+    rec AS (SELECT record_no, source_id, relative_path, sha256, pixel_sha256, lossless_transform_sha256, frame_count, candidate_groups,
         CASE WHEN regexp_full_match(h, '[0-9a-f]{{16}}') THEN ('0x' || h)::UBIGINT
              WHEN regexp_full_match(h, '[01]{{64}}') THEN h::BIT::UBIGINT END AS dhash FROM rec0)"""

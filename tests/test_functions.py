@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import json
 import uuid
@@ -22,7 +23,14 @@ def test_digest_forms(spark):
     h = hashlib.sha256(b"x").hexdigest()
     colons = ":".join(h[i : i + 2] for i in range(0, 64, 2))
     good = [h, h.upper(), f" {h}\n", f"sha256:{h}", f"SHA-256={h.upper()}", colons]
+    raw = bytes.fromhex(h)
+    coded = base64.b64encode(raw).decode()
+    good += [coded, f" {coded}\n", coded.rstrip("="), base64.urlsafe_b64encode(raw).decode(), f"sha256-{coded}", f"sha256:{coded}"]
     assert many(spark, good, sha256_hex(F.col("v"))) == [h] * len(good)
+    marked = [bytes([i]) * 31 + b"\xfb" for i in (0xFB, 0xFF, 0x3E)]  # + and / in the one alphabet, - and _ in the other
+    both = [f(m).decode() for m in marked for f in (base64.b64encode, base64.urlsafe_b64encode)]
+    assert many(spark, both, sha256_hex(F.col("v"))) == [m.hex() for m in marked for _ in range(2)]
+    assert many(spark, [coded[:-2], coded[1:], coded[:-2] + "B=", coded + "A"], sha256_hex(F.col("v"))) == [None] * 4
     assert many(spark, [None, "", "-", "n/a", "pending", h[:-1], h + "0", h[:40]], sha256_hex(F.col("v"))) == [None] * 8
 
 
