@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-_BARE = r"regexp_replace(regexp_replace(lower({0}), '^\s*sha-?256\s*[:=]', ''), '[\s:-]', '', 'g')"
-_DIGEST = "CASE WHEN regexp_full_match({0}, '[0-9a-f]{{64}}') THEN {0} END"
+_BARE = r"regexp_replace(regexp_replace({0}, '^\s*sha-?256\s*[:=-]', '', 'i'), '\s', '', 'g')"
+_HEX = "replace(replace(lower({0}), ':', ''), '-', '')"
+_CODED = "regexp_full_match({0}, '[A-Za-z0-9+/_-]{{42}}[AEIMQUYcgkosw048]=?')"
+_DIGEST = (
+    f"CASE WHEN regexp_full_match({_HEX}, '[0-9a-f]{{{{64}}}}') THEN {_HEX} "
+    f"WHEN {_CODED} THEN lower(hex(from_base64(rpad(replace(replace({{0}}, '-', '+'), '_', '/'), 44, '=')))) END"
+)
 
 P1 = f"""
     WITH b AS (SELECT record_no, batch_no, frame_count, {_BARE.format('sha256')} AS s, {_BARE.format('pixel_sha256')} AS p,
@@ -15,6 +20,11 @@ P1 = f"""
     UNION SELECT a.record_no, b.record_no FROM v a JOIN v b ON a.p = b.p AND a.record_no < b.record_no AND a.batch_no <> b.batch_no
     UNION SELECT a.record_no, b.record_no FROM i a JOIN i b ON a.record_no < b.record_no AND a.batch_no <> b.batch_no AND bit_count(xor(a.h, b.h)) <= 2"""
 
+P1_LATEST = f"""
+    WITH pairs AS ({P1}), newest AS (SELECT record_no FROM images WHERE batch_no = (SELECT max(batch_no) FROM images)),
+    found AS (SELECT record_no_a AS record_no, record_no_b AS other FROM pairs UNION SELECT record_no_b, record_no_a FROM pairs)
+    SELECT record_no, count(*) AS earlier_records, min(other) AS first_record FROM found WHERE record_no IN (SELECT record_no FROM newest) GROUP BY 1"""
+
 _FIELDS = ("relative_path", "sha256", "pixel_sha256", "lossless_transform_sha256")
 _ORDER = "ORDER BY coalesce(checksum_verified, false) DESC, delivered_at DESC NULLS LAST, delivery_id DESC"
 P3 = (
@@ -53,4 +63,4 @@ P5 = r"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p3_found": P3, "p4_found": P4, "p5_found": P5}
+    return {"p1_found": P1, "p1_latest_batch": P1_LATEST, "p3_found": P3, "p4_found": P4, "p5_found": P5}

@@ -79,3 +79,57 @@ def test_empty(spark):
 def test_hot_value(spark):
     rows = [(i, 0, "a" * 64, None, "f0f0f0f0f0f0f0f0", 1) for i in range(1000)] + [(1000, 1, "a" * 64, None, "f0f0f0f0f0f0f0f1", 1)]
     assert history.duplicate_pairs(frame(spark, rows)).count() == 1000
+
+
+def test_stored_distances_and_ranges(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, i % 2, None, None, f"{rng.getrandbits(64):016x}", 1) for i in range(400)]
+    path = str(tmp_path / "h")
+    store = history.History(spark, path, buckets=3)
+    store.append(frame(spark, rows).filter("batch_no = 0"))
+    table = store.pivots()
+    assert table.count() == 6 * 200 and set(table.columns) == {"n", "code", "hash", "blocks", "base", "ring"}
+    # One new hash near the base pivot reads the ranges around it only; every other range stays unread.
+    close = history.BASE_PIVOT ^ 0b111
+    new = frame(spark, [(1000, 5, None, None, f"{close:016x}", 1), (1001, 5, None, None, f"{close ^ 1:016x}", 1)])
+    store.append(frame(spark, [(999, 1, None, None, f"{close ^ (1 << 63):016x}", 1)]))
+    reached = {r["ring"]: (r["rows"], r["read"]) for r in store.reached(new).collect()}
+    assert sum(n for n, read in reached.values() if read) < sum(n for n, _ in reached.values()) / 10
+    assert pairs(store.match(new)) == {(1000, 999), (1001, 999)}
+    store.close()
+    again = history.History(spark, path)
+    assert again.buckets == 3 and pairs(again.match(new)) == {(1000, 999), (1001, 999)}
+    plan = again.near(history.signatures(new))._jdf.queryExecution().executedPlan().toString()
+    assert "ring" in plan and "PartitionFilters" in plan
+    again.append(frame(spark, rows).filter("batch_no = 1"))
+    assert again.pivots().count() == 6 * 401
+    again.close()
+
+
+def test_large_batches_do_not_shuffle_the_store(spark, tmp_path):
+    store = history.History(spark, str(tmp_path / "h"), buckets=4)
+    rng = random.Random(6)
+    rows = [(i, i % 2, None, None, f"{rng.getrandbits(64):016x}", 1) for i in range(50)]
+    store.append(frame(spark, rows).filter("batch_no = 0"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = store.near(history.signatures(frame(spark, rows).filter("batch_no = 1")))
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    old = plan[plan.rindex("Sort ") :]
+    assert "Bucketed: true" in old and "Exchange" not in old
+    store.close()
+
+
+def test_base64_digests_match_hex(spark):
+    import base64
+
+    raw = bytes(range(32))
+    rows = [(1, 0, base64.b64encode(raw).decode(), None, None, 1), (2, 1, raw.hex(), None, None, 1), (3, 2, None, base64.urlsafe_b64encode(raw).decode(), None, 1), (4, 3, None, raw.hex().upper(), None, 1)]
+    assert pairs(history.duplicate_pairs(frame(spark, rows))) == {(1, 2), (3, 4)}
+
+
+def test_empty_latest(spark):
+    assert history.latest_batch(frame(spark, [])).count() == 0
