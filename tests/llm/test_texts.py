@@ -40,33 +40,59 @@ ITEM = "Three isolates labelled Alphara, Betaria and Gammaria were mixed by mist
 QUOTE = ITEM[15:110]
 
 
-@pytest.mark.parametrize(
-    "change",
-    [
-        lambda t: t, str.upper, str.lower, lambda t: t.replace(" ", "\n> "), lambda t: "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in t), lambda t: t.replace("e", "е").replace("a", "а").replace("o", "ó"),
-        lambda t: t.replace("plates", "pla­tes").replace("mistake", "mis​take"), lambda t: t.replace("plates", "pla-\ntes"), lambda t: " ".join(f"<b>{w}</b>&nbsp;" for w in t.split()), lambda t: t.replace("i", "<i>i</i>"), lambda t: t.replace(",", "").replace(";", "—"),
-        lambda t: t.replace(" ", "%20"), lambda t: t.replace("e", "\\u0065"), lambda t: t.replace("fi", "ﬁ"),
-    ],
-)
-def test_quotations_however_set(spark, change):
-    t = leaks.Templates([(1, ITEM)])
-    assert (1, True, 0) in t.found("Before. " + change(QUOTE) + " after")
-
-
-def test_no_quotation():
-    t = leaks.Templates([(1, ITEM)])
+CHANGES = [
+    lambda t: t, str.upper, str.lower, lambda t: t.replace(" ", "\n> "), lambda t: "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in t), lambda t: t.replace("e", "е").replace("a", "а").replace("o", "ó"),
+    lambda t: t.replace("plates", "pla­tes").replace("mistake", "mis​take"), lambda t: t.replace("plates", "pla-\ntes"), lambda t: " ".join(f"<b>{w}</b>&nbsp;" for w in t.split()), lambda t: t.replace("i", "<i>i</i>"), lambda t: t.replace(",", "").replace(";", "—"),
+    lambda t: t.replace(" ", "%20"), lambda t: t.replace("e", "\\u0065"), lambda t: t.replace("fi", "ﬁ"),
+]
+
+
+def quoting(spark, texts, item=None):
+    """The numbers of the texts that quote the item."""
+    items = spark.createDataFrame([(1, "a", item or ITEM)], ITEMS)
+    return [r[0] for r in leaks.leaked(docs(spark, texts), items).orderBy("doc_id").collect()]
+
+
+def renaming(spark, texts, item):
+    items = spark.createDataFrame([(1, "a", item)], ITEMS)
+    return [r[0] for r in leaks.reparameterised(docs(spark, texts), items).orderBy("doc_id").collect()]
+
+
+def test_quotations_however_set(spark):
+    assert quoting(spark, ["Before. " + change(QUOTE) + " after" for change in CHANGES]) == list(range(len(CHANGES)))
+
+
+def test_no_quotation(spark):
     w = ITEM.split()
-    assert [x for x in t.found(" ".join(w[:12])) if x[1]] == [] and [x for x in t.found(" ".join(w[:13])) if x[1]] == [(1, True, 0)]
-    assert [x for x in t.found(ITEM.replace("first", "1st").replace("mixed", "lost")) if x[1]] == []
-    assert t.found("") == [] and t.found("x " * 100_000) == [] and t.found("a-" + "\n" * 200_000 + "1") == []
+    none = [" ".join(w[:12]), ITEM.replace("first", "1st").replace("mixed", "lost"), "", "x " * 100_000, "a-" + "\n" * 200_000 + "1", "<a href=" * 50_000, '<a x="' + "y " * 300_000, "<a " + "x=1 " * 200_000]
+    assert quoting(spark, [*none, " ".join(w[:13])]) == [len(none)]
 
 
-def test_other_slots():
-    t = leaks.Templates([(1, ITEM)])
-    t = leaks.Templates([(1, ITEM[:100])])
+def test_other_slots(spark):
     other = ITEM[:100].replace("Alphara", "Deltaria").replace("Betaria", "Epsilonia").replace("12", "40")
-    assert [x[:2] for x in t.found(other)] == [(1, False)]
-    assert t.found(ITEM[:100].replace("Alphara", "Gammaria").replace("12", "9")) == []  # two names would become one
+    one = ITEM[:100].replace("Alphara", "Gammaria").replace("12", "9")  # two names would become one
+    assert renaming(spark, [other, one, ITEM[:100], other + " " + ITEM[:100]], ITEM[:100]) == [0]
+
+
+def test_units_spelt_with_lookalikes(spark):
+    item = "the spores were kept for twelve hours in the cold before the first count was made"
+    texts = [item.replace("hours", unit) for unit in ("days", "dаys", "wеeks")]  # the last two hold a Cyrillic letter
+    assert renaming(spark, texts, item) == [0, 1, 2]
+
+
+def test_windows_against_brute_force(spark):
+    """Every pair by comparing all windows of words one by one."""
+    rng = random.Random(9)
+    vocabulary = [f"word{i}" for i in range(6)] + ["12", "40", "hours", "days"]
+    items = [(i, "t", " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(5, 40)))) for i in range(12)]
+    texts = []
+    for _ in range(60):
+        own = rng.choice(items)[2].split()
+        start = rng.randrange(len(own))
+        texts.append(" ".join([rng.choice(vocabulary) for _ in range(rng.randrange(6))] + own[start : start + rng.randrange(5, 20)] + [rng.choice(vocabulary) for _ in range(rng.randrange(6))]))
+    cut = lambda t: {tuple(t.split()[i : i + 13]) for i in range(len(t.split()) - 12)}
+    want = {(d, i) for d, t in enumerate(texts) for i, _, x in items if cut(t) & cut(x)}
+    assert {tuple(r) for r in leaks.leaked(docs(spark, texts), spark.createDataFrame(items, ITEMS)).collect()} == want and want
 
 
 def test_leaks(spark):
@@ -137,15 +163,16 @@ def test_statistics_of_rare_tokens(spark, monkeypatch, broadcast, frequent):
     assert got.count() == 40_003
 
 
-@pytest.mark.parametrize("tag", ['<img alt="x y" src="data:image/png;base64,' + "Qk0 a/" * 2000 + '=="/>', "<p style='" + "color: red; " * 400 + "'>", "<!-- " + "word " * 900 + "-->", '<b class="' + "x " * 3000 + '">'])
-def test_quotations_around_long_tags(tag):
-    t = leaks.Templates([(1, ITEM)])
+def test_quotations_around_long_tags(spark):
+    tags = ['<img alt="x y" src="data:image/png;base64,' + "Qk0 a/" * 2000 + '=="/>', "<p style='" + "color: red; " * 400 + "'>", "<!-- " + "word " * 900 + "-->", '<b class="' + "x " * 3000 + '">', "<div " + "word " * 420 + ">", '<img alt="5 > 4" title="' + "t " * 1100 + '">']
     first, last = QUOTE[: len(QUOTE) // 2], QUOTE[len(QUOTE) // 2 :]
     cut = first.rfind(" ")
-    assert (1, True, 0) in t.found("Before. " + first[:cut] + " " + tag + first[cut:] + last + " after")
+    texts = ["Before. " + first[:cut] + " " + tag + first[cut:] + last + " after" for tag in tags]
+    texts.append("where n <b and then " + "some words " * 300 + QUOTE + " so that x > 1")  # prose after a less-than sign
+    assert quoting(spark, texts) == list(range(len(texts)))
 
 
-def test_prose_after_a_less_than_sign():
-    t = leaks.Templates([(1, ITEM)])
-    assert (1, True, 0) in t.found("where n <b and then " + "some words " * 300 + QUOTE + " so that x > 1")
-    assert t.found("<a href=" * 50_000) == [] and t.found('<a x="' + "y " * 300_000) == [] and t.found("<a " + "x=1 " * 200_000) == []
+def test_an_item_with_several_texts(spark):
+    other = " ".join(f"token{i}" for i in range(20))
+    items = spark.createDataFrame([(1, "a", ITEM), (1, "b", other), (1, "a", ITEM)], ITEMS)
+    assert sorted(map(tuple, leaks.leaked(docs(spark, [ITEM, other, "x"]), items).collect())) == [(0, 1), (1, 1)]
