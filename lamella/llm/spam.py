@@ -1,19 +1,23 @@
 """Problem 8: pages made of keywords, links or product tags.
 
 Method: a rank-frequency curve for every page, in SQL windows. Tokens are words, numbers, and one token each for links
-and hashtags, so a list of links is a page of one very frequent token. Slope and residual of log frequency against log
-rank and the divergence from the document frequencies of the page's language are held against the quantiles of pages in
-the same language and of comparable length (octaves). Extreme pages, and pages where bursty words and links make up a
-good part, go on to an exact check over the whole text: a word counts as spam in a link or tag, or where the words
-around it are few function words and many bursty ones; a page is found if more than half of its letters are spam.
-
-A word is bursty on a page if it occurs three times there and, over all pages, twice on a page that has it; or twice
-there and three times over all pages; or four times over all pages; or six times there and in two of a hundred tokens.
-Numbers say nothing; they go with the word before them.
-
-Defined results: NULL, empty and blank texts, and texts without words or links are not found; a page of one link is;
-lang without case, missing ones are one language of their own; rows without doc_id are left out; repeated rows of one
-doc_id give one row; extra columns are ignored.
+and hashtags, so a list of links is a page of one very frequent token. Four figures describe a curve: slope and residual of
+log frequency against log rank; the divergence of its frequencies from the document frequencies of the page's language;
+and the part of it that the language's prose does not have, its excess: links, hashtags and bursty words. A page is
+extreme if slope, residual or divergence lie outside the band of pages in the same language and of comparable length
+(octaves), and it is found if it is extreme and its excess is EXCESS above theirs; where hardly any pages are comparable,
+if the excess is more than half of it. Links and hashtags that hold more than
+half of a page's letters make it found however few tokens they are.
+
+Which words are bursty comes from the corpus. A word on a quarter of the pages of any language is one of its common words;
+small languages are smoothed by the whole corpus. Any other word is bursty on a page if it occurs three times there and,
+over all pages, twice on a page that has it; or twice there and three times over all pages; or four times over all pages;
+or six times there and in two of a hundred tokens. A common word is if it occurs six times there and eight times as often
+as usual. Numbers say nothing.
+
+Defined results: NULL, empty and blank texts, and texts without words or links are not found; a page of one link is; a page
+of one or two different tokens has no curve and is extreme; lang without case, missing ones are one language of their own;
+rows without doc_id are left out; repeated rows of one doc_id give one row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -34,212 +37,182 @@ from lamella.session import materialize
 
 #: Endings by which an address without scheme is known.
 ENDINGS = "test|invalid|example|com|org|net|info|io|eu|de|fr|es|jp|co|shop|biz"
-_ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|\b[\w-]{1,63}(?:\.[\w-]{1,63}){0,8}\.(?:" + ENDINGS + r")\b(?:/[^\s<>()\"']*)?"
-_LINK = r"<a\b[^>]{0,2000}>[^<]{0,1000}</a>|!?\[[^\]\n]{0,500}\]\([^)\s]{0,2000}\)|" + _ADDRESS
+# Every class stops before what may open the next link, so that all of them stay linear without a limit.
+_ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|(?<![\w.-])[\w-]++(?:\.(?!(?:" + ENDINGS + r")\b(?![.\w-]))[\w-]++)*+\.(?:" + ENDINGS + r")\b(?:/[^\s<>()\"']*+)?"
+_LINK = r"<a\b[^<>]*+>(?:[^<]|<(?!/?a\b))*+</a\s*+>|!?\[[^\[\]\n]*+\]\([^()\s]*+\)|" + _ADDRESS
 _HASHTAG = r"#[^\W\d_][\w-]*"
-_MARKUP = r"</?[a-zA-Z][^<>]{0,2000}>|&[a-z]{2,8};"
+_MARKUP = r"</?[a-zA-Z][^<>]*+>|&[a-z]++;"
 _NUMBER = r"(?:\b[Nn][or]\.\s?)?\d+(?:[.,]\d+)*"
 _WORD = r"[^\W\d_]+"
 
-#: Function words of English, Spanish, French and German.
-FUNCTION_WORDS = frozenset(
-    "a about after an and are as at be been before but by can could did do does each for from had has have he her here his if in into is it its may more most must no not of on one only or our she should so than that the their there these they this to under was we were when which will with would you your "
-    "al como con cada del donde e el en entre es esta estas este estos está están fue hay la las le lo los más muy ni o para pero por que se si sin sobre son su sus también un una y ya "
-    "au aucun aucune aux avec ce ces cette d dans des du elle est et fut ils il l leur les mais n ne nous on ou où par pas plus pour qu qui sa sans ses sont sur une été à "
-    "als am an auch auf aus bei bis das dass dem den der des die durch ein eine einem einen einer es für hat im ist kein keine man mit nach nicht noch nur ob oder sich sie sind über um und unter vom von vor war werden wie wir wird wurde zu zum zur".split()
-)
 LINK, TAG, NUMBER = "<link>", "<tag>", "<num>"
+#: The part of a language's pages that makes a word one of its common ones, and the pages of the whole corpus that are added
+#: to those of a language.
+COMMON, SMOOTHED = 0.25, 50
+#: Pages that make a band; fewer say nothing of what is usual.
+LEAST_PAGES = 50
+#: How much of a page must be beyond what is usual for it to be found.
+EXCESS = 0.3
 #: The part of a language's pages from which a token is frequent. At most a page's mean number of different tokens, divided by
 #: this, are, however large the corpus. It decides how statistics travel, not which there are.
 FREQUENT = 1e-3
-#: Tokens that are sent to all workers (some 50 bytes each).
-BROADCAST_TOKENS = 1_000_000
-#: Words on either side that a word is judged by.
-REACH = 6
+#: Bytes of statistics that are sent to all workers.
+BROADCAST_BYTES = 64 << 20
 
 
-_CUT = regex.compile(rf"(?P<link>{_LINK})|(?P<tag>{_HASHTAG})|(?P<markup>{_MARKUP})|(?P<number>{_NUMBER})|(?P<word>{_WORD})")
+_CUT = regex.compile(rf"(?P<link>{_LINK})|(?P<tag>{_HASHTAG})|(?P<markup>{_MARKUP})|(?P<number>{_NUMBER})|(?P<word>{_WORD})", regex.S)
 _MARKS = {"link": LINK, "tag": TAG, "number": NUMBER}
+_TOKENS = regex.compile("|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD)), regex.S)
+_BARE = regex.compile(r"<[^<>]*+>|\s")
 
 
-_TOKENS = regex.compile("|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD)))
-
-
-def token_counts(text: str) -> dict[str, int]:
-    """How often each token stands in a text. Only different spellings are looked at one by one."""
+def token_counts(text: str) -> tuple[dict[str, int], int, int]:
+    """How often each token stands in a text, its letters, and those of links and tags. Only different spellings are looked
+    at one by one."""
     counts: dict[str, int] = {}
+    letters = marked = 0
     for found, n in Counter(_TOKENS.findall(text)).items():
+        size = len(found)
         if not found.isalpha():
             kind = _CUT.match(found).lastgroup
             if kind == "markup":
                 continue
+            if kind in ("link", "tag"):
+                size = len(_BARE.sub("", found))
+                marked += n * size
             found = _MARKS.get(kind, found)
+        letters += n * size
         token = found.lower()
         counts[token] = counts.get(token, 0) + n
-    return counts
+    return counts, letters, marked
+
+
+PAGE = "doc_id bigint, lang string, letters bigint, marked bigint, tokens array<string>, counts array<int>"
 
 
 def page_counts(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, tokens, counts, page_tokens: one row for each page with words or links, the counts beside the tokens."""
+    """doc_id, lang, letters, marked, tokens, counts, page_tokens: one row for each page with words or links, the counts beside
+    the tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [token_counts(t) for t in batch.column("text").to_pylist()]
+            pages = [token_counts(t) for t in batch.column("text").to_pylist()]
+            found = [c for c, _, _ in pages]
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in found])]), pa.int32())
             tokens = pa.ListArray.from_arrays(offsets, pa.array([t for c in found for t in c], pa.string()))
             counts = pa.ListArray.from_arrays(offsets, pa.array([n for c in found for n in c.values()], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), tokens, counts], ["doc_id", "lang", "tokens", "counts"])
+            sizes = [pa.array([p[i] for p in pages], pa.int64()) for i in (1, 2)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *sizes, tokens, counts], ["doc_id", "lang", "letters", "marked", "tokens", "counts"])
 
     lang = F.coalesce(F.nullif(stripped(F.col("lang")), F.lit("")), F.lit("und"))
     pages = spread(documents.select("doc_id", "text", "lang")).filter("doc_id is not null and text is not null")
     return (
-        pages.select("doc_id", lang.alias("lang"), "text").mapInArrow(count, "doc_id bigint, lang string, tokens array<string>, counts array<int>").filter(F.size("tokens") > 0)
+        pages.select("doc_id", lang.alias("lang"), "text").mapInArrow(count, PAGE).filter(F.size("tokens") > 0)
         .withColumn("page_tokens", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c))
     )
 
 
 def _rows(counts: DataFrame) -> DataFrame:
-    return counts.select("doc_id", "lang", "page_tokens", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("counts").alias("c"))))
+    return counts.select("doc_id", "lang", "page_tokens", "letters", "marked", F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("counts").alias("c"))))
+
+
+def language_sizes(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("lang").agg(F.count("*").alias("lang_pages"))
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
-    """lang, token, pages, total, all_pages: every token on two pages of its language or more."""
-    sizes = counts.groupBy("lang").agg(F.count("*").alias("all_pages"))
-    seen = _rows(counts).groupBy("lang", "token").agg(F.count("*").alias("pages"), F.sum("c").alias("total")).filter("pages > 1")
-    return seen.join(F.broadcast(sizes), "lang")
+    """lang, token, pages, total, common, frequent: every common token, and every other on two pages of its language or more."""
+    sizes = language_sizes(counts)
+    every = counts.count()
+    seen = _rows(counts).groupBy("lang", "token").agg(F.count("*").alias("pages"), F.sum("c").alias("total")).join(sizes, "lang")
+    # A token has a row for each language; which of them it is common in needs all of them.
+    of_token = Window.partitionBy("token")
+    part = (F.col("pages") + SMOOTHED * F.sum("pages").over(of_token) / F.lit(max(every, 1))) / (F.col("lang_pages") + SMOOTHED)
+    judged = seen.withColumn("part", part).withColumn("common", F.max("part").over(of_token) >= COMMON)
+    return judged.filter("pages > 1 or common").select("lang", "token", "pages", "total", "common", (F.col("pages") >= FREQUENT * F.col("lang_pages")).alias("frequent"))
 
 
 def with_statistics(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """rows with pages and total of their lang and token, NULL where the vocabulary lacks it."""
+    """rows with pages, total and common of their lang and token, NULL where the vocabulary lacks it."""
     keys = ["lang", "token"]
-    if known.count() <= BROADCAST_TOKENS:
-        return rows.join(F.broadcast(known.drop("all_pages")), keys, "left")
+    size = F.octet_length("token") + F.octet_length("lang") + 48
+    whole, often = known.agg(F.sum(size), F.sum(F.when(F.col("frequent"), size))).first()
+    known, head = known.drop("frequent"), known.filter("frequent").drop("frequent")
+    if (whole or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(known), keys, "left")
+    if (often or 0) > BROADCAST_BYTES:
+        return rows.join(known, keys, "left")
     # The frequent tokens, most of all rows, meet theirs where they are; only rows of the others move to their statistics.
-    often = F.col("pages") >= FREQUENT * F.col("all_pages")
-    frequent, rare = (known.filter(f).drop("all_pages") for f in (often, ~often))
-    if frequent.count() > BROADCAST_TOKENS:
-        return rows.join(known.drop("all_pages"), keys, "left")
-    return rows.join(F.broadcast(frequent), keys).unionByName(rows.join(F.broadcast(frequent), keys, "left_anti").join(rare, keys, "left"))
+    return rows.join(F.broadcast(head), keys).unionByName(rows.join(F.broadcast(head), keys, "left_anti").join(known, keys, "left"))
 
 
 def curves(counts: DataFrame) -> DataFrame:
-    """doc_id, lang, tokens, types, slope, residual, divergence, bursty_share, keywords: the curve of every page. A token that is
-    not in the vocabulary stands on this page only."""
+    """doc_id, lang, tokens, types, slope, residual, divergence, excess, marked_letters: the curve of every page. A token that
+    is not in the vocabulary stands on this page only."""
     known = materialize(vocabulary(counts))
-    sizes = counts.groupBy("lang").agg(F.count("*").alias("lang_pages"))
     once = counts.dropDuplicates(["doc_id"])
     ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")))
     c = F.col("c").cast("double")
-    joined = with_statistics(ranked, known).join(F.broadcast(sizes), "lang")
+    joined = with_statistics(ranked, known)
     burst = F.coalesce(F.col("total") / F.col("pages"), c)
-    marked = F.col("token").isin(LINK, TAG)
-    bursty = ~F.col("token").isin(NUMBER, LINK, TAG, *sorted(FUNCTION_WORDS)) & (
-        ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | (burst >= 4) | ((F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens")))
+    often = (F.col("c") >= 6) & (F.col("c") >= 0.02 * F.col("page_tokens"))
+    beyond = F.when(F.coalesce("common", F.lit(False)), (F.col("c") >= 6) & (F.col("c") >= 8 * burst)).otherwise(
+        ((F.col("c") >= 3) & (burst >= 2)) | ((F.col("c") >= 2) & (burst >= 3)) | (burst >= 4) | often
     )
+    unlike = F.col("token").isin(LINK, TAG) | ((F.col("token") != NUMBER) & beyond)
     x, y = F.log("rank"), F.log(c)
-    usual = F.coalesce("pages", F.lit(1)) / F.col("lang_pages")
     sums = joined.groupBy("doc_id", "lang").agg(
         F.sum(c).alias("tokens"),
         F.count("*").alias("types"),
         *(F.sum(v).alias(n) for n, v in (("sx", x), ("sy", y), ("sxx", x * x), ("sxy", x * y), ("syy", y * y))),
-        F.sum(c * (y - F.log(usual))).alias("weighted"),
-        F.sum(F.when(bursty | marked, c).otherwise(0.0)).alias("bursty"),
-        F.collect_list(F.when(bursty, F.col("token"))).alias("keywords"),
+        F.sum(c * (y - F.log(F.coalesce("pages", F.lit(1))))).alias("weighted"),
+        F.sum(F.when(unlike, c).otherwise(0.0)).alias("unlike"),
+        F.max(F.col("marked") / F.col("letters")).alias("marked_letters"),
     )
     # Least squares of log frequency on log rank.
     n = F.col("types")
     sxx, sxy, syy = (F.col(ab) - F.col(f"s{ab[1]}") * F.col(f"s{ab[2]}") / n for ab in ("sxx", "sxy", "syy"))
     slope = F.when(n > 1, sxy / F.nullif(sxx, F.lit(0.0)))
-    return sums.select(
+    return sums.join(language_sizes(counts), "lang").select(
         "doc_id", "lang", "tokens", "types", slope.alias("slope"),
         F.sqrt(F.greatest(syy - slope * sxy, F.lit(0.0)) / n).alias("residual"),
-        (F.col("weighted") / F.col("tokens") - F.log("tokens")).alias("divergence"),
-        (F.col("bursty") / F.col("tokens")).alias("bursty_share"),
-        "keywords",
+        (F.col("weighted") / F.col("tokens") + F.log("lang_pages") - F.log("tokens")).alias("divergence"),
+        (F.col("unlike") / F.col("tokens")).alias("excess"),
+        "marked_letters",
     )
 
 
-def extreme(pages: DataFrame, spread_of: float = 1.5, least_bursty: float = 0.2) -> DataFrame:
-    """The pages whose curve lies beyond that of same-language pages of comparable length, or where bursty words and links
-    are least_bursty of the tokens."""
-    octave = F.floor(F.log2("tokens"))
-    binned = pages.withColumn("octave", octave)
-    usual = binned.groupBy("lang", "octave").agg(*(F.percentile_approx(m, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), F.lit(1000)).alias(f"q_{m}") for m in ("slope", "residual", "divergence")))
-
-    def beyond(m: str, low: bool) -> Column:
-        q = F.col(f"q_{m}")
-        up = F.col(m) > q[1] + spread_of * (q[2] - q[1])
-        return (F.col(m) < q[1] - spread_of * (q[1] - q[0])) | up if low else up
-
-    outside = F.coalesce(beyond("slope", True), F.lit(False)) | F.coalesce(beyond("residual", False), F.lit(False)) | F.coalesce(beyond("divergence", False), F.lit(False))
-    return binned.join(usual, ["lang", "octave"]).filter(outside | (F.col("bursty_share") >= least_bursty) | (F.col("types") < 3)).select(*pages.columns)
-
-
-_BARE = regex.compile(r"<[^<>]*>|\s")
-_PARTICLES = regex.compile(r"[\p{Hiragana}\p{Hangul}]")
-
-
-def spam_share(text: str, keywords: set[str]) -> float:
-    """The part of a text's letters that stands in links, tags or runs of keywords."""
-    length, stop, key, link, words = [], [], [], [], []
-    for m in _CUT.finditer(text):
-        kind, token = m.lastgroup, m.group()
-        if kind == "markup":
-            continue
-        kind = "link" if kind == "tag" else kind
-        if kind == "number":
-            if length:
-                length[-1] += len(token)
-            continue
-        word = token.lower()
-        length.append(len(_BARE.sub("", token)) if kind == "link" else len(token))
-        link.append(kind == "link")
-        is_stop = kind == "word" and (word in FUNCTION_WORDS or bool(_PARTICLES.search(word)))
-        stop.append(is_stop)
-        words.append(word if is_stop else None)
-        key.append(kind == "link" or (not is_stop and word in keywords))
-    n = len(length)
-    if n == 0:
-        return 0.0
-    at = np.arange(n)
-    low, high = np.maximum(0, at - REACH), np.minimum(n, at + REACH + 1)
-
-    def around(flags) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(np.asarray(flags, float))])
-        return (total[high] - total[low]) / (high - low)
-
-    # How many different function words stand around: one that recurs belongs to a phrase such as a product's name.
-    last, distinct_from = {}, np.full(n, -1)
-    for i, w in enumerate(words):
-        if w is not None:
-            distinct_from[i] = last.get(w, -1)
-            last[w] = i
-    stops = np.flatnonzero(stop)
-    different = np.zeros(n, int)
-    for j in range(-REACH, REACH + 1):
-        k = at + j
-        inside = (k >= 0) & (k < n)
-        k = np.clip(k, 0, n - 1)
-        different += inside & np.asarray(stop)[k] & (distinct_from[k] < low)
-    few = (around(stop) < 0.13) | (different <= 1) if len(stops) else np.ones(n, bool)
-    spam = np.asarray(link) | (few & (around(key) >= 0.35))
-    size = np.asarray(length, float)
-    return float(size[spam].sum() / size.sum())
-
-
-def spam_pages(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """doc_id of every page of which more than threshold is spam."""
-    suspects = extreme(materialize(curves(materialize(page_counts(documents))))).select("doc_id", "keywords")
-
-    @F.pandas_udf("double")
-    def share(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, keywords in batches:
-            yield pd.Series([spam_share(t, set(k)) for t, k in zip(texts, keywords)], dtype=float)
-
-    texts = documents.select("doc_id", "text").filter("text is not null")
-    return texts.join(suspects, "doc_id").select("doc_id", share("text", "keywords").alias("share")).filter(F.col("share") > threshold).select("doc_id").distinct()
+def judged_pages(pages: DataFrame) -> DataFrame:
+    """pages with `extreme` (the curve lies outside the band of same-language pages of comparable length) and `usual`, the
+    excess of the lower quarter of those, or of all pages of comparable length where that is less. Where fewer than LEAST_PAGES
+    are comparable, `extreme` is NULL and no excess usual."""
+    binned = pages.withColumn("octave", F.floor(F.log2("tokens")))
+    measures = ("slope", "residual", "divergence")
+    quarter = F.when(F.count("*") >= LEAST_PAGES, F.percentile_approx("excess", 0.25, F.lit(1000))).otherwise(0.0)
+    band = binned.groupBy("lang", "octave").agg(
+        *(F.percentile_approx(m, F.array(F.lit(0.1), F.lit(0.9)), F.lit(1000)).alias(f"q_{m}") for m in measures),
+        F.count("*").alias("comparable"),
+        quarter.alias("own"),
+    )
+    anywhere = binned.groupBy("octave").agg(quarter.alias("all_languages"))
+
+    def outside(m: str) -> Column:
+        above = F.col(m) > F.col(f"q_{m}")[1]
+        return F.coalesce((F.col(m) < F.col(f"q_{m}")[0]) | above if m == "slope" else above, F.lit(False))
+
+    extreme = outside("slope") | outside("residual") | outside("divergence") | (F.col("types") < 3)
+    extreme = F.when(F.col("comparable") >= LEAST_PAGES, extreme)
+    return binned.join(band, ["lang", "octave"]).join(anywhere, "octave").select(*pages.columns, extreme.alias("extreme"), F.least("own", "all_languages").alias("usual"))
+
+
+def spam_pages(documents: DataFrame, excess: float = EXCESS) -> DataFrame:
+    """doc_id of every page whose curve is extreme and excess above what is usual, or whose tokens where nothing is comparable,
+    or letters, are mostly excess."""
+    judged = judged_pages(materialize(curves(materialize(page_counts(documents)))))
+    beyond = F.when(F.col("extreme").isNull(), F.col("excess") > 0.5).otherwise(F.col("extreme") & (F.col("excess") >= F.col("usual") + excess))
+    return judged.filter(beyond | (F.col("marked_letters") > 0.5)).select("doc_id")
 
 
 def page_curves(documents: DataFrame) -> DataFrame:
-    """doc_id, tokens, types, slope, residual, divergence, bursty_share of every page with words or links."""
-    return curves(materialize(page_counts(documents))).drop("lang", "keywords")
+    """doc_id, tokens, types, slope, residual, divergence, excess of every page with words or links."""
+    return curves(materialize(page_counts(documents))).drop("lang", "marked_letters")

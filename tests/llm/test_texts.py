@@ -149,20 +149,58 @@ def test_curve(spark):
     assert r["slope"] == pytest.approx(slope) and r["residual"] == pytest.approx(np.sqrt(np.mean((y - slope * x - intercept) ** 2))) and (r["tokens"], r["types"]) == (8, 4)
 
 
-@pytest.mark.parametrize("broadcast, frequent", [(1_000_000, 1e-3), (1, 1e-3), (0, 1e-3), (2, 1e-4)])
+SHAPE = "doc_id bigint, lang string, letters bigint, marked bigint, tokens array<string>, counts array<int>, page_tokens bigint"
+
+
+@pytest.mark.parametrize("broadcast, frequent", [(1 << 26, 1e-3), (100, 1e-3), (0, 1e-3), (200, 1e-4)])
 def test_statistics_of_rare_tokens(spark, monkeypatch, broadcast, frequent):
-    monkeypatch.setattr(spam, "BROADCAST_TOKENS", broadcast)
-    monkeypatch.setattr(spam, "FREQUENT", frequent, raising=False)
-    shape = "doc_id bigint, lang string, tokens array<string>, counts array<int>, page_tokens bigint"
+    monkeypatch.setattr(spam, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(spam, "FREQUENT", frequent)
     campaign = {1: 1, 2: 8, 3: 8}  # 17 on 3 pages: bursty wherever it stands
     once = {1: 3, 2: 1, 3: 1}  # 5 on 3 pages: bursty nowhere
-    pages = [(d, "en", ["fill", "campaign", "once"], [1, campaign[d], once[d]], 1 + campaign[d] + once[d]) for d in campaign]
-    fill = spark.range(10, 40_010).selectExpr("id as doc_id", "'en' as lang", "array('fill') as tokens", "array(1) as counts", "1L as page_tokens")
-    got = spam.curves(spark.createDataFrame(pages, shape).unionByName(fill))
-    assert {r["doc_id"]: r["keywords"] for r in got.filter("doc_id < 10").collect()} == {1: ["campaign"], 2: ["campaign"], 3: ["campaign"]}
+    pages = [(d, "en", 9, 0, ["fill", "campaign", "once"], [1, campaign[d], once[d]], 1 + campaign[d] + once[d]) for d in campaign]
+    fill = spark.range(10, 40_010).selectExpr("id as doc_id", "'en' as lang", "4L as letters", "0L as marked", "array('fill') as tokens", "array(1) as counts", "1L as page_tokens")
+    got = spam.curves(spark.createDataFrame(pages, SHAPE).unionByName(fill))
+    assert {r["doc_id"]: r["excess"] for r in got.filter("doc_id < 10").collect()} == {d: pytest.approx(campaign[d] / (1 + campaign[d] + once[d])) for d in campaign}
     assert got.count() == 40_003
 
 
+def test_common_words_come_from_the_corpus(spark):
+    """A language no list holds: its common words are those on many of its pages; a small language takes those of the corpus."""
+    pages = [(i, "qq", 9, 0, ["ka", "lo", f"w{i}"], [3, 2, 1], 6) for i in range(400)] + [(i, "zz", 9, 0, ["ka", f"w{i}"], [5, 5], 10) for i in range(400, 403)]
+    known = {(r["lang"], r["token"]): r["common"] for r in spam.vocabulary(spark.createDataFrame(pages, SHAPE)).collect()}
+    assert known == {("qq", "ka"): True, ("qq", "lo"): True, ("zz", "ka"): True}
+    got = {r["doc_id"]: r["excess"] for r in spam.curves(spark.createDataFrame(pages, SHAPE)).collect()}
+    assert got[0] == 0 and got[400] == 0.5
+
+
+def test_many_languages(spark):
+    """As many spellings of lang as pages."""
+    d = docs(spark, [PROSE] * 30 + [SPAM[1]], [f"l{i}" for i in range(31)])
+    assert [r[0] for r in spam.spam_pages(d).collect()] == [30]
+
+
+def test_letters_of_links(spark):
+    long = "\n".join(f"https://www.example.test/{i}{'x' * 80}" for i in range(10))
+    few = "see https://a.test/1"
+    assert [r[0] for r in spam.spam_pages(docs(spark, [PROSE + long, PROSE + few] + [PROSE] * 20)).collect()] == [0]
+
+
+@pytest.mark.parametrize("text", ["<a href=x>" * 50_000, "[" * 100_000, "![a](" * 50_000, "a.b-" * 50_000, "www." * 50_000, "<a " * 100_000 + ">", "&amp" * 50_000, "a.com." * 50_000, "<a>x" * 50_000 + "</a>"])
+def test_marks_without_end_take_linear_time(text):
+    import time
+
+    began = time.perf_counter()
+    spam.token_counts(text)
+    assert time.perf_counter() - began < 5
+
+
+def test_links_however_long():
+    for link in ("<a href='" + "x" * 3000 + "'><b>buy</b> now</a>", "[" + "w " * 600 + "](u)", "[a](" + "u" * 3000 + ")", "a" * 100 + ".b.c.d.e.f.g.h.i.j.k.com/x"):
+        counts, letters, marked = spam.token_counts(link)
+        assert counts == {spam.LINK: 1} and letters == marked > 0
+
+
 def test_quotations_around_long_tags(spark):
     tags = ['<img alt="x y" src="data:image/png;base64,' + "Qk0 a/" * 2000 + '=="/>', "<p style='" + "color: red; " * 400 + "'>", "<!-- " + "word " * 900 + "-->", '<b class="' + "x " * 3000 + '">', "<div " + "word " * 420 + ">", '<img alt="5 > 4" title="' + "t " * 1100 + '">']
     first, last = QUOTE[: len(QUOTE) // 2], QUOTE[len(QUOTE) // 2 :]
