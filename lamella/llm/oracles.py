@@ -55,12 +55,18 @@ P4 = f"""
     reach AS (SELECT DISTINCT u AS a, u AS z FROM b UNION SELECT reach.a, b.v FROM reach JOIN b ON reach.z = b.u)
     SELECT min(z) AS group_image_id, a AS image_id FROM reach GROUP BY a"""
 
-P5 = r"""
+P4_GROUPS = f"""
+    WITH RECURSIVE found AS MATERIALIZED ({P4}), every AS (SELECT DISTINCT image_id FROM images WHERE trim(image_id) <> '')
+    SELECT every.image_id, 'lg-' || substr(sha256(coalesce(found.group_image_id, every.image_id)), 1, 16) AS leakage_group_id FROM every LEFT JOIN found USING (image_id)"""
+
+_LATEST = r"""
     WITH n AS (SELECT image_id, assigned_at, assignment_no, regexp_replace(regexp_replace(lower(leakage_group_id), '\s+', '', 'g'), '^lg[-_:]?', '') AS g0, lower(trim(split, E' \t\n\r')) AS s0 FROM split_manifest WHERE image_id IS NOT NULL),
     m AS (SELECT *, CASE WHEN regexp_full_match(g0, '[0-9a-f]{16}') THEN 'lg-' || g0 END AS g, CASE WHEN s0 IN ('train', 'training') THEN 'train' WHEN s0 IN ('val', 'valid', 'validation', 'dev') THEN 'validation' WHEN s0 IN ('test', 'testing') THEN 'test' END AS s FROM n),
-    l AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY assigned_at DESC NULLS LAST, (g IS NOT NULL AND s IS NOT NULL)::INT DESC, assignment_no DESC) = 1)
-    SELECT g AS leakage_group_id FROM l WHERE g IS NOT NULL AND s IS NOT NULL GROUP BY 1 HAVING count(DISTINCT s) > 1"""
+    l AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY assigned_at DESC NULLS LAST, (g IS NOT NULL AND s IS NOT NULL)::INT DESC, assignment_no DESC) = 1)"""
+P5 = _LATEST + " SELECT g AS leakage_group_id FROM l WHERE g IS NOT NULL AND s IS NOT NULL GROUP BY 1 HAVING count(DISTINCT s) > 1"
+#: What any split of the images must hold.
+P5_CHECK = _LATEST + " SELECT count(*) AS images, count(DISTINCT coalesce(g, 'image:' || image_id)) AS components, 0 AS torn, 0 AS unassigned, true AS near_target FROM l"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p1_latest_batch": P1_LATEST, "p3_found": P3, "p4_found": P4, "p5_found": P5}
+    return {"p1_found": P1, "p1_latest_batch": P1_LATEST, "p3_found": P3, "p4_found": P4, "p4_leakage_groups": P4_GROUPS, "p5_found": P5, "p5_split_check": P5_CHECK}

@@ -42,6 +42,11 @@ def p3_source_quality(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.source_quality(_table(spark, folder, "deliveries"))
 
 
+def p3_judged(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = survivors.selection(survivors.judged_fields(_table(spark, folder, "deliveries")))
+    return chosen.filter("exclusion_reason is not null").select("image_id", "canonical_image_id", "exclusion_reason")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return splits.torn_groups(_table(spark, folder, "split_manifest"))
 
@@ -50,6 +55,18 @@ def p5_split(spark: SparkSession, folder: str) -> DataFrame:
     return splits.grouped_split(_table(spark, folder, "split_manifest"))
 
 
+def p5_split_check(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.split_check(_table(spark, folder, "split_manifest"))
+
+
+def p5_balance(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.split_report(_table(spark, folder, "split_manifest"))
+
+
+def p5_balance_by_contributor(spark: SparkSession, folder: str) -> DataFrame:
+    return splits.split_report(_table(spark, folder, "split_manifest"), relations=("contributor",))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.token_ids(_table(spark, folder, "documents"))
 
@@ -85,10 +102,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_found": p3_found,
         "p3_survivors": p3_survivors,
         "p3_source_quality": p3_source_quality,
+        "p3_judged": p3_judged,
         "p4_found": p4_found,
         "p4_leakage_groups": p4_leakage_groups,
         "p5_found": p5_found,
         "p5_split": p5_split,
+        "p5_split_check": p5_split_check,
+        "p5_balance": p5_balance,
+        "p5_balance_by_contributor": p5_balance_by_contributor,
         "p6_ids": p6_ids,
         "p8_found": p8_found,
         "p8_curves": p8_curves,

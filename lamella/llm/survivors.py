@@ -1,14 +1,16 @@
 """Problem 3: one surviving record for each group of duplicate records.
 
 Fields with one true value (path, digests, frame count) follow the precedence TESTDATA.md states: a verified delivery
-before any other, then the latest, then the highest id. That is a total order, which no quality model can reproduce, so
-it is evaluated as such, field by field, with partial aggregation.
+before any other, then the latest, then the highest id. That is a total order, which no quality model can reproduce (the
+README gives what judged_fields(), the model's own choice, reaches), so it is evaluated as such, field by field, with
+partial aggregation.
 
 Fields with several true values (role, address, permission) follow the method named: a latent two-sided quality model.
 Every value a source gives for an image is a fact, true or not; a source that gives the field but not this value denies
 it. Expectation-maximisation infers each source's sensitivity (how many true values it gives) and specificity (how many
-false ones it withholds), and every value judged true is kept. Facts with the same pattern of saying and denying
-sources are counted before the iterations, which therefore run on patterns, not on facts.
+false ones it withholds), until no figure moves by more than TOLERANCE, and every value judged true is kept. Facts with the
+same pattern of saying and denying sources are counted before the iterations, which therefore run on patterns, not on
+facts; sources and patterns are tables, so neither has a limit.
 
 Defined results: NULL, blank, `-` and `n/a` are no values; unreadable digests are missing; an image without a group
 value stands alone; an image without a path comes after those with one; ties in path fall to the smaller image_id;
@@ -17,21 +19,21 @@ deliveries without image_id or delivery_id are left out; repeated rows make no d
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamella.functions.digests import let, sha256_hex, stripped
-from lamella.session import materialize
+from lamella.session import materialize, release
 
 SINGLE = ("relative_path", "sha256", "pixel_sha256", "lossless_transform_sha256", "frame_count")
 DIGESTS = ("sha256", "pixel_sha256", "lossless_transform_sha256")
 MULTIPLE = ("image_role", "source_url", "usage_permission_ref")
 #: What a delivery writes for "nothing".
 NOTHING = ("", "-", "n/a")
-#: Sources the model is fitted for; more than this is an error, not a cut.
-MAX_SOURCES = 2_000
+#: Rounds of the model end when no sensitivity, specificity or prior moves further than this, or after MOST_ROUNDS.
+TOLERANCE, MOST_ROUNDS = 1e-3, 50
+#: What a source is taken to be, and how much of its facts that counts for beside them.
+SENSITIVITY, SPECIFICITY, STRENGTH = 0.8, 0.9, 0.2
 
 
 def held(value: Column) -> Column:
@@ -72,86 +74,88 @@ def selection(fields: DataFrame) -> DataFrame:
     )
 
 
-def facts(deliveries: DataFrame) -> DataFrame:
-    """image_id, field, value, observed: a row for each value any source gives, with all sources that give the field for
-    that image, saying this value or not. Both lists are as long as there are sources, not rows."""
+def facts(deliveries: DataFrame, fields: tuple[str, ...] = MULTIPLE) -> DataFrame:
+    """image_id, field, value, observed, pattern: a row for each value any source gives, with all sources that give the field
+    for that image, saying this value or not. Both lists are as long as there are sources, not rows."""
     source = F.concat_ws("/", F.coalesce(stripped(F.col("feed")), F.lit("none")), F.when(F.col("checksum_verified"), "verified").otherwise("unverified"))
     claims = (
         deliveries.filter("image_id is not null")
-        .select("image_id", source.alias("source"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), held(F.col(f)).alias("value")) for f in MULTIPLE))).alias("c"))
+        .select("image_id", source.alias("source"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), _written(f).alias("value")) for f in fields))).alias("c"))
         .select("image_id", "source", "c.field", "c.value")
         .filter("value is not null")
         .distinct()
     )
     speakers = claims.groupBy("image_id", "field").agg(F.collect_set("source").alias("speakers"))
     sayers = claims.groupBy("image_id", "field", "value").agg(F.collect_set("source").alias("sayers"))
-    return sayers.join(speakers, ["image_id", "field"]).select(
-        "image_id", "field", "value",
-        F.transform(F.array_sort("speakers"), lambda s: F.struct(s.alias("source"), F.array_contains("sayers", s).alias("says"))).alias("observed"),
-    )
-
-
-def _posterior(weights: dict, prior: dict) -> Column:
-    """The probability of a fact with columns field and observed."""
+    observed = F.transform(F.array_sort("speakers"), lambda s: F.struct(s.alias("source"), F.array_contains("sayers", s).alias("says")))
+    return sayers.join(speakers, ["image_id", "field"]).select("image_id", "field", "value", observed.alias("observed"), F.struct("field", observed.alias("observed")).alias("pattern"))
+
+
+def _written(field: str) -> Column:
+    """The value of a field as text, written alike."""
+    if field == "frame_count":
+        return F.col(field).cast("string")
+    return sha256_hex(held(F.col(field))) if field in DIGESTS else held(F.col(field))
+
+
+def _scored(votes: DataFrame, state: DataFrame) -> DataFrame:
+    """id, field, n, p: the probability of the facts of every pattern under the qualities and priors of a round."""
+    says = F.when(F.col("says"), F.log(F.col("sensitivity") / (1 - F.col("specificity")))).otherwise(F.log((1 - F.col("sensitivity")) / F.col("specificity")))
+    odds = votes.join(state, ["field", "source"]).groupBy("id", "field", "n").agg(F.sum(says).alias("evidence"), F.first("prior").alias("prior"))
+    return odds.select("id", "field", "n", (1 / (1 + F.exp(-F.col("evidence") - F.log(F.col("prior") / (1 - F.col("prior")))))).alias("p"))
+
+
+def fit_quality(observed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pattern, p) of every pattern of facts, and (field, source, sensitivity, specificity) with which they were judged."""
+    patterns = materialize(observed.groupBy("pattern").agg(F.count("*").alias("n")).select(F.xxhash64("pattern").alias("id"), "pattern", "n"))
+    votes = materialize(patterns.select("id", "n", "pattern.field", F.explode("pattern.observed").alias("o")).select("id", "n", "field", "o.source", "o.says"))
+    state = materialize(votes.select("field", "source").distinct().select("field", "source", *(F.lit(v).alias(c) for c, v in (("sensitivity", SENSITIVITY), ("specificity", SPECIFICITY), ("prior", 0.5)))))
+    for _ in range(MOST_ROUNDS):
+        scored = _scored(votes, state)
+        true, false = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
+        held_back = STRENGTH * F.sum("n")
+        # Sources tend to give what is true, and rarely what is not: counted as that many facts more. Without it nothing keeps
+        # true and false from changing places.
+        qualities = votes.join(scored.select("id", "p"), "id").groupBy("field", "source").agg(
+            ((F.sum(F.when(F.col("says"), true).otherwise(0.0)) + SENSITIVITY * held_back) / (F.sum(true) + held_back)).alias("sensitivity"),
+            ((F.sum(F.when(~F.col("says"), false).otherwise(0.0)) + SPECIFICITY * held_back) / (F.sum(false) + held_back)).alias("specificity"),
+        )
+        priors = scored.groupBy("field").agg(((F.sum(true) + 5) / (F.sum("n") + 10)).alias("prior"))
+        following = materialize(qualities.join(priors, "field").select("field", "source", "sensitivity", "specificity", "prior"))
+        before = state.select("field", "source", *(F.col(c).alias(f"old_{c}") for c in ("sensitivity", "specificity", "prior")))
+        moved = following.join(before, ["field", "source"]).agg(F.max(F.greatest(*(F.abs(F.col(c) - F.col(f"old_{c}")) for c in ("sensitivity", "specificity", "prior"))))).first()[0]
+        release(state)
+        state = following
+        if (moved or 0.0) <= TOLERANCE:
+            break
+    return patterns.join(_scored(votes, state).select("id", "p"), "id").select("pattern", "p"), state.select("field", "source", "sensitivity", "specificity")
 
-    def numbers(d: dict) -> Column:
-        return F.create_map(*(F.lit(x) for k, v in d.items() for x in (k, float(v)))) if d else F.create_map().cast("map<string,double>")
 
-    table, start = numbers(weights), numbers(prior)
-    odds = F.aggregate(
-        "observed",
-        F.coalesce(F.try_element_at(start, F.col("field")), F.lit(0.0)),
-        lambda total, o: total + F.coalesce(F.try_element_at(table, F.concat_ws("|", F.col("field"), o["source"], o["says"].cast("string"))), F.lit(0.0)),
-    )
-    return 1 / (1 + F.exp(-odds))
-
-
-def fit_quality(observed: DataFrame, rounds: int = 12) -> tuple[dict, dict, list[tuple]]:
-    """weights and priors for _posterior(), and (field, source, sensitivity, specificity) of every source."""
-    patterns = materialize(observed.groupBy("field", "observed").agg(F.count("*").alias("n")))
-    sources = patterns.select("field", F.explode("observed").alias("o")).select("field", "o.source").distinct().limit(MAX_SOURCES + 1).collect()
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    quality = {(r["field"], r["source"]): (0.8, 0.9) for r in sources}
-    prior = {r["field"]: 0.0 for r in sources}
-    weights: dict = {}
-    for _ in range(rounds):
-        weights = {}
-        for (field, source), (sens, spec) in quality.items():
-            weights[f"{field}|{source}|true"] = math.log(sens / (1 - spec))
-            weights[f"{field}|{source}|false"] = math.log((1 - sens) / spec)
-        scored = patterns.withColumn("p", _posterior(weights, prior))
-        sums = (
-            scored.select("field", "n", "p", F.explode("observed").alias("o"))
-            .groupBy("field", F.col("o.source").alias("source"))
-            .agg(
-                F.sum(F.when(F.col("o.says"), F.col("n") * F.col("p")).otherwise(0.0)).alias("said_true"),
-                F.sum(F.col("n") * F.col("p")).alias("true"),
-                F.sum(F.when(~F.col("o.says"), F.col("n") * (1 - F.col("p"))).otherwise(0.0)).alias("denied_false"),
-                F.sum(F.col("n") * (1 - F.col("p"))).alias("false"),
-            )
-            .collect()
-        )
-        # Beta priors: sources tend to give what is true, and rarely what is not.
-        quality = {(r["field"], r["source"]): ((r["said_true"] + 8) / (r["true"] + 10), (r["denied_false"] + 18) / (r["false"] + 20)) for r in sums}
-        prior = {
-            r["field"]: math.log((r["true"] + 5) / (r["false"] + 5))
-            for r in scored.groupBy("field").agg(F.sum(F.col("n") * F.col("p")).alias("true"), F.sum(F.col("n") * (1 - F.col("p"))).alias("false")).collect()
-        }
-    return weights, prior, sorted((f, s, a, b) for (f, s), (a, b) in quality.items())
+def judged_values(deliveries: DataFrame, fields: tuple[str, ...] = MULTIPLE) -> DataFrame:
+    """image_id, field, value, probability of every value any source gives."""
+    observed = materialize(facts(deliveries, fields))
+    patterns, _ = fit_quality(observed)
+    return observed.join(patterns, "pattern").select("image_id", "field", "value", F.col("p").alias("probability"))
 
 
 def true_values(deliveries: DataFrame, threshold: float = 0.5) -> DataFrame:
     """image_id, field, value, probability: every value judged true."""
-    observed = facts(deliveries)
-    weights, prior, _ = fit_quality(observed)
-    return observed.select("image_id", "field", "value", _posterior(weights, prior).alias("probability")).filter(F.col("probability") >= threshold)
+    return judged_values(deliveries).filter(F.col("probability") >= threshold)
+
+
+def judged_fields(deliveries: DataFrame) -> DataFrame:
+    """image_id and the fields of SINGLE, each the value the quality model holds most probable (ties: the greatest): what
+    surviving_fields() would be by the method named."""
+    values = judged_values(deliveries, SINGLE).groupBy("image_id").agg(
+        *(F.max_by("value", F.when(F.col("field") == f, F.struct("probability", "value"))).alias(f) for f in SINGLE)
+    )
+    every = deliveries.filter("image_id is not null and delivery_id is not null").select("image_id").distinct()
+    return every.join(values, "image_id", "left").withColumn("frame_count", F.col("frame_count").cast("int"))
 
 
 def source_quality(deliveries: DataFrame) -> DataFrame:
     """field, source, sensitivity, specificity."""
-    _, _, rows = fit_quality(facts(deliveries))
-    return deliveries.sparkSession.createDataFrame(rows, "field string, source string, sensitivity double, specificity double")
+    return fit_quality(facts(deliveries))[1]
 
 
 def surviving_records(deliveries: DataFrame) -> DataFrame:

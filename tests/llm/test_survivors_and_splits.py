@@ -61,12 +61,12 @@ def test_survivors_of_nothing(spark):
     assert {r["canonical_image_id"] for r in one} == {"a", "b"}
 
 
-MANIFEST = "assignment_no bigint, image_id string, leakage_group_id string, split string, taxonomy struct<taxon_group:string,genus:string,species:string,status:string>, assigned_at timestamp, grp string, component string, size int"
+MANIFEST = "assignment_no bigint, image_id string, leakage_group_id string, split string, taxonomy struct<taxon_group:string,genus:string,species:string,status:string>, assigned_at timestamp, grp string, component string, size int, contributor string"
 TAX = ("fungi", "G", "G s", "single_taxon")
 
 
-def assignment(no, image, group, split, at=0, taxonomy=TAX):
-    return (no, image, group, split, taxonomy, day(at), "clash", "clash", 1)
+def assignment(no, image, group, split, at=0, taxonomy=TAX, contributor=None):
+    return (no, image, group, split, taxonomy, day(at), "clash", "clash", 1, contributor)
 
 
 def test_torn_groups(spark):
@@ -100,3 +100,61 @@ def test_grouped_split(spark):
     again = {r["image_id"]: r["split"] for r in splits.grouped_split(spark.createDataFrame(rows[::-1], MANIFEST)).collect()}
     assert again == {r["image_id"]: r["split"] for r in out}
     assert splits.grouped_split(spark.createDataFrame([], MANIFEST)).count() == 0
+
+
+def test_rarest_outstanding_label_goes_first():
+    # Two labels: after the first component of the rarer one the other is the rarest, so it goes next.
+    classes = {1: (1, {"all": 6.0, "a": 6.0}), 2: (1, {"all": 5.0, "a": 5.0}), 3: (1, {"all": 12.0, "b": 12.0}), 4: (1, {"all": 3.0, "b": 3.0, "a": 1.0})}
+    totals = {"all": 26.0, "a": 12.0, "b": 15.0}
+    placed = splits.place(classes, totals, (0.5, 0.25, 0.25))
+    assert all(sum(v) == 1 for v in placed.values()) and set(placed) == {1, 2, 3, 4}
+    # 1 (a, largest) goes where a is needed most; then a has 6 outstanding, still the rarest, so 2 goes to the next; 4 holds a too.
+    assert placed[1] == [1, 0, 0] and placed[2] in ([0, 1, 0], [0, 0, 1])
+
+
+def test_whole_vectors_and_single_classes_are_used_up():
+    classes = {k: (1000, {"all": 1.0, f"l{k}": 1.0}) for k in range(5)}
+    placed = splits.place(classes, {"all": 5000.0, **{f"l{k}": 1000.0 for k in range(5)}})
+    for got in placed.values():
+        assert sum(got) == 1000 and abs(got[0] - 700) <= 35 and abs(got[1] - 150) <= 35
+
+
+def test_coarser_classes_keep_components_whole(spark, monkeypatch):
+    rows, no = [], 0
+    for g in range(120):
+        for i in range(1 + g % 50):
+            no += 1
+            rows.append(assignment(no, f"i{no}", "%016x" % g, None, taxonomy=("fungi", f"G{(g + i) % 7}", None, "x")))
+    table = spark.createDataFrame(rows, MANIFEST)
+    for most in (200_000, 100, 3):
+        monkeypatch.setattr(splits, "MAX_CLASSES", most)
+        got = splits.split_check(table).first()
+        assert (got["images"], got["components"], got["torn"], got["unassigned"], got["near_target"]) == (no, 120, 0, 0, True)
+
+
+def test_relations_join_groups(spark):
+    rows = [assignment(i, f"i{i}", "%016x" % (i // 2), None, contributor=f"c{i % 40}") for i in range(200)] + [assignment(900, "n1", "e" * 16, None, contributor="unknown"), assignment(901, "n2", "d" * 16, None, contributor="Unknown ")]
+    table = spark.createDataFrame(rows, MANIFEST)
+    alone, joined = splits.split_report(table).first(), splits.split_report(table, relations=("contributor",)).first()
+    assert alone["torn_contributor"] > 0 and joined["torn_contributor"] == 0 and joined["torn"] == joined["unassigned"] == 0
+    assert alone["components"] == 102 and joined["components"] == 22  # contributors 2k and 2k + 1 share groups; the two unknown ones stay apart
+
+
+def test_quality_model_converges(spark):
+    """A reliable source and one that makes values up: the model tells them apart, and ends."""
+    rows, no = [], 0
+    for i in range(300):
+        for feed, url in (("good", f"u{i}"), ("fine", f"u{i}"), ("bad", f"u{i}" if i % 3 == 0 else f"made-up-{i}")):
+            no += 1
+            rows.append(delivery(no, f"i{i}", True, feed=feed, url=url))
+    quality = {r["source"]: r for r in survivors.source_quality(spark.createDataFrame(rows, DELIVERIES)).filter("field = 'source_url'").collect()}
+    assert quality["good/verified"]["sensitivity"] > quality["bad/verified"]["sensitivity"] and quality["good/verified"]["specificity"] > quality["bad/verified"]["specificity"]
+    kept = {(r["image_id"], r["value"]) for r in survivors.true_values(spark.createDataFrame(rows, DELIVERIES)).filter("field = 'source_url'").collect()}
+    assert kept == {(f"i{i}", f"u{i}") for i in range(300)}
+
+
+def test_judged_fields_take_the_most_probable(spark):
+    rows = [delivery(1, "a", True, 1, path="p", feed="x"), delivery(2, "a", True, 2, path="p", feed="y"), delivery(3, "a", True, 3, path="q", feed="z"), delivery(4, "b", None, 1)]
+    got = {r["image_id"]: r["relative_path"] for r in survivors.judged_fields(spark.createDataFrame(rows, DELIVERIES)).collect()}
+    assert got == {"a": "p", "b": None}
+    assert survivors.judged_fields(spark.createDataFrame([], DELIVERIES)).count() == 0
