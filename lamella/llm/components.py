@@ -1,10 +1,11 @@
 """Problem 4: one group identifier for all records linked directly or through others.
 
 Method: a two-dimensional grid. Vertices are hashed into B blocks, edges into B x B cells by the blocks of their ends,
-and a local union-find runs over the edges of every partition of cells. A vertex gets a representative from each cell
-of its row and column; they are exchanged by taking the smallest and keeping an edge from it to each other one. The
-next round runs on those edges only, until no representative differs, and the rounds' parent tables are followed from
-the last to the first. A hub's edges lie in all B cells of its row, so no task holds them all.
+and a local union-find runs over the edges of every cell. A vertex gets a representative from each cell of its row and
+column; they are exchanged by taking the first and keeping an edge from it to each other one. The next round runs on those
+edges only, until no representative differs, and the rounds' parent tables are followed from the last to the first. Which
+vertex comes first is drawn anew each round: in any order of the ids a third of the vertices of a long chain fall away,
+even where every cell holds loose edges only. A hub's edges lie in all B cells of its row, so no task holds them all.
 
 Shared values (relationship keys, lineage values) become a star around the smallest record that has the value: the
 smallest is found with partial aggregation and joined back, so a value shared by a third of all records makes neither
@@ -28,7 +29,10 @@ from lamella.functions.digests import named, stripped
 from lamella.session import materialize, release
 
 #: Edges a cell is meant to hold; the grid grows with the edges.
-EDGES_PER_CELL = 200_000
+EDGES_PER_CELL = 50_000
+#: Blocks of vertices at most: 90,000 cells, which hold more than EDGES_PER_CELL each from 4.5 billion edges on. A task then
+#: holds the distinct vertices of its cell (16 bytes each), never the edges.
+MOST_BLOCKS = 300
 
 
 def local_union_find(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,46 +55,67 @@ def local_union_find(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, n
             parent = up
 
 
-def _forest(batches):
-    """Edges of a partition -> (vertex, representative). Batches are merged as they come, so only distinct vertices and a
-    spanning forest of them are held, not the edges."""
-    held_l, held_r = np.empty(0, np.int64), np.empty(0, np.int64)
-    waiting: list[pd.DataFrame] = []
-    size = 0
+_ODD = 0x9E3779B97F4A7C15
+_TO, _BACK = np.uint64(_ODD), np.uint64(pow(_ODD, -1, 1 << 64))
 
-    def merge():
-        nonlocal held_l, held_r
-        held_l, held_r = local_union_find(np.concatenate([held_l, *(x["u"].to_numpy() for x in waiting)]), np.concatenate([held_r, *(x["v"].to_numpy() for x in waiting)]))
 
-    for batch in batches:
-        waiting.append(batch)
-        size += len(batch)
-        if size > max(200_000, len(held_l)):
-            merge()
-            waiting, size = [], 0
-    if waiting:
-        merge()
-    for start in range(0, len(held_l), 100_000):
-        yield pd.DataFrame({"vertex": held_l[start : start + 100_000], "root": held_r[start : start + 100_000]})
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """A one-to-one mapping of 64-bit integers, another for each salt."""
+    y = (x.astype(np.int64).view(np.uint64) ^ np.uint64(salt)) * _TO
+    return (y ^ (y >> np.uint64(32))).view(np.int64)
 
 
-def grid_components(edges: DataFrame, edges_per_cell: int = EDGES_PER_CELL, max_rounds: int = 40) -> DataFrame:
-    """vertex, root for every vertex of edges (u bigint, v bigint); root is the smallest vertex of the component."""
+def _unmixed(y: np.ndarray, salt: int) -> np.ndarray:
+    x = y.view(np.uint64)
+    return (((x ^ (x >> np.uint64(32))) * _BACK) ^ np.uint64(salt)).view(np.int64)
+
+
+def _forest(salt: int):
+    """Edges of a cell -> (vertex, root, key), root the vertex of the component whose key comes first. Batches are merged as
+    they come, so only distinct vertices and a spanning forest of them are held, not the edges."""
+
+    def grow(batches):
+        held_l, held_r = np.empty(0, np.int64), np.empty(0, np.int64)
+        waiting: list[pd.DataFrame] = []
+        size = 0
+
+        def merged():
+            return local_union_find(*(np.concatenate([held, *(_mixed(x[c].to_numpy(), salt) for x in waiting)]) for held, c in ((held_l, "u"), (held_r, "v"))))
+
+        for batch in batches:
+            waiting.append(batch)
+            size += len(batch)
+            if size > max(200_000, len(held_l)):
+                held_l, held_r = merged()
+                waiting, size = [], 0
+        if waiting:
+            held_l, held_r = merged()
+        for start in range(0, len(held_l), 100_000):
+            l, r = held_l[start : start + 100_000], held_r[start : start + 100_000]
+            yield pd.DataFrame({"vertex": _unmixed(l, salt), "root": _unmixed(r, salt), "key": r})
+
+    return grow
+
+
+def grid_components(edges: DataFrame, edges_per_cell: int = EDGES_PER_CELL, max_rounds: int = 100, smallest: bool = True) -> DataFrame:
+    """vertex, root for every vertex of edges (u bigint, v bigint); root is the smallest vertex of the component, or with
+    smallest=False any one of it."""
     spark = edges.sparkSession
     current = materialize(edges.select("u", "v").filter("u <> v"))
     levels: list[DataFrame] = []
-    for _ in range(max_rounds):
+    for number in range(max_rounds):
         count = current.count()
         if count == 0:
             break
-        side = max(1, math.ceil(math.sqrt(count / edges_per_cell)))
-        cells = min(side * side, 20_000)
-        cell = F.pmod(F.xxhash64("u"), F.lit(side)) * side + F.pmod(F.xxhash64("v"), F.lit(side))
-        roots = current.repartition(cells, cell).mapInPandas(_forest, "vertex bigint, root bigint")
-        roots = materialize(roots)
-        parents = materialize(roots.groupBy("vertex").agg(F.min("root").alias("root"), F.max("root").alias("far")))
+        salt = (number + 1) * 0xD1B54A32D192ED03 & (1 << 64) - 1
+        side = min(MOST_BLOCKS, max(1, math.ceil(math.sqrt(count / edges_per_cell))))
+        block = lambda c: F.pmod(F.xxhash64(F.lit(number), c), F.lit(side))  # noqa: B023, E731
+        # The cell's number is the partition's: no two cells share a task.
+        roots = materialize(current.repartitionById(side * side, (block("u") * side + block("v")).cast("int")).mapInPandas(_forest(salt), "vertex bigint, root bigint, key bigint"))
+        best = F.struct("key", "root")
+        parents = materialize(roots.groupBy("vertex").agg(F.min(best).alias("first"), F.max(best).alias("far")).select("vertex", F.col("first.root").alias("root"), F.col("far.root").alias("far")))
         levels.append(parents)
-        split = parents.filter("far > root").select("vertex", F.col("root").alias("u"))
+        split = parents.filter("far <> root").select("vertex", F.col("root").alias("u"))
         following = materialize(roots.join(split, "vertex").select("u", F.col("root").alias("v")).filter("u <> v").distinct())
         release(current)
         release(roots)
@@ -104,6 +129,9 @@ def grid_components(edges: DataFrame, edges_per_cell: int = EDGES_PER_CELL, max_
     for parents in reversed(levels[:-1]):
         above = labels.select(F.col("vertex").alias("root"), F.col("root").alias("top"))
         labels = parents.select("vertex", "root").join(above, "root", "left").select("vertex", F.coalesce("top", "root").alias("root"))
+    if smallest:
+        labels = materialize(labels)
+        labels = labels.join(labels.groupBy("root").agg(F.min("vertex").alias("first")), "root").select("vertex", F.col("first").alias("root"))
     return labels
 
 
@@ -166,7 +194,7 @@ def links(images: DataFrame, near_pairs: DataFrame, known: DataFrame, salt: int)
 def linked_groups(images: DataFrame, near_pairs: DataFrame) -> DataFrame:
     """group_image_id, image_id: one row for every image of each group of two or more."""
     known, salt = vertices(images)
-    labels = grid_components(links(images, near_pairs, known, salt))
+    labels = grid_components(links(images, near_pairs, known, salt), smallest=False)
     members = labels.join(known, "vertex").select("root", "image_id")
     smallest = members.groupBy("root").agg(F.min("image_id").alias("group_image_id"))
     return members.join(smallest, "root").select("group_image_id", "image_id")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lamella.llm import components
 
@@ -74,3 +75,18 @@ def test_empty(spark):
     assert groups(spark, [], []) == {} and groups(spark, [image("a")], []) == {}
     every = components.leakage_groups(spark.createDataFrame([image("a"), image("b")], IMAGES), spark.createDataFrame([], PAIRS))
     assert every.count() == 2 and every.select("leakage_group_id").distinct().count() == 2
+
+
+def test_every_cell_is_a_task_of_its_own(spark):
+    rng = random.Random(8)
+    edges = spark.createDataFrame([(rng.randrange(10**6), rng.randrange(10**6)) for _ in range(2000)], "u bigint, v bigint")
+    side = 4
+    cell = F.pmod(F.xxhash64("u"), F.lit(side)) * side + F.pmod(F.xxhash64("v"), F.lit(side))
+    spread = edges.withColumn("cell", cell).repartitionById(side * side, cell.cast("int")).withColumn("part", F.spark_partition_id())
+    assert spread.filter("cell <> part").count() == 0 and spread.select("part").distinct().count() == side * side
+
+
+def test_a_long_chain_over_many_cells(spark):
+    """Representatives travel over several rounds; 400 vertices in a row, in shuffled order of their hashes."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(400)], "u bigint, v bigint")
+    assert {r["root"] for r in components.grid_components(edges, 10).collect()} == {0}
