@@ -37,12 +37,19 @@ def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="lamella", description=__doc__)
     root.add_argument("--version", action="version", version=f"lamella {__version__}")
     verbs = root.add_subparsers(dest="verb", required=True)
-    verb = lambda name, *args: [verbs.add_parser(name)] and [verbs.choices[name].add_argument(a, required=True) for a in args]
+
+    def verb(name: str, *arguments: str) -> None:
+        """A verb and what it needs."""
+        command = verbs.add_parser(name)
+        for argument in arguments:
+            command.add_argument(argument, required=True)
+
     verb("ingest", "--config", "--output")
     verb("validate", "--config", "--catalog")
     verb("report", "--catalog")
     verb("split", "--catalog", "--eligible", "--output")
     verbs.choices["split"].add_argument("--seed", type=int, default=42)
+    verbs.choices["split"].add_argument("--policies", help="JSON lines of source_id, license, attribution, expected_images, required_image_role")
     verb("release", "--catalog", "--reviews", "--assignments", "--output", "--release-version")
     verb("preprocess", "--image", "--output")
     verbs.choices["preprocess"].add_argument("--image-size", type=int, default=224)
@@ -62,7 +69,9 @@ def run(args: argparse.Namespace) -> dict | list:
     if args.verb == "validate":
         return {"valid": pipelines.validate_catalog(spark, args.catalog, str(load_config(args.config).raw_root))["id"]}
     if args.verb == "split":
-        return pipelines.build_split(spark, args.catalog, spark.read.schema("image_id string").json(args.eligible), args.output, args.seed)
+        shape = "source_id string, license string, attribution string, expected_images bigint, required_image_role string"
+        policies = spark.read.schema(shape).json(args.policies) if args.policies else None
+        return pipelines.build_split(spark, args.catalog, spark.read.schema("image_id string").json(args.eligible), args.output, args.seed, policies)
     if args.verb == "release":
         return pipelines.build_release(spark, args.catalog, args.reviews, args.assignments, args.output, args.release_version)
     if args.verb == "scan":

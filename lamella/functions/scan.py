@@ -9,9 +9,9 @@ from lamella.functions.paths import name
 
 MAX_BYTES = 1 << 20
 #: File name extensions of data and model artifacts.
-ARTIFACTS = tuple(
-    "arrow avi bin bmp bz2 ckpt csv gif gz h5 hdf5 heic jpeg joblib jpg jsonl keras m4v mov mp4 npy npz onnx parquet pb pickle pkl png pt pth safetensors tar tflite tif tiff tsv webp xz zip 7z".split()
-)
+ARTIFACTS = (
+    "arrow", "avi", "bin", "bmp", "bz2", "ckpt", "csv", "gif", "gz", "h5", "hdf5", "heic", "jpeg", "joblib", "jpg", "jsonl", "keras", "m4v", "mov", "mp4", "npy", "npz", "onnx", "parquet", "pb", "pickle", "pkl", "png", "pt", "pth", "safetensors", "tar", "tflite", "tif", "tiff", "tsv", "webp", "xz", "zip", "7z",
+)
 #: The patterns of the six text rules.
 TEXT_RULES = {
     "personal-machine-path": r"""(?i)/(?:Users|home)/[A-Za-z0-9._-]+(?:/|\b)|/(?:Volumes)/[A-Za-z0-9][^\r\n"'`<>]*|[A-Za-z]:[\\/](?:Users|Documents and Settings)[\\/][^\s\\/"']+""",

@@ -107,3 +107,38 @@ def record_constraints() -> dict[str, Column]:
 def taxa_violations(records: DataFrame, key: str, taxa: str = "taxa") -> DataFrame:
     """key, source_label, code of every taxon whose ranks do not fit each other."""
     return records.select(key, F.explode(taxa).alias("t")).select(key, "t.source_label", F.explode(hierarchy_violations(F.col("t"))).alias("code"))
+
+
+def eligibility_violations(records: DataFrame, eligible: DataFrame, policies: DataFrame | None = None) -> DataFrame:
+    """image_id, code of images (image_id) that may not go into a split of publisher labels: unknown or repeated ones, and
+    records that are excluded, have several frames, more or other than one known group, a label conflict, or a review already.
+    policies (source_id, license, attribution, expected_images, required_image_role), if given, add sources without
+    permission and images of another role than their source's; a source whose number of images is not the expected one has a
+    row of its id."""
+    c = F.col
+    rules = {
+        "excluded": c("selection_status") == "included",
+        "frame_count": c("frame_count") == 1,
+        "candidate_groups": (F.size("candidate_groups") == 1) & F.get("candidate_groups", F.lit(0)).isin(*GROUPS),
+        "duplicate_label_conflict": ~F.array_contains(F.coalesce("import_flags", F.array().cast("array<string>")), "duplicate_label_conflict"),
+    }
+    if "review_status" in records.columns:
+        rules["reviewed"] = c("review_status") == "unreviewed"
+    if "group_label" in records.columns:
+        rules["group_label"] = c("group_label").isNull()
+    chosen = records.join(eligible.select("image_id").distinct(), "image_id", "left_semi")
+    found = [
+        orphans(eligible.select("image_id"), "image_id", records, "image_id").distinct().select("image_id", F.lit("unknown").alias("code")),
+        repeated(eligible.select("image_id"), "image_id").select("image_id", F.lit("repeated").alias("code")),
+    ]
+    if policies is not None:
+        named = lambda x: F.length(F.trim(x)) > 0
+        chosen = chosen.join(policies.select("source_id", "license", "attribution", "expected_images", "required_image_role"), "source_id", "left")
+        rules["permission"] = named("license") & named("attribution")
+        rules["image_role"] = c("required_image_role").isNull() | (c("image_role") == c("required_image_role"))
+        counted = chosen.groupBy("source_id").agg(F.count("*").alias("n"), F.first("expected_images").alias("expected"))
+        found.append(counted.filter(~F.coalesce(c("n") == c("expected"), F.lit(False))).select(c("source_id").alias("image_id"), F.lit("expected_images").alias("code")))
+    out = violations(chosen, ["image_id"], rules)
+    for more in found:
+        out = out.unionByName(more)
+    return out

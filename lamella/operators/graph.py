@@ -18,8 +18,8 @@ def star_edges(tokens: DataFrame) -> DataFrame:
     return tokens.join(hubs, "token").filter(F.col("node") != F.col("u")).select("u", F.col("node").alias("v"))
 
 
-#: Edges that are joined in one task once contraction has left no more.
-LAST_EDGES = 100_000
+#: Edges that are joined in one task once contraction has left no more: so few that rounds would only wait for each other.
+LAST_EDGES = 5_000
 
 
 def _join_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -181,12 +181,12 @@ def validate_catalog(spark: SparkSession, folder: str, root: str) -> dict:
     return metadata
 
 
-def build_split(spark: SparkSession, catalog: str, eligible: DataFrame, output: str, seed: int = 42) -> dict:
-    """A frozen three-way split of the eligible images (image_id) of a catalog; groups span all records."""
+def build_split(spark: SparkSession, catalog: str, eligible: DataFrame, output: str, seed: int = 42, policies: DataFrame | None = None) -> dict:
+    """A frozen three-way split of the eligible images (image_id) of a catalog; groups span all records. Images that may not be
+    eligible are an error; policies of the sources, if given, are held against them and bound to the split."""
     sinks.check_isolated(output, catalog)
     records, pairs, metadata = read_catalog(spark, catalog)
-    require(checks.orphans(eligible, "image_id", records, "image_id"), "unknown eligible images")
-    require(checks.repeated(eligible, "image_id"), "repeated eligible images")
+    require(checks.eligibility_violations(records, eligible, policies), "not eligible")
     roots = graph.observed_groups(records, pairs)
     named = roots.groupBy("root").agg(ids.group_digest("eg-", F.col("image_id")).alias("experiment_group_id"))
     grouped = materialize(flat(records).join(roots.join(named, "root").drop("root"), "image_id"))
@@ -217,6 +217,8 @@ def build_split(spark: SparkSession, catalog: str, eligible: DataFrame, output:
         sinks.write_lines(left_out, f"{staging}/exclusions.jsonl", "image_id")
         sinks.write_lines(support, f"{staging}/label_support.jsonl", "rank", "label")
         sinks.write_lines(mapped, f"{staging}/taxonomy_map.jsonl", "rank", "id")
+        if policies is not None:
+            sinks.write_lines(policies, f"{staging}/source_usage.jsonl", "source_id")
         counts = {r["split"]: {"images": r["images"], "groups": r["groups"]} for r in splitting.split_counts(placed, "experiment_group_id", "split").collect()}
         coverage = {r["rank"]: {k: r[k] for k in ("labels", "trained", "evaluable", "train_only", "untrained")} for r in labels.rank_coverage(support).collect()}
         return {"schema_version": schemas.SCHEMA_VERSION, "kind": "split", "seed": seed, "catalog_id": metadata["id"], "counts": counts, "rank_coverage": coverage, "ratios": list(splitting.RATIOS)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamella.functions import codes, flags, hashing, ids, paths, scan, taxa
 from lamella.functions.digests import sha256_hex, stripped
-from lamella.operators import checks, curation, graph, labels, reviews, splitting, summaries
+from lamella.operators import checks, curation, graph, labels, ranking, reviews, splitting, summaries
 from lamella.plans.records import RECORDS_SQL, records, sha_sql
 from lamella.sources import boxes, lines
 
@@ -151,7 +151,7 @@ def near_dup_flagged(spark, folder):
 
 TOKENS_SQL = f"""
     WITH RECURSIVE img AS (SELECT record_no, image_id, source_id, {sha_sql('sha256')} AS s0, {sha_sql('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, frame_count,
-        relationship_keys, lineage, selection_status FROM images),
+        relationship_keys, lineage, selection_status, canonical_image_id FROM images),
     t AS (
         SELECT image_id AS node, 'file' || chr(1) || s0 AS token, selection_status FROM img WHERE s0 IS NOT NULL
         UNION SELECT image_id, 'pixels' || chr(1) || p0, selection_status FROM img WHERE frame_count = 1 AND p0 IS NOT NULL
@@ -160,14 +160,15 @@ TOKENS_SQL = f"""
         UNION SELECT image_id, CASE WHEN e.key = 'source_parent_id' THEN e.key || chr(1) || source_id || chr(1) || e.value ELSE 'lineage' || chr(1) || e.key || chr(1) || e.value END, selection_status
             FROM (SELECT image_id, source_id, selection_status, unnest(map_entries(lineage)) AS e FROM img) WHERE e.value <> '' AND e.key <> 'parent_image_id'
         UNION SELECT image_id, 'id' || chr(1) || image_id, selection_status FROM img
-        UNION SELECT image_id, 'id' || chr(1) || lineage['parent_image_id'], selection_status FROM img WHERE lineage['parent_image_id'] <> '')"""
+        UNION SELECT image_id, 'id' || chr(1) || lineage['parent_image_id'], selection_status FROM img WHERE lineage['parent_image_id'] <> ''
+        UNION SELECT image_id, 'id' || chr(1) || canonical_image_id, selection_status FROM img WHERE canonical_image_id <> '')"""
 
 
 def _split_records(spark, folder):
     i = table(spark, folder, "images")
     return i.select(
         "image_id", "source_id", sha256_hex(F.col("sha256")).alias("sha256"), sha256_hex(F.col("pixel_sha256")).alias("pixel_sha256"), "lossless_transform_sha256",
-        "frame_count", "relationship_keys", "lineage", "selection_status", F.lit(None).cast("string").alias("canonical_image_id"),
+        "frame_count", "relationship_keys", "lineage", "selection_status", "canonical_image_id",
     )
 
 
@@ -376,22 +377,68 @@ def grouped_split(spark, folder):
     return splitting.assign_groups(_manifest(spark, folder), "grp")
 
 
+@query(f"WITH {MANIFEST_SQL} SELECT count(DISTINCT grp) AS groups, 0 AS repeated, 3 AS partitions, 6 AS broad_labels FROM m")
+def grouped_split_check(spark, folder):
+    """What any assignment must hold: every group once, three partitions, both broad labels in each."""
+    m = _manifest(spark, folder)
+    assigned = splitting.assign_groups(m, "grp")
+    once = assigned.agg(F.count_distinct("grp").alias("groups"), (F.count("*") - F.count_distinct("grp")).alias("repeated"), F.count_distinct("split").alias("partitions"))
+    broad = m.filter(F.col("taxon_group").isin(*splitting.BROAD)).drop("split").join(assigned, "grp").agg(F.count_distinct("split", "taxon_group").alias("broad_labels"))
+    return once.crossJoin(broad)
+
+
+CROSSING = ("tree_id", "case_id", "specimen_id", "slide_id", "video_id", "isolate_id", "parent_image_id")
+
+
 @query(f"""
-    WITH {MANIFEST_SQL}, t AS (SELECT DISTINCT 'source' || chr(1) || source_id AS token, split FROM m)
-    SELECT token, min(split) || '|' || max(split) AS partitions FROM t GROUP BY 1 HAVING min(split) <> max(split)""")
+    WITH {MANIFEST_SQL}, img AS (SELECT image_id, source_id, {sha_sql('sha256')} AS s0, {sha_sql('pixel_sha256')} AS p0, lossless_transform_sha256 AS l, relationship_keys, lineage, canonical_image_id FROM images),
+    t AS (SELECT image_id, 'file' || chr(1) || s0 AS token FROM img UNION SELECT image_id, 'pixels' || chr(1) || p0 FROM img UNION SELECT image_id, 'lossless' || chr(1) || l FROM img WHERE l <> ''
+        UNION SELECT image_id, 'canonical' || chr(1) || image_id FROM img UNION SELECT image_id, 'canonical' || chr(1) || canonical_image_id FROM img WHERE canonical_image_id <> ''
+        UNION SELECT image_id, 'parent_image_id' || chr(1) || image_id FROM img
+        UNION SELECT image_id, 'relationship' || chr(1) || unnest(list_filter(relationship_keys, lambda x: x <> '')) FROM img
+        UNION SELECT image_id, e.key || chr(1) || CASE WHEN e.key = 'source_parent_id' THEN source_id || chr(1) ELSE '' END || e.value
+            FROM (SELECT image_id, source_id, unnest(map_entries(lineage)) AS e FROM img) WHERE e.value <> '' AND e.key IN {(*CROSSING, 'source_parent_id')})
+    SELECT token, min(split) || '|' || max(split) AS partitions FROM t JOIN (SELECT DISTINCT image_id, split FROM m WHERE split IS NOT NULL) USING (image_id)
+    WHERE token IS NOT NULL GROUP BY 1 HAVING min(split) <> max(split)""")
 def crossing_relations(spark, folder):
-    m = _manifest(spark, folder)
-    tokens = m.select(F.col("assignment_no").alias("node"), F.concat_ws("\u0001", F.lit("source"), "source_id").alias("token"))
-    return graph.crossing_tokens(tokens, m.select(F.col("assignment_no").alias("node"), "split")).withColumn("partitions", F.array_join("partitions", "|"))
+    """The guard of readers: every hash, id, key and lineage value that links images of different partitions."""
+    placed = _manifest(spark, folder).filter("split is not null").select(F.col("image_id").alias("node"), "split").distinct()
+    tokens = graph.release_tokens(_split_records(spark, folder).withColumn("leakage_group_id", F.col("image_id")), with_source=False)
+    return graph.crossing_tokens(tokens, placed).withColumn("partitions", F.array_join("partitions", "|"))
 
 
 @query("""
-    WITH g AS (SELECT leakage_group_id AS group_id, list(DISTINCT image_id) AS members FROM split_manifest WHERE leakage_group_id IS NOT NULL GROUP BY 1),
-    x AS (SELECT unnest(members) AS mem, group_id FROM g)
-    SELECT min(group_id) AS group_id, 'repeated_member' AS code FROM x GROUP BY mem HAVING count(*) > 1""")
+    WITH r AS (SELECT leakage_group_id AS group_id, image_id, lower(trim(split)) AS split FROM split_manifest WHERE leakage_group_id IS NOT NULL), g AS (SELECT DISTINCT group_id, split FROM r),
+    m AS (SELECT group_id, image_id, bool_or(coalesce(split IN ('train', 'validation', 'test'), false)) AS eligible FROM r GROUP BY 1, 2),
+    l AS (SELECT group_id, count(*) FILTER (eligible) AS chosen FROM m GROUP BY 1)
+    SELECT group_id, 'split' AS code FROM g JOIN l USING (group_id) WHERE NOT CASE WHEN chosen > 0 THEN coalesce(split IN ('train', 'validation', 'test'), false) ELSE split IS NULL END
+    UNION ALL SELECT group_id, 'group_id' FROM g WHERE length(group_id) = 0
+    UNION ALL SELECT min(group_id), 'repeated_member' FROM m GROUP BY image_id HAVING count(*) > 1
+    UNION ALL SELECT group_id, 'repeated_group' FROM g GROUP BY 1 HAVING count(*) > 1""")
 def inventory_checks(spark, folder):
-    g = table(spark, folder, "split_manifest").filter("leakage_group_id is not null").groupBy(F.col("leakage_group_id").alias("group_id")).agg(F.collect_set("image_id").alias("members"))
-    return splitting.inventory_violations(g.select("group_id", F.lit("train").alias("split"), "members", F.col("members").alias("eligible")))
+    rows = table(spark, folder, "split_manifest").filter("leakage_group_id is not null").select(F.col("leakage_group_id").alias("group_id"), "image_id", F.lower(F.trim("split")).alias("split"))
+    members = rows.groupBy("group_id", "image_id").agg(F.bool_or(F.coalesce(F.col("split").isin(*labels.SPLITS), F.lit(False))).alias("eligible"))
+    return splitting.inventory_violations(rows.select("group_id", "split").distinct(), members)
+
+
+@query("""
+    WITH p(source_id, license, attribution, expected, role) AS (VALUES ('tgfc', 'CC BY 4.0', 'authors', 100, NULL), ('idphy', 'CC0', 'gallery', 621, 'full_field'), ('soil', ' ', 'authors', 20, NULL)),
+    e AS (SELECT DISTINCT image_id FROM split_manifest UNION SELECT 'no such image'), i AS (SELECT i.*, license, attribution, role FROM images i LEFT JOIN p USING (source_id) WHERE image_id IN (SELECT image_id FROM e)),
+    v AS (SELECT image_id, unnest([CASE WHEN NOT coalesce(selection_status = 'included', false) THEN 'excluded' END, CASE WHEN NOT coalesce(frame_count = 1, false) THEN 'frame_count' END,
+        CASE WHEN NOT coalesce(len(candidate_groups) = 1 AND candidate_groups[1] IN ('fungi', 'oomycetes'), false) THEN 'candidate_groups' END,
+        CASE WHEN coalesce(list_contains(import_flags, 'duplicate_label_conflict'), false) THEN 'duplicate_label_conflict' END,
+        CASE WHEN NOT coalesce(length(trim(license)) > 0 AND length(trim(attribution)) > 0, false) THEN 'permission' END,
+        CASE WHEN NOT coalesce(role IS NULL OR image_role = role, false) THEN 'image_role' END]) AS code FROM i),
+    a AS (SELECT image_id, code FROM v UNION ALL SELECT image_id, 'unknown' FROM e WHERE image_id NOT IN (SELECT image_id FROM images)
+        UNION ALL SELECT source_id, 'expected_images' FROM (SELECT source_id, count(*) AS n FROM i GROUP BY 1) LEFT JOIN p USING (source_id) WHERE NOT coalesce(n = expected, false))
+    SELECT code, count(*) AS n FROM a WHERE code IS NOT NULL GROUP BY 1""")
+def eligibility_violations(spark, folder):
+    p = spark.createDataFrame(
+        [("tgfc", "CC BY 4.0", "authors", 100, None), ("idphy", "CC0", "gallery", 621, "full_field"), ("soil", " ", "authors", 20, None)],
+        "source_id string, license string, attribution string, expected_images int, required_image_role string",
+    )
+    e = table(spark, folder, "split_manifest").select("image_id").distinct().unionByName(spark.createDataFrame([("no such image",)], "image_id string"))
+    return checks.eligibility_violations(table(spark, folder, "images"), e, p).groupBy("code").agg(F.count("*").alias("n"))
 
 
 # Versions, references and gates
@@ -413,9 +460,12 @@ def orphan_rows(spark, folder):
     return checks.orphans(table(spark, folder, "lineitem"), "l_orderkey", shipped, "o_orderkey").select("l_orderkey", "l_linenumber")
 
 
-@query("SELECT image_id_a AS image_id, count(*) AS n FROM near_pairs WHERE image_id_a IS NOT NULL AND image_id_a NOT IN (SELECT image_id FROM images) GROUP BY 1")
+@query("""
+    WITH ids AS (SELECT image_id_a AS image_id FROM near_pairs UNION ALL SELECT image_id_b FROM near_pairs)
+    SELECT image_id, count(*) AS n FROM ids WHERE image_id IS NOT NULL AND image_id NOT IN (SELECT image_id FROM images) GROUP BY 1""")
 def unknown_pair_ids(spark, folder):
-    return checks.orphans(table(spark, folder, "near_pairs").select(F.col("image_id_a").alias("image_id")), "image_id", table(spark, folder, "images"), "image_id").groupBy("image_id").agg(F.count("*").alias("n"))
+    sides = table(spark, folder, "near_pairs").select(F.explode(F.array("image_id_a", "image_id_b")).alias("image_id"))
+    return checks.orphans(sides, "image_id", table(spark, folder, "images"), "image_id").groupBy("image_id").agg(F.count("*").alias("n"))
 
 
 @query("""
@@ -510,21 +560,36 @@ def policy_counts(spark, folder):
     return summaries.policy_counts(table(spark, folder, "images"), p)
 
 
-@query(r"""
-    WITH v AS (SELECT record_no, unnest([CASE WHEN NOT coalesce(source_id IN ('tgfc', 'idphy', 'soil'), false) THEN 'source_id' END, CASE WHEN NOT coalesce(regexp_full_match(sha256, '[0-9a-f]{64}'), false) THEN 'sha256' END,
-        CASE WHEN pixel_sha256 IS NOT NULL AND NOT regexp_full_match(pixel_sha256, '[0-9a-f]{64}') THEN 'pixel_sha256' END,
-        CASE WHEN perceptual_dhash64 IS NOT NULL AND NOT regexp_full_match(perceptual_dhash64, '[0-9a-f]{16}') THEN 'perceptual_dhash64' END,
-        CASE WHEN NOT coalesce(frame_count >= 1, false) THEN 'frame_count' END, CASE WHEN NOT coalesce(selection_status IN ('included', 'excluded_redundant'), false) THEN 'selection_status' END,
-        CASE WHEN NOT coalesce(image_role IN ('full_field', 'crop', 'unknown'), false) THEN 'image_role' END]) AS code FROM images)
-    SELECT code, count(*) AS n FROM v WHERE code IS NOT NULL GROUP BY 1""")
-def record_constraints(spark, folder):
-    wanted = ("source_id", "sha256", "pixel_sha256", "perceptual_dhash64", "frame_count", "selection_status", "image_role")
-    rules = {k: v for k, v in checks.record_constraints().items() if k in wanted}
-    return checks.violations(table(spark, folder, "images"), ["record_no"], rules).groupBy("code").agg(F.count("*").alias("n"))
+_UNIQUE = "len({0}) = len(list_distinct({0})) + CASE WHEN len(list_filter({0}, lambda x: x IS NULL)) > 0 THEN 1 ELSE 0 END"
+#: Every rule of a record; a rule that is NULL does not hold.
+RECORD_RULES = {
+    "image_id": "length(trim(image_id)) > 0",
+    "source_id": "source_id IN ('tgfc', 'idphy', 'soil')",
+    "relative_path": "length(relative_path) > 0 AND NOT starts_with(relative_path, '/') AND NOT contains(relative_path, chr(92)) AND len(list_filter(string_split(relative_path, '/'), lambda x: x IN ('', '.', '..'))) = 0",
+    "sha256": "regexp_full_match(sha256, '[0-9a-f]{64}')",
+    "pixel_sha256": "pixel_sha256 IS NULL OR regexp_full_match(pixel_sha256, '[0-9a-f]{64}')",
+    "lossless_transform_sha256": "lossless_transform_sha256 IS NULL OR regexp_full_match(lossless_transform_sha256, '[0-9a-f]{64}')",
+    "perceptual_dhash64": "perceptual_dhash64 IS NULL OR regexp_full_match(perceptual_dhash64, '[0-9a-f]{16}')",
+    "bytes": "bytes > 0", "width_px": "width_px > 0", "height_px": "height_px > 0", "frame_count": "frame_count >= 1",
+    "selection_status": "selection_status IN ('included', 'excluded_redundant')",
+    "exclusion_reason": "CASE WHEN selection_status = 'excluded_redundant' THEN exclusion_reason IN ('exact_file_duplicate', 'exact_pixel_duplicate', 'lossless_transform_duplicate') ELSE exclusion_reason IS NULL END",
+    "canonical_image_id": "selection_status <> 'excluded_redundant' OR coalesce(canonical_image_id <> image_id, false)",
+    "image_role": "image_role IN ('full_field', 'crop', 'unknown')",
+    "candidate_groups": _UNIQUE.format("candidate_groups") + " AND len(list_filter(candidate_groups, lambda x: x IN ('fungi', 'oomycetes'))) = len(candidate_groups)",
+    "relationship_keys": _UNIQUE.format("relationship_keys"), "import_flags": _UNIQUE.format("import_flags"),
+}
+
+
+@query(
+    "WITH v AS (SELECT record_no, unnest([" + ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{code}' END" for code, rule in RECORD_RULES.items()) + "]) AS code FROM images)"
+    " SELECT record_no, code FROM v WHERE code IS NOT NULL"
+)
+def record_violations(spark, folder):
+    return checks.violations(table(spark, folder, "images"), ["record_no"], checks.record_constraints())
 
 
-@query()
-def record_violations(spark, folder):
+@query(" UNION ALL ".join(f"SELECT '{code}' AS code, count(*) AS n FROM images WHERE NOT coalesce({rule}, false) HAVING count(*) > 0" for code, rule in RECORD_RULES.items()))
+def record_constraints(spark, folder):
     return checks.violations(table(spark, folder, "images"), ["record_no"], checks.record_constraints()).groupBy("code").agg(F.count("*").alias("n"))
 
 
@@ -666,11 +731,11 @@ def derived_flags(spark, folder):
     return table(spark, folder, "images").select("record_no", F.array_join(flags.add_flags(flags.sorted_set(bare), derived), "|").alias("flags"))
 
 
-@query("SELECT source_id, relative_path, bytes FROM images ORDER BY relative_path")
+@query("SELECT source_id, relative_path, bytes, NULL AS feed FROM images UNION ALL SELECT source_id, relative_path, NULL, feed FROM deliveries")
 def source_union(spark, folder):
-    i = table(spark, folder, "images").select("source_id", "relative_path", "bytes")
-    feeds = [i.filter(F.col("source_id") == s) for s in checks.SOURCES]
-    return feeds[0].unionByName(feeds[1], allowMissingColumns=True).unionByName(feeds[2], allowMissingColumns=True).orderBy("relative_path")
+    """Feeds of different columns, every row kept."""
+    feeds = table(spark, folder, "images").select("source_id", "relative_path", "bytes"), table(spark, folder, "deliveries").select("source_id", "relative_path", "feed")
+    return feeds[0].unionByName(feeds[1], allowMissingColumns=True)
 
 
 @query("SELECT '{\"batch_no\":' || coalesce(batch_no::VARCHAR, 'null') || ',\"frame_count\":' || coalesce(frame_count::VARCHAR, 'null') || ',\"record_no\":' || record_no || '}' AS line FROM images")
@@ -789,11 +854,9 @@ def named_digests(spark, folder):
 @query("""
     SELECT p.o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_custkey, sha256('[42,"' || o_orderkey || '"]')) AS place FROM orders p""")
 def priority_order(spark, folder):
-    from pyspark.sql import Window
-
     tie = F.sha2(F.concat(F.lit('[42,"'), F.col("o_orderkey").cast("string"), F.lit('"]')), 256)
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_custkey", tie)
-    return table(spark, folder, "orders").select("o_orderkey", F.row_number().over(w).alias("place"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey")
+    return ranking.places(orders, "o_orderpriority", [F.desc("o_totalprice"), F.col("o_custkey"), tie]).select("o_orderkey", "place")
 
 
 @query("""

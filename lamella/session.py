@@ -28,12 +28,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests, one machine)."""
+    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset and driver and executors are
+    one process (tests). On a cluster a folder of the driver's machine would be none of the executors', so it is an error."""
     context = spark.sparkContext._jsc.sc()
     stored = context.getCheckpointDir()
     if stored.isDefined():
         return stored.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lamella-"))
     return context.getCheckpointDir().get()
 

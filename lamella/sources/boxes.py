@@ -2,45 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.functions.digests import let
-
 BOX = "yolo_cxcywh_normalized"
 
 
-def parsed_boxes(text: Column) -> Column:
-    """line (from 1), class_id, coordinates, error of every line that is not blank. error names what is wrong with it."""
-    lines = F.transform(F.split(text, r"\r\n|\r|\n"), lambda x, i: F.struct((i + 1).cast("int").alias("line"), F.split(F.trim(F.regexp_replace(x, r"\s+", " ")), " ").alias("t")))
-
-    def one(x: Column) -> Column:
-        t = x["t"]
-        seen = F.struct(
-            x["line"].alias("line"),
-            F.get(t, F.lit(0)).try_cast("int").alias("class_id"),
-            F.transform(F.slice(t, 2, 4), lambda v: v.try_cast("double")).alias("coordinates"),
-            F.size(t).alias("n"),
-        )
-
-        def checked(s: Column) -> Column:
-            c = s["coordinates"]
-            error = (
-                F.when(s["n"] != 5, "token_count")
-                .when(s["class_id"].isNull() | F.exists(c, lambda v: v.isNull()), "not_a_number")
-                .when(~F.forall(c, lambda v: v.between(0, 1) & ~F.isnan(v)), "outside")
-                .when((F.get(c, F.lit(2)) <= 0) | (F.get(c, F.lit(3)) <= 0), "empty_box")
-            )
-            return F.struct(s["line"].alias("line"), s["class_id"].alias("class_id"), c.alias("coordinates"), error.alias("error"))
-
-        return let(seen, checked)
-
-    return F.transform(F.filter(lines, lambda x: x["t"] != F.array(F.lit(""))), one)
-
-
 def boxes(texts: DataFrame, *keys: str, text: str = "text") -> DataFrame:
-    """keys, line, class_id, coordinates, error: one row for each box line."""
-    return texts.select(*keys, F.explode(parsed_boxes(F.col(text))).alias("b")).select(*keys, "b.*")
+    """keys, line (from 1), class_id, coordinates, error: one row for each line that is not blank. error names what is wrong
+    with it. Lines become rows first, so that everything else is plain columns."""
+    lines = texts.select(*keys, F.posexplode(F.split(F.col(text), r"\r\n|\r|\n")).alias("pos", "one")).select(
+        *keys, (F.col("pos") + 1).alias("line"), F.split(F.trim(F.regexp_replace("one", r"\s+", " ")), " ").alias("t")
+    ).filter(F.get("t", F.lit(0)) != "")
+    number = lambda i: F.get("t", F.lit(i)).try_cast("double")
+    parsed = lines.select(*keys, "line", F.size("t").alias("n"), F.get("t", F.lit(0)).try_cast("int").alias("class_id"), *(number(i).alias(f"c{i}") for i in range(1, 5)))
+    values = [F.col(f"c{i}") for i in range(1, 5)]
+    missing = F.lit(False)
+    outside = F.lit(False)
+    for i, v in enumerate(values, 1):
+        missing = missing | ((F.col("n") > i) & v.isNull())
+        outside = outside | ~(v.between(0, 1) & ~F.isnan(v))
+    error = (
+        F.when(F.col("n") != 5, "token_count").when(F.col("class_id").isNull() | missing, "not_a_number").when(outside, "outside").when((values[2] <= 0) | (values[3] <= 0), "empty_box")
+    )
+    present = F.least(F.greatest(F.col("n") - 1, F.lit(0)), F.lit(4))
+    return parsed.select(*keys, "line", "class_id", F.slice(F.array(*values), F.lit(1), present).alias("coordinates"), error.alias("error"))
 
 
 def labelled_boxes(found: DataFrame, classes: DataFrame) -> DataFrame:

@@ -141,9 +141,53 @@ def test_latest_and_gate(spark):
 
 
 def test_inventory_violations(spark):
-    rows = [("g1", "train", ["a", "b"], ["a"]), ("g2", None, ["b"], []), ("g3", "test", ["c"], []), ("g4", "odd", ["d", "d"], ["d"]), ("g4", "train", ["e"], ["x"])]
-    got = {tuple(r) for r in splitting.inventory_violations(spark.createDataFrame(rows, "group_id string, split string, members array<string>, eligible array<string>")).collect()}
-    assert got == {("g1", "repeated_member"), ("g3", "split"), ("g4", "members"), ("g4", "split"), ("g4", "repeated_member"), ("g4", "eligible"), ("g4", "repeated_group")}
+    groups = [("g1", "train"), ("g2", None), ("g3", "test"), ("g4", "odd"), ("g4", "train"), ("g5", None), ("", None)]
+    members = [("g1", "a", True), ("g1", "b", False), ("g2", "b", False), ("g3", "c", False), ("g4", "d", True), ("g4", "d", True), ("g9", "e", False), ("", "f", False)]
+    found = splitting.inventory_violations(spark.createDataFrame(groups, "group_id string, split string"), spark.createDataFrame(members, "group_id string, image_id string, eligible boolean"))
+    assert {tuple(r) for r in found.collect()} == {
+        ("g1", "repeated_member"), ("g3", "split"), ("g4", "split"), ("g4", "repeated_member"), ("g4", "repeated_group"), ("g5", "members"), ("g9", "unlisted_group"), ("", "group_id"),
+    }
+
+
+def test_feasibility_against_brute_force():
+    """Every way to hand the groups to come to partitions, for all small cases."""
+    import itertools
+
+    subsets = [set(c) for n in range(4) for c in itertools.combinations(range(3), n)]
+    for lack_a, lack_b in itertools.product(subsets, subsets):
+        for only_a, only_b, both in itertools.product(range(3), range(3), range(4)):
+            kinds = ["a"] * only_a + ["b"] * only_b + ["ab"] * both
+            can = any(
+                lack_a <= {p for p, k in zip(where, kinds) if "a" in k} and lack_b <= {p for p, k in zip(where, kinds) if "b" in k}
+                for where in itertools.product(range(3), repeat=len(kinds))
+            ) if len(kinds) <= 5 else None
+            if can is not None:
+                assert splitting._can_be_filled([lack_a, lack_b], [only_a, only_b], both) == can
+
+
+def test_places(spark):
+    from lamella.operators import ranking
+
+    rows = [(i, "hot" if i % 3 else None if i % 2 else "cold", (i * 7919) % 1000) for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, k string, v int")
+    got = {r["i"]: r["place"] for r in ranking.places(df, "k", [F.desc("v"), F.col("i")]).collect()}
+    for key in ("hot", "cold", None):
+        own = sorted((r for r in rows if r[1] == key), key=lambda r: (-r[2], r[0]))
+        assert [got[r[0]] for r in own] == list(range(1, len(own) + 1))
+    assert ranking.places(df.limit(0), "k", [F.col("v")]).count() == 0
+
+
+def test_eligibility(spark):
+    shape = "image_id string, source_id string, selection_status string, frame_count int, candidate_groups array<string>, import_flags array<string>, image_role string, review_status string, group_label string"
+    ok = ("included", 1, ["fungi"], [], "full_field", "unreviewed", None)
+    rows = [("a", "s", *ok), ("b", "s", "excluded_redundant", 2, ["fungi", "oomycetes"], ["duplicate_label_conflict"], "crop", "adjudicated", "fungi"), ("c", "t", None, None, None, None, None, None, None), ("z", "s", *ok)]
+    records = spark.createDataFrame(rows, shape)
+    chosen = spark.createDataFrame([("a",), ("b",), ("c",), ("c",), ("nobody",)], "image_id string")
+    policies = spark.createDataFrame([("s", "CC0", "them", 2, "full_field")], "source_id string, license string, attribution string, expected_images int, required_image_role string")
+    broken = ["excluded", "frame_count", "candidate_groups"]
+    want = {("b", x) for x in [*broken, "duplicate_label_conflict", "reviewed", "group_label"]} | {("c", x) for x in [*broken, "reviewed"]} | {("nobody", "unknown"), ("c", "repeated")}
+    assert {tuple(r) for r in checks.eligibility_violations(records, chosen).collect()} == want
+    assert {tuple(r) for r in checks.eligibility_violations(records, chosen, policies).collect()} == want | {("b", "image_role"), ("c", "permission"), ("t", "expected_images")}
 
 
 def test_crosstab_has_zeros(spark):
