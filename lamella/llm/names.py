@@ -115,7 +115,8 @@ def alike(token: Column) -> Column:
 
 
 def repaired(tokens: DataFrame, words: DataFrame) -> DataFrame:
-    """t, v, kind, idf, similarity: the vocabulary tokens within the allowed distance of each token, the nearest of each kind."""
+    """t, v, kind, idf, similarity: every vocabulary token within the allowed distance of each token. Which of several is meant
+    is for the entries' scores to say."""
 
     def keyed(table: DataFrame, token: str, *more: str) -> DataFrame:
         spelt = table.select(token, *more, F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col(token).alias("s")), F.struct(F.lit(1).alias("way"), alike(F.col(token)).alias("s")))).alias("x"))
@@ -128,8 +129,8 @@ def repaired(tokens: DataFrame, words: DataFrame) -> DataFrame:
         keyed(tokens, "t").join(keyed(words, "v", "kind", "idf"), "k").select("t", "v", "kind", "idf", "t_s", "v_s").distinct()
         .withColumn("d", F.levenshtein("t_s", "v_s")).filter(F.col("d") <= allowed(length))
     )
-    nearest = near.groupBy("t", "kind").agg(F.min(F.struct("d", "v", "idf")).alias("x"))
-    return nearest.select("t", "kind", "x.v", "x.idf", (1 - F.col("x.d") / F.greatest(F.length("t"), F.length("x.v"))).alias("similarity"))
+    nearest = near.groupBy("t", "kind", "v").agg(F.min("d").alias("d"), F.first("idf").alias("idf"))
+    return nearest.select("t", "kind", "v", "idf", (1 - F.col("d") / F.greatest(F.length("t"), F.length("v"))).alias("similarity"))
 
 
 def meanings(rows: DataFrame, reference: DataFrame) -> DataFrame:

@@ -64,3 +64,10 @@ def test_deletions_meet_within_two_edits(spark):
 @pytest.mark.parametrize(("text", "want"), [("A.b c", ["a", "b", "c"]), (None, []), ("12 x1y", ["xly"])])
 def test_tokens(text, want):
     assert [x["t"] for x in names.fold_tokens(text)] == want
+
+
+def test_the_genus_decides_between_near_epithets(spark):
+    """A dense reference: the typed epithet is another genus' one letter for letter, and one letter off its own genus'."""
+    near = [(1, "species", "fungi", "Alphagenus", "Alphagenus lutescens"), (2, "species", "fungi", "Betagenus", "Betagenus lutescans"), (3, "species", "fungi", "Gammagenus", "Gammagenus lutescons")]
+    rows = [("Betagenus lutescens", None, None), ("Gammagenus lutescins", None, None), ("lutescens x", None, None), ("lutescins", None, "Betagenus"), ("Alphagenus lutescens!", None, None)]
+    assert mapped(spark, rows, near) == {0: 2, 1: 3, 2: 1, 3: 2, 4: 1}
