@@ -62,7 +62,8 @@ BROADCAST_BYTES = 64 << 20
 
 _CUT = regex.compile(rf"(?P<link>{_LINK})|(?P<tag>{_HASHTAG})|(?P<markup>{_MARKUP})|(?P<number>{_NUMBER})|(?P<word>{_WORD})", regex.S)
 _MARKS = {"link": LINK, "tag": TAG, "number": NUMBER}
-_TOKENS = regex.compile("|".join((_LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD)), regex.S)
+# A word that no address or number can begin with goes first: most tokens are such.
+_TOKENS = regex.compile("|".join((rf"{_WORD}+(?![\w.:-])", _LINK, _HASHTAG, _MARKUP, _NUMBER, _WORD)), regex.S)
 _BARE = regex.compile(r"<[^<>]*+>|\s")
 
 
@@ -150,7 +151,8 @@ def curves(counts: DataFrame) -> DataFrame:
     """doc_id, lang, tokens, types, slope, residual, divergence, excess, marked_letters: the curve of every page. A token that
     is not in the vocabulary stands on this page only."""
     known = materialize(vocabulary(counts))
-    once = counts.dropDuplicates(["doc_id"])
+    # One of the rows of a doc_id, without an aggregate over their lists.
+    once = counts.withColumn("copy", F.monotonically_increasing_id()).withColumn("kept", F.min("copy").over(Window.partitionBy("doc_id"))).filter("copy = kept")
     ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")))
     c = F.col("c").cast("double")
     joined = with_statistics(ranked, known)
