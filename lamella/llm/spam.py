@@ -153,7 +153,8 @@ def curves(counts: DataFrame) -> DataFrame:
     known = materialize(vocabulary(counts))
     # One of the rows of a doc_id, without an aggregate over their lists.
     once = counts.withColumn("copy", F.monotonically_increasing_id()).withColumn("kept", F.min("copy").over(Window.partitionBy("doc_id"))).filter("copy = kept")
-    ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"), "token")))
+    # Which of two equal frequencies comes first changes none of the sums.
+    ranked = _rows(once).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("c"))))
     c = F.col("c").cast("double")
     joined = with_statistics(ranked, known)
     burst = F.coalesce(F.col("total") / F.col("pages"), c)
