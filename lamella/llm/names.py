@@ -145,6 +145,8 @@ def meanings(rows: DataFrame, reference: DataFrame) -> DataFrame:
     # A token longer than every vocabulary token by more than the edits allowed is near none, and its deletions are not listed.
     longest = (words.agg(F.max(F.length("v"))).first()[0] or 0) + 2
     short = placed.filter(~F.col("t").isin(*NOTES, *QUALIFIERS) & (F.length("t") <= longest)).select("t").distinct()
+    # Few bytes, much work each: the number of tasks is given, since AQE would join them into one by size.
+    short = short.repartition(2 * short.sparkSession.sparkContext.defaultParallelism, "t")
     fixes = materialize(repaired(short, words))
     found = materialize(placed.join(fixes, "t").select("key", "field", "pos", "kind", "v", "idf", "similarity", F.coalesce(F.col("before").isin(*QUALIFIERS), F.lit(False)).alias("qualified")))
 
