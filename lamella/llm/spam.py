@@ -42,7 +42,7 @@ _ADDRESS = r"(?:https?://|www\.)[^\s<>()\"']+|(?<![\w.-])[\w-]++(?:\.(?!(?:" + E
 _LINK = r"<a\b[^<>]*+>(?:[^<]|<(?!/?a\b))*+</a\s*+>|!?\[[^\[\]\n]*+\]\([^()\s]*+\)|" + _ADDRESS
 _HASHTAG = r"#[^\W\d_][\w-]*"
 _MARKUP = r"</?[a-zA-Z][^<>]*+>|&[a-z]++;"
-_NUMBER = r"(?:\b[Nn][or]\.\s?)?\d+(?:[.,]\d+)*"
+_NUMBER = r"(?:\bn[or]\.\s?)?\d+(?:[.,]\d+)*"
 _WORD = r"[^\W\d_]+"
 
 LINK, TAG, NUMBER = "<link>", "<tag>", "<num>"
@@ -68,11 +68,11 @@ _BARE = regex.compile(r"<[^<>]*+>|\s")
 
 
 def token_counts(text: str) -> tuple[dict[str, int], int, int]:
-    """How often each token stands in a text, its letters, and those of links and tags. Only different spellings are looked
-    at one by one."""
+    """How often each token (without case) stands in a text, its letters, and those of links and tags. Only different tokens
+    are looked at one by one."""
     counts: dict[str, int] = {}
     letters = marked = 0
-    for found, n in Counter(_TOKENS.findall(text)).items():
+    for found, n in Counter(_TOKENS.findall(text.lower())).items():
         size = len(found)
         if not found.isalpha():
             kind = _CUT.match(found).lastgroup
@@ -83,8 +83,7 @@ def token_counts(text: str) -> tuple[dict[str, int], int, int]:
                 marked += n * size
             found = _MARKS.get(kind, found)
         letters += n * size
-        token = found.lower()
-        counts[token] = counts.get(token, 0) + n
+        counts[found] = counts.get(found, 0) + n
     return counts, letters, marked
 
 

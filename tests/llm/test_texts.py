@@ -196,7 +196,7 @@ def test_marks_without_end_take_linear_time(text):
 
 
 def test_links_however_long():
-    for link in ("<a href='" + "x" * 3000 + "'><b>buy</b> now</a>", "[" + "w " * 600 + "](u)", "[a](" + "u" * 3000 + ")", "a" * 100 + ".b.c.d.e.f.g.h.i.j.k.com/x"):
+    for link in ("<A HREF='X.html'>Buy</A>", "HTTP://SHOP.EXAMPLE/A", "<a href='" + "x" * 3000 + "'><b>buy</b> now</a>", "[" + "w " * 600 + "](u)", "[a](" + "u" * 3000 + ")", "a" * 100 + ".b.c.d.e.f.g.h.i.j.k.com/x"):
         counts, letters, marked = spam.token_counts(link)
         assert counts == {spam.LINK: 1} and letters == marked > 0
 
