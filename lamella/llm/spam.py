@@ -48,9 +48,10 @@ _WORD = r"[^\W\d_]+"
 LINK, TAG, NUMBER = "<link>", "<tag>", "<num>"
 #: The part of a language's pages that makes a word one of its common ones, and the pages of the whole corpus that are added
 #: to those of a language.
-COMMON, SMOOTHED = 0.25, 50
-#: Pages that make a band; fewer say nothing of what is usual.
-LEAST_PAGES = 50
+COMMON, SMOOTHED = 0.25, 10
+#: Pages that make a band; fewer say nothing of what is usual. The band is the middle half of them and this part of its width
+#: to either side, so that it stays where a quarter of the pages are spam.
+LEAST_PAGES, MARGIN = 50, 0.5
 #: How much of a page must be beyond what is usual for it to be found.
 EXCESS = 0.3
 #: The part of a language's pages from which a token is frequent. At most a page's mean number of different tokens, divided by
@@ -192,15 +193,16 @@ def judged_pages(pages: DataFrame) -> DataFrame:
     measures = ("slope", "residual", "divergence")
     quarter = F.when(F.count("*") >= LEAST_PAGES, F.percentile_approx("excess", 0.25, F.lit(1000))).otherwise(0.0)
     band = binned.groupBy("lang", "octave").agg(
-        *(F.percentile_approx(m, F.array(F.lit(0.1), F.lit(0.9)), F.lit(1000)).alias(f"q_{m}") for m in measures),
+        *(F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), F.lit(1000)).alias(f"q_{m}") for m in measures),
         F.count("*").alias("comparable"),
         quarter.alias("own"),
     )
     anywhere = binned.groupBy("octave").agg(quarter.alias("all_languages"))
 
     def outside(m: str) -> Column:
-        above = F.col(m) > F.col(f"q_{m}")[1]
-        return F.coalesce((F.col(m) < F.col(f"q_{m}")[0]) | above if m == "slope" else above, F.lit(False))
+        low, high = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
+        above = F.col(m) > high + MARGIN * (high - low)
+        return F.coalesce((F.col(m) < low - MARGIN * (high - low)) | above if m == "slope" else above, F.lit(False))
 
     extreme = outside("slope") | outside("residual") | outside("divergence") | (F.col("types") < 3)
     extreme = F.when(F.col("comparable") >= LEAST_PAGES, extreme)
