@@ -7,10 +7,12 @@ triangle inequality holds block by block: two hashes at distance r differ in all
 most. The blocks fall into four segments; as r is at most 2, at least two segments of any such pair have equal pivot
 distances. A stored hash has a row for each of the six pairs of segments with the distances of the pair as its code.
 
-The table lies in folders by ranges (RING) of the distance from the base pivot, and in buckets by code. A batch reads the
-ranges that lie within r of the distances of its own hashes, meets them in their buckets (stored rows are not shuffled; a
-small batch goes to them), and what the ranges and codes leave is verified by the true distance. History.reached() gives
-the rows of every range and whether a batch reads them.
+The table lies in folders by pair of segments and range (RING) of the distance from the base pivot within that pair, which
+is the same for both of any two hashes the pair finds, and in buckets by code. A batch reads the ranges its own hashes lie
+in, meets them in their buckets (stored rows are not shuffled; a small batch goes to them), and what ranges and codes leave
+is cut by the distance from the base pivot over all segments and verified by the true distance. History.reached() gives the
+rows of every range and whether a batch reads them: a few records read a small part, a batch of thousands all of it, since
+distances of 64-bit hashes lie close together.
 
 Equal digests and equal hashes are matched by an equi-join on the value with the stored values. Near matches are searched
 among distinct hashes, so a hash held by a third of all records is compared once, and joined back to its records afterwards
@@ -43,13 +45,13 @@ PAIRS = list(combinations(range(4), 2))
 EVEN_BITS = 0x5555555555555555
 #: The greatest distance of a near-duplicate; two of four segments agree only up to 2.
 RADIUS = 2
-#: Distances from the base pivot that share a folder.
-RING = 4
+#: Distances from the base pivot within a pair (0 to 32) that share a folder.
+RING = 2
 VALUES = "kind string, value binary, record_no bigint, batch_no int"
 #: Matches that run beside the appends that follow them.
 BESIDE = 4
 #: Stored rows a bucket is meant to hold when the store is made, and the least and most buckets there are.
-BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 4, 20_000
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 2, 20_000
 
 
 def _signed(x: int) -> int:
@@ -117,9 +119,11 @@ def pivot_rows(signed: DataFrame) -> DataFrame:
         )
     )
     distances = signed.filter("hash is not null").select("hash").distinct().select("hash", block_distances(F.col("hash")).alias("blocks"), base_distance(F.col("hash")).alias("base"))
-    return distances.select(F.explode(keys).alias("k"), "hash", "blocks", "base").select(
-        "k.n", "k.code", "hash", "blocks", "base", F.floor(F.col("base") / RING).cast("int").alias("ring")
-    )
+    # A block distance of two is written 10, one 01.
+    odd, even = F.lit(_signed(EVEN_BITS << 1)), F.lit(EVEN_BITS)
+    within = 2 * F.bit_count(F.col("k.code").bitwiseAND(odd)) + F.bit_count(F.col("k.code").bitwiseAND(even))
+    ring = F.col("k.n").cast("int") * 100 + F.floor(within / RING).cast("int")
+    return distances.select(F.explode(keys).alias("k"), "hash", "blocks", "base").select("k.n", "k.code", "hash", "blocks", "base", ring.alias("ring"))
 
 
 class History:
@@ -170,14 +174,13 @@ class History:
         """The stored pivot-distance table."""
         return self.spark.table(self._name)
 
-    def _rings(self, signed: DataFrame, radius: int) -> list[int]:
-        """The ranges within radius of the batch's distances; there are 65 distances, whatever the batch."""
-        bases = [r["base"] for r in signed.filter("hash is not null").select(base_distance(F.col("hash")).alias("base")).distinct().collect()]
-        return sorted({b // RING for base in bases for b in range(max(0, base - radius), min(64, base + radius) + 1)})
+    def _rings(self, signed: DataFrame) -> list[int]:
+        """The ranges the batch's hashes lie in: 102 at most, whatever the batch."""
+        return sorted(r["ring"] for r in pivot_rows(signed).select("ring").distinct().collect())
 
-    def reached(self, batch: DataFrame, radius: int = RADIUS) -> DataFrame:
-        """ring, rows, read: the stored rows of every range, and whether the batch reads them."""
-        rings = self._rings(signatures(batch), radius)
+    def reached(self, batch: DataFrame) -> DataFrame:
+        """ring (100 times the pair, plus the range), rows, read: the stored rows of every range, and whether the batch reads them."""
+        rings = self._rings(signatures(batch))
         return self.pivots().groupBy("ring").agg(F.count("*").alias("rows")).withColumn("read", F.col("ring").isin(rings))
 
     def near(self, signed: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -185,7 +188,7 @@ class History:
         if radius > RADIUS:
             raise ValueError("two of four segments agree only up to distance 2")
         new = pivot_rows(signed).select(*(F.col(c).alias(f"new_{c}") for c in ("n", "code", "hash", "blocks", "base")))
-        old = self.pivots().filter(F.col("ring").isin(self._rings(signed, radius)))
+        old = self.pivots().filter(F.col("ring").isin(self._rings(signed)))
         differing = F.col("new_blocks").bitwiseXOR(F.col("blocks"))
         first = F.lit(None).cast("tinyint")
         for n, (i, j) in reversed(list(enumerate(PAIRS))):
