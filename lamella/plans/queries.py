@@ -874,6 +874,21 @@ def _raster_rows(spark, folder):
     return table(spark, folder, "embeddings").filter("embedding is not null").select("vec_id", F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
 
 
+def _symmetry_sql() -> str:
+    """For each flip and rotation of an 8 x 8 image, the places its pixels come from, as a list of lists."""
+    maps = [lambda r, c: (r, c), lambda r, c: (c, 7 - r), lambda r, c: (7 - r, 7 - c), lambda r, c: (7 - c, r)]
+    places = [[8 * y + x + 1 for r in range(8) for c in range(8) for y, x in [turn(r, 7 - c if mirrored else c)]] for turn in maps for mirrored in (False, True)]
+    return str(places)
+
+
+@query(f"""
+    WITH g AS (SELECT vec_id, list_transform(embedding, lambda x: printf('%02x', least(greatest(round((x + 1::FLOAT)::DOUBLE * 127.5::DOUBLE), 0), 255)::INT)) AS g FROM embeddings WHERE embedding IS NOT NULL),
+    h AS (SELECT vec_id, list_transform({_symmetry_sql()}, lambda p: sha256(encode('rgb-pixels-v1:8:8:') || unhex(array_to_string(list_transform(p, lambda i: g[i] || g[i] || g[i]), '')))) AS h FROM g)
+    SELECT vec_id, h[1] AS pixel_sha256, list_min(h) AS lossless_transform_sha256 FROM h""")
+def raster_hashes(spark, folder):
+    return raster_fingerprints(spark, folder).drop("perceptual_dhash64")
+
+
 @query()
 def raster_fingerprints(spark, folder):
     from lamella.sources import rasters
@@ -887,7 +902,14 @@ def raster_fingerprints(spark, folder):
     return _raster_rows(spark, folder).mapInPandas(work, "vec_id bigint, pixel_sha256 string, lossless_transform_sha256 string, perceptual_dhash64 string")
 
 
-@query()
+@query("""
+    WITH g AS (SELECT vec_id, list_transform(embedding, lambda x: least(greatest(round((x + 1::FLOAT)::DOUBLE * 127.5::DOUBLE), 0), 255)) AS g FROM embeddings WHERE embedding IS NOT NULL),
+    place AS (SELECT i, (i + 0.5::DOUBLE) / 2 - 0.5::DOUBLE AS x FROM range(16) r(i)),
+    near AS (SELECT i, least(greatest(floor(x) + k, 0), 7)::INT AS s, abs(x - (floor(x) + k)) AS d FROM place, range(-1, 3) q(k)),
+    w AS (SELECT i, s, sum(CASE WHEN d <= 1 THEN 1.25::DOUBLE * d * d * d - 2.25::DOUBLE * d * d + 1 WHEN d < 2 THEN -0.75::DOUBLE * d * d * d + 3.75::DOUBLE * d * d - 6 * d + 3 ELSE 0 END) AS w FROM near GROUP BY 1, 2),
+    v AS (SELECT vec_id, a.i, b.i AS j, least(greatest(round_even(sum(a.w * b.w * g[8 * a.s + b.s + 1]), 0), 0), 255)::FLOAT AS v FROM g, w a, w b GROUP BY 1, 2, 3),
+    n(m, d) AS (VALUES (0.485::FLOAT, 0.229::FLOAT), (0.456::FLOAT, 0.224::FLOAT), (0.406::FLOAT, 0.225::FLOAT))
+    SELECT vec_id, count(*) AS "values", round(sum(((v / 255::FLOAT - m) / d)::DOUBLE), 3) AS total FROM v, n GROUP BY 1""")
 def image_tensors(spark, folder):
     from lamella.sources import rasters
 
