@@ -5,11 +5,11 @@ that share a value of the relations asked for (linked as in problem 4). The labe
 by label. The rarest outstanding label goes first, and is looked for again after every placement; of the components that
 hold it those with most of it go first, into the split that needs that label most, whole.
 
-Components of one vector are interchangeable, so the driver places classes of them, a thirty-second of a class at a time,
-and every component then takes its place by an exact rank within its class. Ranks are formed in hash ranges, so no task
-holds a whole class. Vectors are exact as long as there are no more than MAX_CLASSES different ones; beyond that counts
-above 32 are rounded to a fourth of an octave, and if that isn't enough only the rarest label and the size are kept. A
-class then counts with its mean vector: components stay whole, and only the balance is approximate.
+Components of one vector are interchangeable, so one task places classes of them. Its result is that of placing every component
+by itself: as long as the same label stays the rarest, members of a class are dealt out at once by the formula that gives
+each to the split in need at that time. Vectors are exact, counts are integers, and the class's tables lie in files of the
+task, so neither size nor number of the classes changes how a component is placed. Every component then takes its place by an
+exact rank within its class. Ranks are formed in hash ranges, so no task holds a whole class.
 
 Defined results: of each image only the row with the latest assigned_at counts (repeats at one time: one that has group
 and partition, then the highest assignment_no); a group is 16 hex digits, with `lg-` or not; what is no partition is
@@ -20,15 +20,22 @@ without taxonomy counts towards the sizes of the splits only.
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
-
+import math
+import os
+import tempfile
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from lamella.functions.digests import let, named, stripped
 from lamella.llm.components import grid_components
-from lamella.session import materialize
+from lamella.session import materialize, release
 
 SPLITS = ("train", "validation", "test")
 RATIOS = (0.70, 0.15, 0.15)
@@ -36,7 +43,7 @@ RATIOS = (0.70, 0.15, 0.15)
 SPELLINGS = {"train": "train", "training": "train", "val": "validation", "valid": "validation", "validation": "validation", "dev": "validation", "test": "test", "testing": "test"}
 #: Hash ranges of a class in which ranks are counted apart.
 RANGES = 1024
-#: Classes of components that the driver places (some 500 bytes each).
+#: Classes in one batch of what the placing task returns; the result is the same for any number.
 MAX_CLASSES = 200_000
 #: The label of every image, after all others in rarity.
 ALL = "all"
@@ -94,82 +101,138 @@ def torn_groups(manifest: DataFrame) -> DataFrame:
     return label_vectors(rows.select("component", "split", *(F.lit(None).cast("string").alias(c) for c in ("taxon_group", "genus", "species")))).filter("a <> b").select(F.col("component").alias("leakage_group_id"))
 
 
-def rounded(n: Column) -> Column:
-    """The number itself up to 32, beyond that steps of a fourth of an octave (as numbers above 100)."""
-    return F.when(n <= 32, n.cast("int")).otherwise((F.floor(F.log2(n.cast("double")) * 4) + 100).cast("int"))
-
-
-def classed(counts: DataFrame) -> DataFrame:
-    """component, class: components of one class have the same vector, or one that is rounded alike."""
-    vectors = materialize(counts.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("label", "n"))).alias("vector")))
-    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
-    rarest = lambda: counts.join(totals, "label").groupBy("component").agg(
-        F.min(F.struct("total", "label")).getField("label").alias("rarest"), F.max(F.when(F.col("label") == ALL, F.col("n"))).alias("size")
-    ).select("component", F.xxhash64("rarest", rounded(F.col("size"))).alias("class"))
-    exact = vectors.select("component", F.xxhash64("vector").alias("class"))
-    coarse = vectors.select("component", F.xxhash64(F.transform("vector", lambda x: F.struct(x["label"], rounded(x["n"])))).alias("class"))
-    for classes in (exact, coarse):
-        if classes.select("class").distinct().limit(MAX_CLASSES + 1).count() <= MAX_CLASSES:
-            return classes
-    return rarest()
+def numbered(counts: DataFrame) -> DataFrame:
+    """component, vector: number and n of each of its labels. Labels have numbers in the order of their names, ALL the last."""
+    numbers = counts.select("label").distinct().select("label", (F.row_number().over(Window.orderBy(F.col("label") == ALL, "label")) - 1).alias("no"))
+    return counts.join(numbers, "label").groupBy("component").agg(F.array_sort(F.collect_list(F.struct("no", "n"))).alias("vector"))
+
+
+def classed(vectors: DataFrame) -> DataFrame:
+    """vector, members, class of every different vector. Classes have numbers, those of the largest components the first."""
+    size = F.element_at("vector", -1)["n"]
+    return vectors.groupBy("vector").agg(F.count("*").alias("members")).withColumn("class", F.row_number().over(Window.orderBy(size.desc(), "vector")) - 1)
+
+
+def dealt(need: list[int], need_all: list[int], own: int, size: int, count: int) -> list[int]:
+    """How many of count equal components each split gets, if each goes where the need (then need_all) is largest at that time,
+    and lowers it by own (need_all by size)."""
+    # The needs end near one level: what lies a whole component above it is given for certain, the last few one by one.
+    high = sorted(need, reverse=True)
+    level = max(-((count * own - sum(high[:k])) // k) for k in range(1, len(high) + 1))
+    given = [max(0, (n - level) // own) for n in need]
+    for _ in range(count - sum(given)):
+        given[max(range(len(need)), key=lambda s: (need[s] - given[s] * own, need_all[s] - given[s] * size, -s))] += 1
+    return given
+
+
+def fill(members: np.ndarray, starts: np.ndarray, labels: np.ndarray, amounts: np.ndarray, totals: np.ndarray, firsts: np.ndarray, holders: np.ndarray, ratios: tuple[float, ...]) -> np.ndarray:
+    """For every class (row) and split (column), how many members go there. Class c has the labels and amounts from starts[c] to
+    starts[c + 1]; label x is held by the holders from firsts[x] to firsts[x + 1], in the order they go; the last label is ALL."""
+    shares = [Fraction(str(r)) for r in ratios]
+    unit = math.lcm(*(r.denominator for r in shares))
+    need = [[int(r * unit) * n for r in shares] for n in totals.tolist()]
+    outstanding = totals.tolist()
+    left = array("q", members.tobytes())
+    placed = np.zeros((len(members), len(ratios)), "int64")
+    at = firsts.tolist()
+    last = len(outstanding) - 1
+    queue: list[tuple[bool, int, int]] = []
+    while True:
+        # Entries that are no longer true are passed over; all are made anew before they outnumber the labels by far.
+        if not queue or len(queue) > 4 * len(outstanding) + 1024:
+            queue = [(x == last, n, x) for x, n in enumerate(outstanding) if n]
+            heapq.heapify(queue)
+            if not queue:
+                return placed
+        _, n, x = heapq.heappop(queue)
+        if n != outstanding[x]:
+            continue
+        while not left[holders[at[x]]]:
+            at[x] += 1
+        key = int(holders[at[x]])
+        vector = dict(zip(labels[starts[key] : starts[key + 1]].tolist(), amounts[starts[key] : starts[key + 1]].tolist()))
+        own, count = vector[x], left[key]
+        for y, m in vector.items():
+            # Of y more goes with each member: after so many of them y is the rarest.
+            if y != last and m > own:
+                steps, rest = divmod(outstanding[y] - n, m - own)
+                count = min(count, steps + (rest > 0 or x < y))
+        given = dealt(need[x], need[last], own * unit, vector[last] * unit, count)
+        placed[key] += given
+        left[key] -= count
+        for y, m in vector.items():
+            need[y] = [a - m * unit * g for a, g in zip(need[y], given)]
+            outstanding[y] -= m * count
+            if outstanding[y]:
+                heapq.heappush(queue, (y == last, outstanding[y], y))
 
 
 def place(classes: dict[int, tuple[int, dict[str, float]]], totals: dict[str, float], ratios: tuple[float, ...] = RATIOS) -> dict[int, list[int]]:
-    """How many members of each class go to each split. classes: members and the vector of one member, which holds ALL."""
-    need = {label: [r * n for r in ratios] for label, n in totals.items()}
-    outstanding = {label: float(n) for label, n in totals.items()}
-    holders = defaultdict(list)
-    for key, (_, vector) in classes.items():
-        for label, n in vector.items():
-            heapq.heappush(holders[label], (-n, -vector[ALL], key))
-    left = {key: members for key, (members, _) in classes.items()}
-    placed = {key: [0] * len(ratios) for key in classes}
-    # ALL comes last, for what has no other label. Entries of the queue that are no longer true are passed over.
-    queue = [((label == ALL), n, label) for label, n in outstanding.items()]
-    heapq.heapify(queue)
-    while queue:
-        last, n, label = heapq.heappop(queue)
-        if n != outstanding[label]:
-            continue
-        waiting = holders[label]
-        while waiting and not left[waiting[0][2]]:
-            heapq.heappop(waiting)
-        if not waiting:
-            continue
-        key = waiting[0][2]
-        members, vector = classes[key]
-        step = min(left[key], max(1, members // 32))
-        best = max(range(len(ratios)), key=lambda s: (need[label][s], need[ALL][s], -s))
-        placed[key][best] += step
-        left[key] -= step
-        for x, amount in vector.items():
-            need[x][best] -= amount * step
-            outstanding[x] -= amount * step
-            heapq.heappush(queue, ((x == ALL), outstanding[x], x))
-    return placed
+    """How many members of each class go to each split, of a few classes. classes: members and the vector of one member, which
+    holds ALL; totals: of each label over all members."""
+    keys = sorted(classes, key=lambda k: (-classes[k][1][ALL], k))
+    no = {x: i for i, x in enumerate(sorted(totals, key=lambda x: (x == ALL, x)))}
+    entries = np.array([(c, no[x], n) for c, k in enumerate(keys) for x, n in classes[k][1].items()], "int64").reshape(-1, 3)
+    held = entries[np.lexsort((entries[:, 0], -entries[:, 2], entries[:, 1]))]
+    placed = fill(
+        np.array([classes[k][0] for k in keys], "int64"), np.searchsorted(entries[:, 0], np.arange(len(keys) + 1)), entries[:, 1], entries[:, 2],
+        np.array([totals[x] for x in no], "int64"), np.searchsorted(held[:, 1], np.arange(len(no) + 1)), held[:, 0], ratios,
+    )
+    return dict(zip(keys, placed.tolist()))
+
+
+def placements(classes: DataFrame, ratios: tuple[float, ...] = RATIOS) -> DataFrame:
+    """class, to_train, to_validation: of the members of every class those up to the first number go to train, up to the second to
+    validation. One task; what grows with the number of classes lies in its files, but for some 64 bytes a class and a
+    kilobyte a label."""
+    most = MAX_CLASSES
+    entries = classes.select("class", "members", F.explode("vector").alias("e")).select("class", "members", "e.no", "e.n")
+    both = entries.withColumn("held", F.explode(F.array(F.lit(False), F.lit(True))))
+    # First by class, then by label with the holders of most of it first: Spark sorts, on disk where it must.
+    ordered = both.repartition(1).sortWithinPartitions("held", F.when(F.col("held"), F.col("no")).otherwise(F.col("class")), F.when(F.col("held"), -F.col("n")), "class", "no")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryDirectory() as folder:
+            paths = {x: os.path.join(folder, x) for x in ("class", "members", "no", "n", "holder", "label", "total")}
+            files = {x: open(path, "wb") for x, path in paths.items()}
+            for batch in batches:
+                column = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in ("class", "members", "no", "n", "held")}
+                held = column.pop("held").astype(bool)
+                for x, values in column.items():
+                    values[~held].astype("int64").tofile(files[x])
+                for x, values in (("holder", column["class"]), ("label", column["no"]), ("total", column["n"] * column["members"])):
+                    values[held].astype("int64").tofile(files[x])
+            for file in files.values():
+                file.close()
+            if not os.path.getsize(paths["class"]):
+                return
+            stored = {x: np.asarray(np.memmap(path, "int64", "r")) for x, path in paths.items()}
+            starts, firsts = (np.searchsorted(stored[x], np.arange(stored[x][-1] + 2)) for x in ("class", "label"))
+            given = fill(stored["members"][starts[:-1]], starts, stored["no"], stored["n"], np.add.reduceat(stored["total"], firsts[:-1]), firsts, stored["holder"], ratios)
+            for i in range(0, len(given), most):
+                part = given[i : i + most]
+                yield pa.RecordBatch.from_pydict({"class": np.arange(i, i + len(part), dtype="int64"), "to_train": part[:, 0], "to_validation": part[:, 0] + part[:, 1]})
+
+    return ordered.mapInArrow(run, "class bigint, to_train bigint, to_validation bigint")
 
 
 def grouped_split(manifest: DataFrame, ratios: tuple[float, ...] = RATIOS, relations: tuple[str, ...] = ()) -> DataFrame:
     """image_id, component, split for every image, all images of a component in one split. relations: columns of the manifest
     (contributor, source_id) whose values no two splits may share; values that name nothing link nothing."""
-    spark = manifest.sparkSession
     rows = materialize(with_components(latest(manifest, relations), bool(relations)).select("image_id", "component", "split", "taxon_group", "genus", "species"))
     counts = materialize(label_vectors(rows).select("component", "label", "n"))
-    classes = materialize(classed(counts))
-    members = {r["class"]: r["m"] for r in classes.groupBy("class").agg(F.count("*").alias("m")).collect()}
-    vectors: dict[int, dict[str, float]] = defaultdict(dict)
-    for r in counts.join(classes, "component").groupBy("class", "label").agg(F.sum("n").alias("n")).collect():
-        vectors[r["class"]][r["label"]] = r["n"] / members[r["class"]]
-    totals = {r["label"]: float(r["total"]) for r in counts.groupBy("label").agg(F.sum("n").alias("total")).collect()}
-    placed = place({k: (m, vectors[k]) for k, m in sorted(members.items())}, totals, ratios)
-    bounds = spark.createDataFrame([(k, n[0], n[0] + n[1]) for k, n in placed.items()] or [(0, 0, 0)], "class bigint, to_train bigint, to_validation bigint")
-    hashed = classes.withColumn("h", F.xxhash64("component")).withColumn("range", F.pmod(F.shiftright("h", 40), F.lit(RANGES)))
+    vectors = materialize(numbered(counts))
+    classes = materialize(classed(vectors))
+    bounds = classes.select("class", "vector").join(placements(classes, ratios), "class")
+    h = F.xxhash64("component")
+    hashed = materialize(vectors.join(bounds, "vector").select("component", "class", "to_train", "to_validation", h.alias("h"), F.pmod(F.shiftright(h, 40), F.lit(RANGES)).alias("range")))
+    for table in (counts, vectors, classes):
+        release(table)
     before = hashed.groupBy("class", "range").agg(F.count("*").alias("c")).withColumn("before", F.sum("c").over(Window.partitionBy("class").orderBy("range")) - F.col("c"))
     ranked = hashed.withColumn("within", F.row_number().over(Window.partitionBy("class", "range").orderBy("h", "component")))
     place_no = F.col("before") + F.col("within")
     assigned = (
         ranked.join(before.drop("c"), ["class", "range"])
-        .join(bounds, "class")
         .select("component", F.when(place_no <= F.col("to_train"), "train").when(place_no <= F.col("to_validation"), "validation").otherwise("test").alias("split"))
     )
     return rows.select("image_id", "component").join(assigned, "component").select("image_id", "component", "split")

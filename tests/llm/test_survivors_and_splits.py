@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 
@@ -132,6 +133,62 @@ def test_coarser_classes_keep_components_whole(spark, monkeypatch):
         assert (got["images"], got["components"], got["torn"], got["unassigned"], got["near_target"]) == (no, 120, 0, 0, True)
 
 
+def one_by_one(classes, totals, ratios=(14, 3, 3)):
+    """Every component placed by itself, by its own vector: the method without any shortcut. ratios: twentieths."""
+    need, outstanding = {x: [r * n for r in ratios] for x, n in totals.items()}, dict(totals)
+    left, placed = {k: m for k, (m, _) in classes.items()}, {k: [0, 0, 0] for k in classes}
+    while any(left.values()):
+        label = min((x for x in outstanding if outstanding[x]), key=lambda x: (x == "all", outstanding[x], x))
+        key = min((k for k in classes if left[k] and label in classes[k][1]), key=lambda k: (-classes[k][1][label], -classes[k][1]["all"], k))
+        best = max(range(3), key=lambda s: (need[label][s], need["all"][s], -s))
+        placed[key][best] += 1
+        left[key] -= 1
+        for x, n in classes[key][1].items():
+            need[x][best] -= 20 * n
+            outstanding[x] -= n
+    return placed
+
+
+def test_classes_are_placed_as_their_components_one_by_one():
+    for seed in range(40):
+        draw = random.Random(seed)
+        classes = {}
+        for k in range(draw.randint(1, 12)):
+            vector = {f"l{x}": draw.choice((1, 1, 2, 7, 40)) for x in range(6) if draw.random() < 0.5}
+            classes[k] = (draw.choice((1, 2, 90, 400)), {**vector, "all": max([1, *vector.values()]) + draw.randint(0, 3)})
+        totals = {x: sum(m * v.get(x, 0) for m, v in classes.values()) for x in {x for _, v in classes.values() for x in v}}
+        assert splits.place(classes, totals) == one_by_one(classes, totals), seed
+
+
+def test_number_of_classes_changes_no_result(spark, monkeypatch):
+    """More different vectors than MAX_CLASSES, counts above 32 among them: the same split as of few, that of the vectors themselves."""
+    rows, no = [], 0
+    for g in range(150):
+        for i in range(1 + g % 50 if g % 3 else 2):
+            no += 1
+            rows.append(assignment(no, f"i{no}", "%016x" % g, None, taxonomy=("fungi", f"G{(g % 3 + i) % 7}", None, "x")))
+    table = spark.createDataFrame(rows, MANIFEST)
+    got = []
+    for most in (200_000, 40, 3):
+        monkeypatch.setattr(splits, "MAX_CLASSES", most)
+        got.append({r["image_id"]: (r["component"], r["split"]) for r in splits.grouped_split(table).collect()})
+    assert got[0] == got[1] == got[2] and len(got[0]) == no
+    vectors, where = {}, {}
+    for r in rows:
+        component, where[component] = got[0][r[1]]
+        vector = vectors.setdefault(component, {})
+        for x in ("all", "genus:" + r[4][1], "taxon_group:fungi"):
+            vector[x] = vector.get(x, 0) + 1
+    alike = {}
+    for component, vector in vectors.items():
+        alike.setdefault(tuple(sorted(vector.items(), key=lambda x: (x[0] == "all", x))), []).append(where[component])
+    keys = sorted(alike, key=lambda v: (-dict(v)["all"], v))
+    classes = {k: (len(alike[v]), dict(v)) for k, v in enumerate(keys)}
+    totals = {x: sum(m * v.get(x, 0) for m, v in classes.values()) for x in {x for v in vectors.values() for x in v}}
+    assert {k: [alike[v].count(s) for s in splits.SPLITS] for k, v in enumerate(keys)} == one_by_one(classes, totals)
+    assert len(classes) > 40
+
+
 def test_relations_join_groups(spark):
     rows = [assignment(i, f"i{i}", "%016x" % (i // 2), None, contributor=f"c{i % 40}") for i in range(200)] + [assignment(900, "n1", "e" * 16, None, contributor="unknown"), assignment(901, "n2", "d" * 16, None, contributor="Unknown ")]
     table = spark.createDataFrame(rows, MANIFEST)
